@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no stream input, watermark, event-time window or state;
+its only incremental job is the batch refresh of the sales facts from a stored
+SKU x day base, which is ``skuflow.plans.pipelines.refresh_sales_facts``.
+Nothing streaming is built, by design (see README).
+"""
