@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from skuflow.plans.registry import FIXTURE_SLICE
-from skuflow.plans.sqlparts import MEASURES, as_double_list, with_ctes
+from skuflow.plans.registry import FIXTURE_SLICE, feature_query_name
+from skuflow.plans.sqlparts import MEASURES, as_double_list, feature_sql, with_ctes
 
 ORACLE: dict[str, str] = {}
 
@@ -65,3 +65,34 @@ FROM sales_monthly
 WHERE item_third_cate_cd IN {_in(FIXTURE_SLICE['third'])}
    OR item_first_cate_cd IN {_in(FIXTURE_SLICE['first'])}
    OR item_second_cate_cd IN {_in(FIXTURE_SLICE['second'])}""", "sales_monthly")
+
+# ---- L3 ---------------------------------------------------------------------
+ORACLE["price_elasticity"] = with_ctes("SELECT item_sku_id, pe FROM pe_literal", "pe_literal")
+ORACLE["price_elasticity_fallback"] = with_ctes("SELECT item_sku_id, pe FROM pe_fallback", "pe_fallback")
+
+# ---- L4 ---------------------------------------------------------------------
+for _mode, _period in (("weekly", "sequentialweek"), ("monthly", "month")):
+    ORACLE[f"trailing_sales_{_mode}"] = with_ctes(f"""
+SELECT item_sku_id, item_third_cate_cd, {_period},
+       CAST(total_net_sales_recent_three_months AS DOUBLE) AS total_net_sales_recent_three_months
+FROM trailing_{_mode}""", f"trailing_{_mode}")
+    ORACLE[f"top_selling_{_mode}"] = with_ctes(f"""
+SELECT item_third_cate_cd, item_sku_id, {_period}, true_top_saling_mark, sales_share_recent_three_months
+FROM top_{_mode}""", f"top_{_mode}")
+
+ORACLE["category_trailing_total"] = with_ctes("""
+SELECT month, item_third_cate_cd,
+       CAST(sum(total_net_sales_recent_three_months) AS DOUBLE) AS cate3_total_net_sales_recent_three_months
+FROM trailing_monthly WHERE item_third_cate_cd IS NOT NULL
+GROUP BY month, item_third_cate_cd""", "trailing_monthly")
+
+# ---- L5 ---------------------------------------------------------------------
+_FEATURES = feature_sql()
+for _name, _sql in _FEATURES.items():
+    ORACLE[feature_query_name(_name)] = with_ctes(_sql, "discount_keyed")
+
+_joins = "\n".join(f"LEFT JOIN ({sql}) f{i} USING (tm_key, item_third_cate_cd)"
+                   for i, sql in enumerate(_FEATURES.values()))
+ORACLE["discount_features_wide"] = with_ctes(f"""
+SELECT * FROM (SELECT DISTINCT tm_key, item_third_cate_cd FROM discount_keyed) g
+{_joins}""", "discount_keyed")

@@ -12,8 +12,11 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skuflow.operators import discounts as D
+from skuflow.operators import elasticity as E
 from skuflow.operators import sales as S
-from skuflow.plans.outputs import decimals_to_double
+from skuflow.operators import topsell as T
+from skuflow.plans.outputs import decimals_to_double, rounded
 from skuflow.plans.pipelines import SalesFacts, build_sales_facts
 from skuflow.session import materialize
 from skuflow.sources import fixtures as fx
@@ -96,3 +99,91 @@ def q_sales_refresh_monthly(spark, sf_dir):
 @query("category_slice")
 def q_category_slice(spark, sf_dir):
     return decimals_to_double(S.category_slice(facts(spark, sf_dir).monthly, **FIXTURE_SLICE))
+
+
+# ---- L3: price elasticity ---------------------------------------------------
+
+def elasticity(spark, sf_dir, fallback: bool = False) -> DataFrame:
+    i = inputs(spark, sf_dir)
+    return E.price_elasticity(i.sku_elasticity(), i.brand_elasticity(), i.cate_elasticity(),
+                              dt=fx.ELASTICITY_DT, fallback=fallback)
+
+
+@query("price_elasticity")
+def q_price_elasticity(spark, sf_dir):
+    return elasticity(spark, sf_dir)
+
+
+@query("price_elasticity_fallback")
+def q_price_elasticity_fallback(spark, sf_dir):
+    return elasticity(spark, sf_dir, fallback=True)
+
+
+# ---- L4: trailing sales and top selling ------------------------------------
+
+def _facts_for(spark, sf_dir, mode: str) -> DataFrame:
+    f = facts(spark, sf_dir)
+    return f.weekly if mode == "weekly" else f.monthly
+
+
+def _trailing(spark, sf_dir, mode: str) -> DataFrame:
+    period, _ = T.mode_spec(mode)
+    t = T.trailing_sales(_facts_for(spark, sf_dir, mode), mode)
+    return decimals_to_double(t.select(T.SKU, T.CATE3, period, T.TRAILING))
+
+
+@query("trailing_sales_weekly")
+def q_trailing_weekly(spark, sf_dir):
+    return _trailing(spark, sf_dir, "weekly")
+
+
+@query("trailing_sales_monthly")
+def q_trailing_monthly(spark, sf_dir):
+    return _trailing(spark, sf_dir, "monthly")
+
+
+@query("category_trailing_total")
+def q_category_trailing_total(spark, sf_dir):
+    t = T.trailing_sales(_facts_for(spark, sf_dir, "monthly"), "monthly")
+    return decimals_to_double(T.category_trailing_total(t, "monthly"))
+
+
+@query("top_selling_weekly")
+def q_top_selling_weekly(spark, sf_dir):
+    return T.top_selling(_facts_for(spark, sf_dir, "weekly"), "weekly")
+
+
+@query("top_selling_monthly")
+def q_top_selling_monthly(spark, sf_dir):
+    return T.top_selling(_facts_for(spark, sf_dir, "monthly"), "monthly")
+
+
+# ---- L5: discount features --------------------------------------------------
+
+def discount_input(spark, sf_dir) -> DataFrame:
+    return D.prepare_discount_input(facts(spark, sf_dir).monthly, elasticity(spark, sf_dir))
+
+
+def _feature_query(name: str) -> QueryFn:
+    def run(spark, sf_dir):
+        out = D.discount_feature(discount_input(spark, sf_dir), name)
+        return rounded(out, ["overall_discount"]) if name == "overall_discount" else out
+    return run
+
+
+def feature_query_name(feature: str) -> str:
+    for prefix, short in (("top_saling_on_sale_discount_", "band_discount_"),
+                          ("top_saling_on_sale_gmv_percent_", "band_gmv_percent_")):
+        if feature.startswith(prefix):
+            low, _, high = feature[len(prefix):].partition("_to_")
+            return f"feature_{short}{low}_{high}"
+    return f"feature_{feature}"
+
+
+for _feature in D.FEATURE_NAMES:
+    QUERIES[feature_query_name(_feature)] = _feature_query(_feature)
+
+
+@query("discount_features_wide")
+def q_discount_features_wide(spark, sf_dir):
+    return rounded(D.discount_features(discount_input(spark, sf_dir)), ["overall_discount"])
