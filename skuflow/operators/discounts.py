@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skuflow.functions.numeric import band_label, pdiv
-from skuflow.operators.joins import DEFAULT_BROADCAST_ROWS, join_lookup
+from skuflow.operators.joins import join_lookup
 from skuflow.operators.topsell import CATE3, MARK, SHARE, SKU, mode_spec, top_selling
 
 # Fixed values of the reference's feature set.
@@ -75,7 +75,7 @@ FEATURE_NAMES = [f.name for f in feature_list()]
 
 def prepare_discount_input(sales: DataFrame, elasticity: DataFrame,
                            top: DataFrame | None = None, mode: str = "monthly",
-                           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                           max_broadcast_rows: int | None = None) -> DataFrame:
     """J6+J7+F7+P14+F12: facts with ``pe``, top-selling mark and share, period
     renamed ``tm_key`` and the SKU discount ``discount``.
 

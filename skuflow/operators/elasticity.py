@@ -6,9 +6,9 @@ as inner joins and SKUs without a brand or category row vanish (Q2).  That is
 the default here; ``fallback=True`` filters the lookups first and keeps the
 left joins, so the category value fills in wherever a finer one is missing.
 
-The lookups are broadcast only after a row-count check; otherwise they are
-shuffle joins on (brand, category) where adaptive execution splits a brand
-that owns a large share of SKUs.
+The lookups are small in practice but not bounded by construction: adaptive
+execution broadcasts them from their runtime size, and otherwise splits the
+sort-merge partition of a brand that owns a large share of SKUs.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.operators.joins import DEFAULT_BROADCAST_ROWS, join_lookup
+from skuflow.operators.joins import join_lookup
 
 REFERENCE_ELASTICITY_DT = "2017-06-17"
 CATE3 = "item_third_cate_cd"
@@ -24,7 +24,7 @@ CATE3 = "item_third_cate_cd"
 
 def price_elasticity(sku: DataFrame, brand: DataFrame, cate: DataFrame,
                      dt: str = REFERENCE_ELASTICITY_DT, fallback: bool = False,
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     max_broadcast_rows: int | None = None) -> DataFrame:
     """``item_sku_id, pe`` with ``pe = COALESCE(sku, brand, category estimate)``."""
     day = F.lit(dt)
     a = sku.where(F.col("dt") == day).select(

@@ -1,10 +1,19 @@
 """Join helpers: broadcast only behind a size check.
 
-``bounded_broadcast`` counts at most ``max_rows + 1`` rows of the small side
-(one cheap, early-stopping job).  Under the bound the side is hinted for a
-broadcast hash join; over it the plain DataFrame is returned and Spark plans a
-shuffle join, where adaptive execution still converts to broadcast from real
-runtime sizes and splits skewed partitions.
+Two kinds of size check are used:
+
+* Runtime (default).  With adaptive execution on, a shuffle join is converted
+  to a broadcast join once the real size of the finished side is known and
+  under ``spark.sql.adaptive.autoBroadcastJoinThreshold``; over it the join
+  stays a sort-merge join whose skewed partitions are split.  This checks
+  derived tables without computing them twice.
+* Eager, for cheap inputs only (``bounded_broadcast``): count at most
+  ``max_rows + 1`` rows and hint a broadcast when under the bound.  Counting
+  re-runs the plan of ``df``, so it is meant for stored tables and small
+  dimension scans, not for the output of a long pipeline.
+
+Tables whose size is bounded by construction (one row per calendar day, one
+row per slice of a range partitioning) are broadcast directly.
 """
 
 from __future__ import annotations
@@ -12,28 +21,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed default: a lookup side up to this many rows is broadcast.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has no more than ``max_rows`` rows (reads at most max_rows+1)."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for ``df`` if its size is proven under ``max_rows``."""
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast hint for ``df`` if its row count is checked to be under ``max_rows``."""
     if max_rows > 0 and row_count_at_most(df, max_rows):
         return F.broadcast(df)
     return df
 
 
 def join_lookup(big: DataFrame, small: DataFrame, on, how: str = "left",
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join a (possibly) small lookup table onto a big one.
+                max_broadcast_rows: int | None = None) -> DataFrame:
+    """Join a lookup table onto a big one.
 
-    The lookup side is broadcast when its row count is checked to be under
-    the bound; otherwise this is a shuffle join on ``on`` that relies on
-    adaptive skew-join splitting for hot keys.
+    By default the size check is adaptive execution's runtime one (see the
+    module note).  ``max_broadcast_rows`` adds an eager row-count check for a
+    lookup that is cheap to count.
     """
-    return big.join(bounded_broadcast(small, max_broadcast_rows), on=on, how=how)
+    if max_broadcast_rows:
+        small = bounded_broadcast(small, max_broadcast_rows)
+    return big.join(small, on=on, how=how)

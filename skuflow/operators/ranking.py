@@ -4,10 +4,11 @@ A plain ``sum().over(Window.partitionBy(g).orderBy(o))`` puts every row of a
 group into one task.  When one category holds a third of all SKUs that task
 holds a third of the table.  ``running_sum_by_group`` instead:
 
-1. range-partitions on (group, order) into a fixed number of slices, so a hot
+1. checkpoints the input to the shared checkpoint folder (the upstream plan
+   runs once, and every later read returns the same partitions in the same
+   order, so range sampling and slice ids are reproducible on recomputation);
+2. range-partitions on (group, order) into a fixed number of slices, so a hot
    group is spread over consecutive slices and small groups share one;
-2. pins the slice id of every row with a reliable checkpoint in the shared
-   checkpoint folder (a recomputation can never re-slice differently);
 3. computes the running sum inside each (slice, group) — balanced tasks;
 4. sums each (slice, group) into a small table, where a window over slices
    gives every slice its carry-in and every group its total;
@@ -45,9 +46,9 @@ def running_sum_by_group(df: DataFrame, group_cols: list[str], order: list[Colum
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     group_order = [F.col(c).asc() for c in group_cols]
     # An explicit slice count keeps adaptive execution from merging slices.
-    sliced = (df.repartitionByRange(n, *group_order, *order)
-              .withColumn(_SLICE, F.spark_partition_id())
-              .checkpoint(eager=True))
+    sliced = (df.checkpoint(eager=True)
+              .repartitionByRange(n, *group_order, *order)
+              .withColumn(_SLICE, F.spark_partition_id()))
 
     local = sliced.withColumn(_LOCAL, F.sum(value).over(
         Window.partitionBy(_SLICE, *group_cols).orderBy(*order)

@@ -10,8 +10,9 @@ Scale notes
   shuffle on (day, SKU); a hot SKU is combined inside each map task.
 * J1 joins two big tables on (SKU, day).  Both sides are unique on the key, so
   no key can be hot; the aggregated side is already hash-partitioned on it.
-* J2 joins on SKU.  The dimension is broadcast only after its row count is
-  checked; otherwise it is a shuffle join with adaptive skew splitting.
+* J2 joins on SKU.  The dimension grows with the catalogue, so it is not
+  hinted: adaptive execution broadcasts it when its runtime size is under the
+  threshold and otherwise keeps a sort-merge join with skew splitting.
 * J3/J4 join the calendar, whose size is bounded by the number of days / weeks.
 * A2/A3 are partial+final aggregates; a hot category only adds map-side work.
 """
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skuflow.functions.numeric import month_of_day, sql_div
-from skuflow.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, join_lookup
+from skuflow.operators.joins import join_lookup
 
 # Fixed values of the reference's build.
 REFERENCE_HISTORY_START = "2014-07-01"
@@ -79,7 +80,7 @@ def sku_snapshot(sku_dim: DataFrame, snapshot_dt: str = REFERENCE_SKU_SNAPSHOT)
 
 def attach_category(daily: DataFrame, sku_dim: DataFrame,
                     snapshot_dt: str = REFERENCE_SKU_SNAPSHOT,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_rows: int | None = None) -> DataFrame:
     """Inner join the snapshot's category codes on SKU (``daily_02``)."""
     dim = sku_snapshot(sku_dim, snapshot_dt)
     joined = join_lookup(daily, dim, "item_sku_id", "inner", max_broadcast_rows)
@@ -95,9 +96,9 @@ def sales_measures(daily: DataFrame, dim_date: DataFrame, dim_week: DataFrame) -
     synthetic price is 0.
     """
     # The calendar has one row per day / week: bounded by the span, not the data.
-    days = bounded_broadcast(dim_date.select(F.col("date"), F.col("sequentialweek")))
-    weeks = bounded_broadcast(dim_week.select(F.col("sequentialweek").alias("_week"),
-                                              F.col("date").alias("week_start")))
+    days = F.broadcast(dim_date.select(F.col("date"), F.col("sequentialweek")))
+    weeks = F.broadcast(dim_week.select(F.col("sequentialweek").alias("_week"),
+                                        F.col("date").alias("week_start")))
     s = daily.join(days, daily["sale_ord_dt"] == days["date"], "inner")
     s = s.join(weeks, s["sequentialweek"] == weeks["_week"], "left")
     uv, price, net, gross = (F.col("unit_volume"), F.col("synthetic_gross_price"),

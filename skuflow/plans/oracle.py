@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from skuflow.plans.registry import FIXTURE_SLICE, feature_query_name
-from skuflow.plans.sqlparts import MEASURES, as_double_list, feature_sql, with_ctes
+from skuflow.plans.sqlparts import (MEASURES, as_double_list, feature_names, feature_sql,
+                                    filled_sql, pdiv, with_ctes)
 
 ORACLE: dict[str, str] = {}
 
@@ -96,3 +97,51 @@ _joins = "\n".join(f"LEFT JOIN ({sql}) f{i} USING (tm_key, item_third_cate_cd)"
 ORACLE["discount_features_wide"] = with_ctes(f"""
 SELECT * FROM (SELECT DISTINCT tm_key, item_third_cate_cd FROM discount_keyed) g
 {_joins}""", "discount_keyed")
+
+# ---- L7 ---------------------------------------------------------------------
+_FEATS = feature_names()
+_MATRIX_COLS = ("tm_key, item_third_cate_cd, CAST(gmv AS DOUBLE) AS gmv, n_orders, "
+                "CAST(order_value AS DOUBLE) AS order_value, " + ", ".join(_FEATS[2:]))
+
+ORACLE["join_time_features"] = with_ctes("""
+SELECT tm_key, item_third_cate_cd, CAST(gmv AS DOUBLE) AS gmv, n_orders,
+       CAST(order_value AS DOUBLE) AS order_value
+FROM target LEFT JOIN time_features USING (tm_key)""", "target", "time_features")
+
+ORACLE["join_category_features"] = with_ctes(f"""
+SELECT tm_key, item_third_cate_cd, CAST(gmv AS DOUBLE) AS gmv, {", ".join(_FEATS[2:])}
+FROM target LEFT JOIN wide_features USING (tm_key, item_third_cate_cd)""", "target", "wide_features")
+
+ORACLE["feature_matrix"] = with_ctes(f"SELECT {_MATRIX_COLS} FROM feature_matrix", "feature_matrix")
+ORACLE["fill_missing_batch"] = with_ctes(f"SELECT {_MATRIX_COLS} FROM filled", "filled")
+ORACLE["fill_missing_global"] = with_ctes(
+    f"SELECT {_MATRIX_COLS} FROM ({filled_sql(True)}) g", "feature_matrix")
+ORACLE["split_train"] = with_ctes(
+    f"SELECT {_MATRIX_COLS}, split FROM labeled_all WHERE split = 'train'", "labeled_all")
+ORACLE["split_test"] = with_ctes(
+    f"SELECT {_MATRIX_COLS}, split FROM labeled_all WHERE split = 'test'", "labeled_all")
+ORACLE["eligible_batches"] = with_ctes("SELECT * FROM eligible", "eligible")
+ORACLE["forecast_ols_one_feature"] = with_ctes("SELECT * FROM ols1", "ols1")
+ORACLE["clip_predictions"] = with_ctes("SELECT * FROM ols1_clipped", "ols1_clipped")
+ORACLE["zero_negative_rows"] = with_ctes("""
+SELECT CASE WHEN y_ < 0 THEN '0' ELSE tm_key END AS tm_key,
+       CASE WHEN y_ < 0 THEN 0 ELSE item_third_cate_cd END AS item_third_cate_cd,
+       CASE WHEN y_ < 0 THEN '0' ELSE split END AS split,
+       CASE WHEN y_ < 0 THEN 0.0 ELSE gmv END AS gmv,
+       CASE WHEN y_ < 0 THEN 0 ELSE n_orders END AS n_orders,
+       CASE WHEN y_ < 0 THEN 0.0 ELSE y_ END AS y_
+FROM ols1""", "ols1")
+ORACLE["forecast_hit_rate"] = with_ctes("""
+SELECT split, avg(CASE WHEN ape <= 0.15 THEN 1.0 ELSE 0.0 END) AS hit_rate
+FROM ols1_ape GROUP BY split""", "ols1_ape")
+ORACLE["forecast_hit_rate_pad"] = with_ctes("""
+SELECT split, avg(CASE WHEN padded <= 0.15 THEN 1.0 ELSE 0.0 END) AS hit_rate
+FROM (SELECT split, coalesce(ape, last_value(ape IGNORE NULLS) OVER (
+          PARTITION BY split ORDER BY item_third_cate_cd, tm_key
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS padded
+      FROM ols1_ape) t
+GROUP BY split""", "ols1_ape")
+ORACLE["forecast_total_error"] = with_ctes(f"""
+SELECT split, round({pdiv('abs(coalesce(sum(gmv), 0.0) - coalesce(sum(y_), 0.0))', 'coalesce(sum(gmv), 0.0)')}, 9)
+         AS total_error
+FROM ols1_clipped GROUP BY split""", "ols1_clipped")

@@ -8,12 +8,13 @@ over whole tables.  Output columns are aliased exactly as in the DuckDB oracle
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 
 from skuflow.operators import discounts as D
 from skuflow.operators import elasticity as E
+from skuflow.operators import features as Fe
+from skuflow.operators import forecast as M
+from skuflow.operators import metrics as Me
 from skuflow.operators import sales as S
 from skuflow.operators import topsell as T
 from skuflow.plans.outputs import decimals_to_double, rounded
@@ -187,3 +188,154 @@ for _feature in D.FEATURE_NAMES:
 @query("discount_features_wide")
 def q_discount_features_wide(spark, sf_dir):
     return rounded(D.discount_features(discount_input(spark, sf_dir)), ["overall_discount"])
+
+
+# ---- L7: forecast -----------------------------------------------------------
+
+FORECAST = dict(target_column="gmv", keys_time=["tm_key"], keys_group=[T.CATE3],
+                keys_batch=[T.CATE3], split_name="tm_key", train_max=fx.TRAIN_MAX,
+                test_values=list(fx.TEST_VALUES))
+KEYS = ["tm_key", T.CATE3]
+OUT = ["tm_key", T.CATE3, "split", "gmv", "y_"]
+
+
+def spec(method: str = "linear_regression") -> M.ForecastSpec:
+    return M.ForecastSpec(method=method, **FORECAST)
+
+
+def target(spark, sf_dir) -> DataFrame:
+    return fx.monthly_target(facts(spark, sf_dir).monthly)
+
+
+def matrix(spark, sf_dir) -> tuple[DataFrame, list[str]]:
+    """J8 + J9 + P9: target with time and category features, and the feature list."""
+    t = Fe.join_time_features(target(spark, sf_dir), [inputs(spark, sf_dir).time_features()],
+                              ["tm_key"])
+    wide = D.discount_features(discount_input(spark, sf_dir))
+    m = Fe.join_category_features(t, [wide], [T.CATE3], ["tm_key"])
+    feats = Fe.feature_columns(m.columns, ["tm_key"], [T.CATE3], "gmv")
+    return m.select(*KEYS, "gmv", *feats), feats
+
+
+def filled(spark, sf_dir) -> tuple[DataFrame, list[str]]:
+    m, feats = matrix(spark, sf_dir)
+    return Fe.fill_missing(m, ["tm_key"], [T.CATE3], feats), feats
+
+
+def labeled(spark, sf_dir) -> tuple[DataFrame, list[str]]:
+    f, feats = filled(spark, sf_dir)
+    s = spec()
+    return M.keep_eligible(M.split_rows(f, s.split_name, s.train_max, s.test_values),
+                           s.keys_batch), feats
+
+
+def _out(df: DataFrame) -> DataFrame:
+    return rounded(decimals_to_double(df), ["overall_discount"])
+
+
+@query("join_time_features")
+def q_join_time_features(spark, sf_dir):
+    t = Fe.join_time_features(target(spark, sf_dir), [inputs(spark, sf_dir).time_features()],
+                              ["tm_key"])
+    return decimals_to_double(t)
+
+
+@query("join_category_features")
+def q_join_category_features(spark, sf_dir):
+    wide = D.discount_features(discount_input(spark, sf_dir))
+    return _out(Fe.join_category_features(target(spark, sf_dir), [wide], [T.CATE3], ["tm_key"]))
+
+
+@query("feature_matrix")
+def q_feature_matrix(spark, sf_dir):
+    return _out(matrix(spark, sf_dir)[0])
+
+
+@query("fill_missing_batch")
+def q_fill_missing_batch(spark, sf_dir):
+    return _out(filled(spark, sf_dir)[0])
+
+
+@query("fill_missing_global")
+def q_fill_missing_global(spark, sf_dir):
+    m, feats = matrix(spark, sf_dir)
+    return _out(Fe.fill_missing_global(m, KEYS, ["gmv", *feats]))
+
+
+def _split(spark, sf_dir, which: str) -> DataFrame:
+    f, _ = filled(spark, sf_dir)
+    s = spec()
+    rows = M.split_rows(f, s.split_name, s.train_max, s.test_values)
+    return _out(rows.where(rows["split"] == which))
+
+
+@query("split_train")
+def q_split_train(spark, sf_dir):
+    return _split(spark, sf_dir, M.TRAIN)
+
+
+@query("split_test")
+def q_split_test(spark, sf_dir):
+    return _split(spark, sf_dir, M.TEST)
+
+
+@query("eligible_batches")
+def q_eligible_batches(spark, sf_dir):
+    f, _ = filled(spark, sf_dir)
+    s = spec()
+    return M.eligible_batches(M.split_rows(f, s.split_name, s.train_max, s.test_values),
+                              s.keys_batch)
+
+
+def one_feature_forecast(spark, sf_dir) -> DataFrame:
+    rows, _ = labeled(spark, sf_dir)
+    return M.ols_one_feature(rows, [T.CATE3], "n_orders", "gmv")
+
+
+@query("forecast_ols_one_feature")
+def q_forecast_ols_one_feature(spark, sf_dir):
+    return decimals_to_double(one_feature_forecast(spark, sf_dir)
+                              .select(*OUT[:4], "n_orders", "y_"))
+
+
+def _model_query(method: str) -> QueryFn:
+    def run(spark, sf_dir):
+        f, feats = filled(spark, sf_dir)
+        return decimals_to_double(M.forecast(f, spec(method), feats).select(*OUT))
+    return run
+
+
+QUERIES["forecast_ols"] = _model_query("linear_regression")
+QUERIES["forecast_ridge"] = _model_query("ridge")
+QUERIES["forecast_gbt"] = _model_query("xgb")
+QUERIES["forecast_python_model"] = _model_query("python")
+
+
+@query("clip_predictions")
+def q_clip_predictions(spark, sf_dir):
+    return decimals_to_double(Me.clip_predictions(one_feature_forecast(spark, sf_dir))
+                              .select(*OUT[:4], "n_orders", "y_"))
+
+
+@query("zero_negative_rows")
+def q_zero_negative_rows(spark, sf_dir):
+    out = one_feature_forecast(spark, sf_dir).select(*OUT[:4], "n_orders", "y_")
+    return decimals_to_double(Me.zero_negative_rows(out))
+
+
+@query("forecast_hit_rate")
+def q_forecast_hit_rate(spark, sf_dir):
+    clipped = Me.clip_predictions(one_feature_forecast(spark, sf_dir))
+    return Me.hit_rate(clipped, "gmv")
+
+
+@query("forecast_hit_rate_pad")
+def q_forecast_hit_rate_pad(spark, sf_dir):
+    clipped = Me.clip_predictions(one_feature_forecast(spark, sf_dir))
+    return Me.hit_rate(clipped, "gmv", undefined="pad", order_cols=[T.CATE3, "tm_key"])
+
+
+@query("forecast_total_error")
+def q_forecast_total_error(spark, sf_dir):
+    clipped = Me.clip_predictions(one_feature_forecast(spark, sf_dir))
+    return rounded(Me.total_error(clipped, "gmv"), ["total_error"])

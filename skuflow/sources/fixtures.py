@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skuflow.operators.joins import bounded_broadcast
 from skuflow.sources.tables import read_table
 
 # Fixed values of the fixture mapping (our choices, documented in FIXTURES.md).
@@ -82,7 +81,7 @@ def sku_dimension(part: DataFrame) -> DataFrame:
     types = (part.select("p_type").distinct()
              .withColumn("item_first_cate_cd",
                          F.dense_rank().over(Window.orderBy("p_type")).cast("int")))
-    base = part.join(bounded_broadcast(types), "p_type").select(
+    base = part.join(types, "p_type").select(
         F.col("p_partkey").alias("item_sku_id"),
         "item_first_cate_cd",
         F.col("p_size").cast("int").alias("item_second_cate_cd"),
@@ -147,15 +146,14 @@ def cate_elasticity(part: DataFrame) -> DataFrame:
 def monthly_target(sales_monthly: DataFrame) -> DataFrame:
     """Forecast target ``tm_key, item_third_cate_cd, gmv`` from the monthly facts."""
     return (sales_monthly.groupBy(F.col("month").alias("tm_key"), "item_third_cate_cd")
-            .agg(F.sum("total_net_sales").cast("double").alias("gmv")))
+            .agg(F.sum("total_net_sales").alias("gmv")))
 
 
 def monthly_time_features(orders: DataFrame) -> DataFrame:
     """Time features per month from ``orders``: order count and order value."""
     return (orders.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("tm_key"))
-            .agg(F.count(F.lit(1)).cast("double").alias("n_orders"),
-                 F.sum(F.col("o_totalprice").cast("decimal(14,2)")).cast("double")
-                 .alias("order_value")))
+            .agg(F.count(F.lit(1)).alias("n_orders"),
+                 F.sum(F.col("o_totalprice").cast("decimal(14,2)")).alias("order_value")))
 
 
 class TestInputs:
