@@ -104,10 +104,11 @@ def fill_missing_global(df: DataFrame, order_cols, columns: list[str],
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order(order_cols)
     key = F.struct(*order)
-    # The input is checkpointed first: computed once, and the range sampling
-    # over it is deterministic, so every reader sees the same slices.
+    # Input checkpointed so the upstream runs once; slice ids checkpointed so
+    # both readers below see the same slices (see ``running_sum_by_group``).
     sliced = (df.checkpoint(eager=True).repartitionByRange(n, *order)
-              .withColumn(_SLICE, F.spark_partition_id()))
+              .withColumn(_SLICE, F.spark_partition_id())
+              .checkpoint(eager=True))
     # Per slice: the last and first non-missing value of every column.
     edges = sliced.groupBy(_SLICE).agg(*[
         agg for c in columns for agg in (

@@ -95,15 +95,44 @@ def _design(features: list[str]) -> list[Column]:
 
 def sufficient_statistics(train: DataFrame, keys_batch, features: list[str],
                           target: str) -> DataFrame:
-    """Per batch: n, sum(y), sum(x_i), sum(x_i x_j) (i <= j) and sum(x_i y)."""
+    """Per batch one ``_stats`` vector: n, sum(y), sum(x), sum(x x^T) (k*k), sum(x y).
+
+    Each task reduces its rows with numpy to one vector per batch it holds;
+    the vectors are exploded by position and summed with a Spark aggregate
+    (partial sums combine map-side), then gathered back in position order.
+    A batch spread over every task therefore costs one small vector per task.
+    """
     keys = as_list(keys_batch)
-    xs, y = _design(features), F.col(target).cast("double")
     k = len(features)
-    aggs = [F.count(F.lit(1)).alias("_n"), F.sum(y).alias("_sy")]
-    aggs += [F.sum(xs[i]).alias(f"_sx{i}") for i in range(k)]
-    aggs += [F.sum(xs[i] * xs[j]).alias(f"_sxx{i}_{j}") for i in range(k) for j in range(i, k)]
-    aggs += [F.sum(xs[i] * y).alias(f"_sxy{i}") for i in range(k)]
-    return train.where(y.isNotNull()).groupBy(*keys).agg(*aggs)
+    rows = train.select(*keys, *[F.col(f).cast("double").alias(f"_x{i}")
+                                 for i, f in enumerate(features)],
+                        F.col(target).cast("double").alias("_y")).where(F.col("_y").isNotNull())
+    key_fields = [f for f in rows.schema.fields if f.name in keys]
+    schema = StructType(key_fields + [StructField("_stats", ArrayType(DoubleType()))])
+    xcols = [f"_x{i}" for i in range(k)]
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc: dict = {}
+        for pdf in batches:
+            x = pdf[xcols].fillna(0.0).to_numpy(dtype=float)
+            y = pdf["_y"].to_numpy(dtype=float)
+            for key, idx in pdf.groupby(keys, dropna=False, sort=False).indices.items():
+                xi, yi = x[idx], y[idx]
+                vec = np.concatenate([[len(idx), yi.sum()], xi.sum(axis=0),
+                                      (xi.T @ xi).ravel(), xi.T @ yi])
+                key = key if isinstance(key, tuple) else (key,)
+                acc[key] = acc[key] + vec if key in acc else vec
+        if acc:
+            out = pd.DataFrame([list(key) for key in acc], columns=keys)
+            out["_stats"] = [v.tolist() for v in acc.values()]
+            yield out
+
+    parts = rows.mapInPandas(partial, schema)
+    summed = (parts.select(*keys, F.posexplode("_stats").alias("_pos", "_v"))
+              .groupBy(*keys, "_pos").agg(F.sum("_v").alias("_v")))
+    return (summed.groupBy(*keys)
+            .agg(F.sort_array(F.collect_list(F.struct("_pos", "_v"))).alias("_pairs"))
+            .select(*keys, F.transform("_pairs", lambda p: p["_v"]).alias("_stats")))
 
 
 def solve_normal_equations(n: float, sy: float, sx: np.ndarray, sxx: np.ndarray,
@@ -137,15 +166,10 @@ def fit_linear(train: DataFrame, keys_batch, features: list[str], target: str,
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             b0s, betas = [], []
-            for row in pdf.to_dict("records"):
-                sx = np.array([row[f"_sx{i}"] for i in range(k)], dtype=float)
-                sxx = np.zeros((k, k))
-                for i in range(k):
-                    for j in range(i, k):
-                        sxx[i, j] = sxx[j, i] = row[f"_sxx{i}_{j}"]
-                sxy = np.array([row[f"_sxy{i}"] for i in range(k)], dtype=float)
-                b0, beta = solve_normal_equations(float(row["_n"]), float(row["_sy"]),
-                                                  sx, sxx, sxy, alpha)
+            for vec in pdf["_stats"]:
+                v = np.asarray(vec, dtype=float)
+                sx, sxx = v[2:2 + k], v[2 + k:2 + k + k * k].reshape(k, k)
+                b0, beta = solve_normal_equations(v[0], v[1], sx, sxx, v[2 + k + k * k:], alpha)
                 b0s.append(b0)
                 betas.append(beta.tolist())
             out = pdf[keys].copy()

@@ -4,11 +4,14 @@ A plain ``sum().over(Window.partitionBy(g).orderBy(o))`` puts every row of a
 group into one task.  When one category holds a third of all SKUs that task
 holds a third of the table.  ``running_sum_by_group`` instead:
 
-1. checkpoints the input to the shared checkpoint folder (the upstream plan
-   runs once, and every later read returns the same partitions in the same
-   order, so range sampling and slice ids are reproducible on recomputation);
+1. checkpoints the input to the shared checkpoint folder, so the upstream
+   plan runs once (range partitioning samples its input before shuffling);
 2. range-partitions on (group, order) into a fixed number of slices, so a hot
-   group is spread over consecutive slices and small groups share one;
+   group is spread over consecutive slices and small groups share one, and
+   checkpoints the rows with their slice id.  The id must be pinned: the
+   slices are read twice below, and two range exchanges over the same input
+   may sample different boundaries (the re-sampling seed depends on the RDD),
+   which would make the carry-in join miss rows;
 3. computes the running sum inside each (slice, group) — balanced tasks;
 4. sums each (slice, group) into a small table, where a window over slices
    gives every slice its carry-in and every group its total;
@@ -48,7 +51,8 @@ def running_sum_by_group(df: DataFrame, group_cols: list[str], order: list[Colum
     # An explicit slice count keeps adaptive execution from merging slices.
     sliced = (df.checkpoint(eager=True)
               .repartitionByRange(n, *group_order, *order)
-              .withColumn(_SLICE, F.spark_partition_id()))
+              .withColumn(_SLICE, F.spark_partition_id())
+              .checkpoint(eager=True))
 
     local = sliced.withColumn(_LOCAL, F.sum(value).over(
         Window.partitionBy(_SLICE, *group_cols).orderBy(*order)

@@ -145,3 +145,16 @@ ORACLE["forecast_total_error"] = with_ctes(f"""
 SELECT split, round({pdiv('abs(coalesce(sum(gmv), 0.0) - coalesce(sum(y_), 0.0))', 'coalesce(sum(gmv), 0.0)')}, 9)
          AS total_error
 FROM ols1_clipped GROUP BY split""", "ols1_clipped")
+
+# ---- sources and sinks --------------------------------------------------------
+ORACLE["tsv_roundtrip"] = ORACLE["sales_monthly"]
+ORACLE["table_rebuild"] = ORACLE["sales_monthly"]
+ORACLE["preview"] = with_ctes(f"""
+SELECT {_CATS}, item_sku_id, month, {_M}
+FROM sales_monthly
+ORDER BY item_first_cate_cd, item_second_cate_cd, item_third_cate_cd, item_sku_id, month
+LIMIT 5""", "sales_monthly")
+ORACLE["numbered_feature_files"] = with_ctes("\nUNION ALL\n".join(
+    f"SELECT tm_key, item_third_cate_cd, '{name}' AS feature, "
+    f"{'round(' + name + ', 9)' if name == 'overall_discount' else name} AS value FROM ({sql}) t"
+    for name, sql in _FEATURES.items()), "discount_keyed")

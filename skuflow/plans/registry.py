@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skuflow.operators import discounts as D
 from skuflow.operators import elasticity as E
@@ -19,8 +20,10 @@ from skuflow.operators import sales as S
 from skuflow.operators import topsell as T
 from skuflow.plans.outputs import decimals_to_double, rounded
 from skuflow.plans.pipelines import SalesFacts, build_sales_facts
-from skuflow.session import materialize
+from skuflow.session import materialize, scratch_path
 from skuflow.sources import fixtures as fx
+from skuflow.sources.tsv import preview, read_feature_dir, read_tsv, write_numbered_features, write_tsv
+from skuflow.sources.warehouse import rebuild_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -339,3 +342,57 @@ def q_forecast_hit_rate_pad(spark, sf_dir):
 def q_forecast_total_error(spark, sf_dir):
     clipped = Me.clip_predictions(one_feature_forecast(spark, sf_dir))
     return rounded(Me.total_error(clipped, "gmv"), ["total_error"])
+
+
+# ---- sources and sinks --------------------------------------------------------
+
+MONTHLY_TYPES = {"item_first_cate_cd": "int", "item_second_cate_cd": "int",
+                 "item_third_cate_cd": "int", "item_sku_id": "bigint", "month": "string",
+                 **{m: "double" for m in S.MEASURE_COLUMNS}}
+MONTHLY_KEYS = ["item_first_cate_cd", "item_second_cate_cd", "item_third_cate_cd",
+                "item_sku_id", "month"]
+
+
+@query("tsv_roundtrip")
+def q_tsv_roundtrip(spark, sf_dir):
+    # S7 then S1: facts written as a TSV directory and read back with a schema.
+    path = write_tsv(facts(spark, sf_dir).monthly, scratch_path(spark, "sales_monthly_tsv"))
+    return read_tsv(spark, path, MONTHLY_TYPES).select(*MONTHLY_KEYS, *S.MEASURE_COLUMNS)
+
+
+@query("table_rebuild")
+def q_table_rebuild(spark, sf_dir):
+    # DROP + CREATE TABLE AS as an overwrite, then a scan of the new table.
+    built = rebuild_table(facts(spark, sf_dir).monthly, path=scratch_path(spark, "sales_monthly"))
+    return decimals_to_double(built)
+
+
+@query("preview")
+def q_preview(spark, sf_dir):
+    # Five rows; an explicit order makes "the first five" well defined.
+    return decimals_to_double(preview(facts(spark, sf_dir).monthly, 5, MONTHLY_KEYS))
+
+
+@query("numbered_feature_files")
+def q_numbered_feature_files(spark, sf_dir):
+    # S8 then S2: f0..f18 written as separate tables, the folder read back,
+    # every table turned to (tm_key, category, feature, value) rows.
+    wide = D.discount_features(discount_input(spark, sf_dir), keep_row_counts=True)
+    wide = wide.checkpoint(eager=True)
+    folder = scratch_path(spark, "features_cg")
+    counts = {n: f"_{n}_rows" for n in D.FEATURE_NAMES if f"_{n}_rows" in wide.columns}
+    write_numbered_features(wide, folder, list(D.KEYS), D.FEATURE_NAMES, counts)
+    key_types = {"tm_key": "string", T.CATE3: "int"}
+    tables = read_feature_dir(spark, folder, key_types)
+    longs = []
+    for table in tables:
+        name = next(c for c in table.columns if c not in key_types)
+        value = F.col(name)
+        if name == "overall_discount":
+            value = F.round(value, 9)
+        longs.append(table.select("tm_key", T.CATE3, F.lit(name).alias("feature"),
+                                  value.alias("value")))
+    out = longs[0]
+    for part in longs[1:]:
+        out = out.unionByName(part)
+    return out

@@ -164,7 +164,13 @@ class TestInputs:
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        # One DataFrame per table and session: the file listing and footer
+        # read happen once, not once per query.
+        cache = self.spark.__dict__.setdefault("_skuflow_tables", {})
+        key = (self.sf_dir, name)
+        if key not in cache:
+            cache[key] = read_table(self.spark, self.sf_dir, name)
+        return cache[key]
 
     def order_detail(self) -> DataFrame:
         return order_detail(self.table("lineitem"))
