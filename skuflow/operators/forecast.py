@@ -200,11 +200,15 @@ def linear_forecast(labeled: DataFrame, keys_batch, features, target, alpha=0.0)
 
 # ---- exact one-regressor least squares ---------------------------------------
 
-def ols_one_feature(labeled: DataFrame, keys_batch, x: str, y: str) -> DataFrame:
-    """M1 with one regressor from sums taken in the input type (exact for
-    DECIMAL inputs), finished in double precision.  A batch whose regressor is
-    constant on the train rows gets slope 0 and the mean as intercept (the
-    minimum-norm least-squares solution)."""
+def ols_one_feature(labeled: DataFrame, keys_batch, x: str, y: str,
+                    alpha: float = 0.0) -> DataFrame:
+    """M1 (``alpha == 0``) or M2 with one regressor, from sums taken in the
+    input type (exact for DECIMAL or integer inputs), finished in double:
+
+        slope = (n Sxy - Sx Sy) / (n Sxx - Sx^2 + n alpha),  b0 = (Sy - slope Sx) / n
+
+    A batch whose regressor is constant on the train rows (and ``alpha == 0``)
+    gets slope 0 and the mean as intercept (the minimum-norm solution)."""
     keys = as_list(keys_batch)
     train = labeled.where((F.col(SPLIT) == TRAIN) & F.col(x).isNotNull() & F.col(y).isNotNull())
     s = train.groupBy(*keys).agg(
@@ -213,6 +217,8 @@ def ols_one_feature(labeled: DataFrame, keys_batch, x: str, y: str) -> DataFrame
     n = F.col("_n")
     num = (n * F.col("_sxy") - F.col("_sx") * F.col("_sy")).cast("double")
     den = (n * F.col("_sxx") - F.col("_sx") * F.col("_sx")).cast("double")
+    if alpha:
+        den = den + n.cast("double") * F.lit(float(alpha))
     slope = F.when(den != 0, num / den).otherwise(F.lit(0.0))
     coefs = s.select(*keys, slope.alias("_slope"),
                      F.col("_sx").cast("double").alias("_sxd"),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from skuflow.plans.registry import FIXTURE_SLICE, feature_query_name
-from skuflow.plans.sqlparts import (MEASURES, as_double_list, feature_names, feature_sql,
-                                    filled_sql, pdiv, with_ctes)
+from skuflow.plans.sqlparts import (MEASURES, as_double_list, define_slice, feature_names,
+                                    feature_sql, filled_sql, pdiv, with_ctes)
+from skuflow.sources.fixtures import HISTORY_START
 
 ORACLE: dict[str, str] = {}
 
@@ -158,3 +159,21 @@ ORACLE["numbered_feature_files"] = with_ctes("\nUNION ALL\n".join(
     f"SELECT tm_key, item_third_cate_cd, '{name}' AS feature, "
     f"{'round(' + name + ', 9)' if name == 'overall_discount' else name} AS value FROM ({sql}) t"
     for name, sql in _FEATURES.items()), "discount_keyed")
+
+# ---- weekly mode, the L6 batch, more fixtures ------------------------------------
+define_slice(FIXTURE_SLICE["third"], FIXTURE_SLICE["first"], FIXTURE_SLICE["second"])
+_WIDE_COLS = "tm_key, item_third_cate_cd, " + ", ".join(
+    f"round({c}, 9) AS {c}" if c == "overall_discount" else c for c in _FEATURES)
+ORACLE["discount_features_wide_weekly"] = with_ctes(
+    f"SELECT {_WIDE_COLS} FROM wide_features_weekly", "wide_features_weekly")
+ORACLE["feature_pipeline_monthly"] = with_ctes(
+    f"SELECT {_WIDE_COLS} FROM wide_features_slice", "wide_features_slice")
+ORACLE["calendar_weeks"] = with_ctes("SELECT sequentialweek, date FROM dim_week", "dim_week")
+ORACLE["history_order_lines"] = with_ctes(f"""
+SELECT sale_ord_dt, item_sku_id, CAST(after_prefr_amount AS DOUBLE) AS after_prefr_amount,
+       CAST(before_prefr_amount AS DOUBLE) AS before_prefr_amount,
+       CAST(sale_qtty AS DOUBLE) AS sale_qtty, sale_ord_valid_flag, dp, dt
+FROM order_detail
+WHERE dp = 'HISTORY' AND dt >= '{HISTORY_START}' AND sale_ord_dt >= '{HISTORY_START}'
+  AND sale_ord_valid_flag = 1""", "order_detail")
+ORACLE["forecast_ridge_one_feature"] = with_ctes("SELECT * FROM ridge1", "ridge1")

@@ -19,7 +19,7 @@ from skuflow.operators import metrics as Me
 from skuflow.operators import sales as S
 from skuflow.operators import topsell as T
 from skuflow.plans.outputs import decimals_to_double, rounded
-from skuflow.plans.pipelines import SalesFacts, build_sales_facts
+from skuflow.plans.pipelines import SalesFacts, build_sales_facts, run_feature_pipeline
 from skuflow.session import materialize, scratch_path
 from skuflow.sources import fixtures as fx
 from skuflow.sources.tsv import preview, read_feature_dir, read_tsv, write_numbered_features, write_tsv
@@ -396,3 +396,43 @@ def q_numbered_feature_files(spark, sf_dir):
     for part in longs[1:]:
         out = out.unionByName(part)
     return out
+
+
+# ---- weekly mode, the L6 batch, more fixtures ------------------------------------
+
+@query("discount_features_wide_weekly")
+def q_discount_features_wide_weekly(spark, sf_dir):
+    prepared = D.prepare_discount_input(facts(spark, sf_dir).weekly, elasticity(spark, sf_dir),
+                                        mode="weekly")
+    return rounded(D.discount_features(prepared), ["overall_discount"])
+
+
+@query("feature_pipeline_monthly")
+def q_feature_pipeline_monthly(spark, sf_dir):
+    # Elasticity, facts, category slice, top selling and features in one run.
+    i = inputs(spark, sf_dir)
+    run = run_feature_pipeline(
+        i.order_detail(), i.synthetic_price_source(), i.sku_dim(), i.dim_date(), i.dim_week(),
+        i.sku_elasticity(), i.brand_elasticity(), i.cate_elasticity(), mode="monthly",
+        category_slice=FIXTURE_SLICE, history_start=fx.HISTORY_START,
+        snapshot_dt=fx.SKU_SNAPSHOT_DT, elasticity_dt=fx.ELASTICITY_DT)
+    return rounded(run.features, ["overall_discount"])
+
+
+@query("calendar_weeks")
+def q_calendar_weeks(spark, sf_dir):
+    return inputs(spark, sf_dir).dim_week()
+
+
+@query("history_order_lines")
+def q_history_order_lines(spark, sf_dir):
+    # S4 + P3: the order-line scan restricted to valid history lines.
+    lines = S.valid_history_lines(inputs(spark, sf_dir).order_detail(), fx.HISTORY_START)
+    return decimals_to_double(lines)
+
+
+@query("forecast_ridge_one_feature")
+def q_forecast_ridge_one_feature(spark, sf_dir):
+    rows, _ = labeled(spark, sf_dir)
+    out = M.ols_one_feature(rows, [T.CATE3], "n_orders", "gmv", alpha=1.0)
+    return decimals_to_double(out.select(*OUT[:4], "n_orders", "y_"))
