@@ -164,8 +164,15 @@ def q_top_selling_monthly(spark, sf_dir):
 
 # ---- L5: discount features --------------------------------------------------
 
-def discount_input(spark, sf_dir) -> DataFrame:
-    return D.prepare_discount_input(facts(spark, sf_dir).monthly, elasticity(spark, sf_dir))
+def discount_input(spark, sf_dir, monthly: DataFrame | None = None) -> DataFrame:
+    monthly = facts(spark, sf_dir).monthly if monthly is None else monthly
+    return D.prepare_discount_input(monthly, elasticity(spark, sf_dir))
+
+
+def stored_monthly(spark, sf_dir) -> DataFrame:
+    """Monthly facts computed once and checkpointed, for queries that read
+    them in several branches (target, marks, features)."""
+    return facts(spark, sf_dir).monthly.checkpoint(eager=True)
 
 
 def _feature_query(name: str) -> QueryFn:
@@ -206,15 +213,16 @@ def spec(method: str = "linear_regression") -> M.ForecastSpec:
     return M.ForecastSpec(method=method, **FORECAST)
 
 
-def target(spark, sf_dir) -> DataFrame:
-    return fx.monthly_target(facts(spark, sf_dir).monthly)
+def target(spark, sf_dir, monthly: DataFrame | None = None) -> DataFrame:
+    return fx.monthly_target(facts(spark, sf_dir).monthly if monthly is None else monthly)
 
 
 def matrix(spark, sf_dir) -> tuple[DataFrame, list[str]]:
     """J8 + J9 + P9: target with time and category features, and the feature list."""
-    t = Fe.join_time_features(target(spark, sf_dir), [inputs(spark, sf_dir).time_features()],
-                              ["tm_key"])
-    wide = D.discount_features(discount_input(spark, sf_dir))
+    monthly = stored_monthly(spark, sf_dir)
+    t = Fe.join_time_features(target(spark, sf_dir, monthly),
+                              [inputs(spark, sf_dir).time_features()], ["tm_key"])
+    wide = D.discount_features(discount_input(spark, sf_dir, monthly))
     m = Fe.join_category_features(t, [wide], [T.CATE3], ["tm_key"])
     feats = Fe.feature_columns(m.columns, ["tm_key"], [T.CATE3], "gmv")
     return m.select(*KEYS, "gmv", *feats), feats
@@ -245,8 +253,10 @@ def q_join_time_features(spark, sf_dir):
 
 @query("join_category_features")
 def q_join_category_features(spark, sf_dir):
-    wide = D.discount_features(discount_input(spark, sf_dir))
-    return _out(Fe.join_category_features(target(spark, sf_dir), [wide], [T.CATE3], ["tm_key"]))
+    monthly = stored_monthly(spark, sf_dir)
+    wide = D.discount_features(discount_input(spark, sf_dir, monthly))
+    return _out(Fe.join_category_features(target(spark, sf_dir, monthly), [wide], [T.CATE3],
+                                          ["tm_key"]))
 
 
 @query("feature_matrix")

@@ -35,18 +35,30 @@ TEST_VALUES = ("2001-01",)
 
 
 def _day(c: str):
-    return F.date_format(F.col(c), "yyyy-MM-dd")
+    """``yyyy-MM-dd`` of a timestamp (a date cast: no formatter, no time zone)."""
+    return F.col(c).cast("date").cast("string")
+
+
+def _cents(c: str):
+    return F.round(F.col(c) * 100).cast("bigint")
 
 
 def order_detail(lineitem: DataFrame) -> DataFrame:
-    """Order lines: ``sale_ord_dt, item_sku_id, after/before_prefr_amount, sale_qtty, flags``."""
-    gross = F.col("l_extendedprice").cast("decimal(12,2)")
-    rate = F.col("l_discount").cast("decimal(4,2)")
+    """Order lines: ``sale_ord_dt, item_sku_id, after/before_prefr_amount, sale_qtty, flags``.
+
+    Amounts are built from whole cents and whole discount points in long
+    arithmetic and scaled once, so they are exact DECIMALs that fit a long
+    (precision <= 18) and stay on Spark's compact decimal path.
+    """
+    cents, points = _cents("l_extendedprice"), _cents("l_discount")
+    after_units = cents * (F.lit(100) - F.lit(3) * points)          # 1e-4 currency units
     return lineitem.select(
         _day("l_shipdate").alias("sale_ord_dt"),
         F.col("l_partkey").alias("item_sku_id"),
-        (gross * (F.lit(1) - F.lit(3) * rate)).cast("decimal(18,4)").alias("after_prefr_amount"),
-        gross.alias("before_prefr_amount"),
+        (after_units.cast("decimal(13,0)") * F.lit(0.0001).cast("decimal(4,4)"))
+        .alias("after_prefr_amount"),
+        (cents.cast("decimal(10,0)") * F.lit(0.01).cast("decimal(2,2)"))
+        .alias("before_prefr_amount"),
         F.col("l_quantity").cast("decimal(8,2)").alias("sale_qtty"),
         F.when(F.col("l_returnflag") == "R", 0).otherwise(1).alias("sale_ord_valid_flag"),
         F.when(F.col("l_linestatus") == "F", "HISTORY").otherwise("ACTIVE").alias("dp"),
