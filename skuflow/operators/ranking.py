@@ -19,6 +19,11 @@ holds a third of the table.  ``running_sum_by_group`` instead:
 
 The small table has at most ``slices + groups`` rows.  The result equals the
 single-window form exactly when the order is total (add a unique tie-break).
+
+Splitting costs a range shuffle, a second checkpoint and a join, so it is
+done only when needed: after step 1 one aggregate over the checkpoint finds
+the largest group, and when it holds at most ``max_group_rows`` rows the
+single window (one shuffle) is used.  ``max_group_rows=None`` always splits.
 """
 
 from __future__ import annotations
@@ -31,26 +36,41 @@ from skuflow.session import checkpoint_dir
 
 _SLICE, _LOCAL, _SUB, _CARRY = "_rs_slice", "_rs_local", "_rs_sub", "_rs_carry"
 
+# Fixed default: a group up to this many rows is summed by one task.
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
+
+
+def _single_window(df: DataFrame, group_cols, order, value: Column, cum_col, total_col):
+    w = Window.partitionBy(*group_cols).orderBy(*order)
+    return (df.withColumn(cum_col, F.sum(value).over(
+                w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+              .withColumn(total_col, F.sum(value).over(Window.partitionBy(*group_cols))))
+
+
+def largest_group(df: DataFrame, group_cols: list[str]) -> int:
+    """Row count of the largest group (a partial aggregate; one small result)."""
+    return df.groupBy(*group_cols).count().agg(F.max("count")).first()[0] or 0
+
 
 def running_sum_by_group(df: DataFrame, group_cols: list[str], order: list[Column],
                          value_col: str, cum_col: str, total_col: str,
-                         split_hot_groups: bool = True, slices: int | None = None) -> DataFrame:
+                         split_hot_groups: bool = True, slices: int | None = None,
+                         max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """Add ``cum_col`` (inclusive running sum of ``value_col`` in ``order`` within
     ``group_cols``) and ``total_col`` (the group total).  Group keys must be non-NULL."""
     value = F.col(value_col)
     if not split_hot_groups:
-        w = Window.partitionBy(*group_cols).orderBy(*order)
-        return (df.withColumn(cum_col, F.sum(value).over(
-                    w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-                  .withColumn(total_col, F.sum(value).over(Window.partitionBy(*group_cols))))
+        return _single_window(df, group_cols, order, value, cum_col, total_col)
 
     spark = df.sparkSession
     checkpoint_dir(spark)
+    base = df.checkpoint(eager=True)
+    if max_group_rows is not None and largest_group(base, group_cols) <= max_group_rows:
+        return _single_window(base, group_cols, order, value, cum_col, total_col)
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     group_order = [F.col(c).asc() for c in group_cols]
     # An explicit slice count keeps adaptive execution from merging slices.
-    sliced = (df.checkpoint(eager=True)
-              .repartitionByRange(n, *group_order, *order)
+    sliced = (base.repartitionByRange(n, *group_order, *order)
               .withColumn(_SLICE, F.spark_partition_id())
               .checkpoint(eager=True))
 
@@ -66,4 +86,4 @@ def running_sum_by_group(df: DataFrame, group_cols: list[str], order: list[Colum
         F.sum(_SUB).over(Window.partitionBy(*group_cols)).alias(total_col))
     out = join_lookup(local, carry, [_SLICE, *group_cols], "inner")
     return (out.withColumn(cum_col, F.col(_LOCAL) + F.col(_CARRY))
-               .drop(_SLICE, _LOCAL, _CARRY))
+               .select(*df.columns, cum_col, total_col))

@@ -5,7 +5,8 @@ trailing sales (L4: W1-W7, F8-F11, O1, O4).
   -1)`` on a period index), not k shifted self-joins.  A SKU group holds one row
   per period, so its size is bounded by the calendar whatever the data volume.
 * W3 running sum and W4 category total come from ``running_sum_by_group``,
-  which splits a hot (period, category) over several tasks.
+  which splits a (period, category) over several tasks when it is larger
+  than ``max_group_rows``.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuflow.functions.numeric import clamp_negative, month_index, pdiv
-from skuflow.operators.ranking import running_sum_by_group
+from skuflow.operators.ranking import DEFAULT_MAX_GROUP_ROWS, running_sum_by_group
 
 # Fixed values of the reference: period column and lookback per mode, Pareto share.
 MODES = {"weekly": ("sequentialweek", 12), "monthly": ("month", 3)}
@@ -71,7 +72,8 @@ def pareto_marks(ranked: DataFrame, share: float = PARETO_SHARE) -> DataFrame:
 
 
 def top_selling(facts: DataFrame, mode: str = "monthly", keep_columns: bool = False,
-                split_hot_groups: bool = True) -> DataFrame:
+                split_hot_groups: bool = True,
+                max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """L4: ``item_third_cate_cd, item_sku_id, <period>, true_top_saling_mark,
     sales_share_recent_three_months`` for every row with non-NULL keys.
 
@@ -83,7 +85,8 @@ def top_selling(facts: DataFrame, mode: str = "monthly", keep_columns: bool = Fa
     trailing = trailing_sales(facts, mode).where(F.col(CATE3).isNotNull())
     ranked = running_sum_by_group(
         trailing, [period, CATE3], [F.col(TRAILING).desc(), F.col(SKU).asc()],
-        TRAILING, CUMULATED, CATE_TOTAL, split_hot_groups=split_hot_groups)
+        TRAILING, CUMULATED, CATE_TOTAL, split_hot_groups=split_hot_groups,
+        max_group_rows=max_group_rows)
     marked = pareto_marks(ranked)
     if keep_columns:
         return marked

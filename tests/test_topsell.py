@@ -30,10 +30,11 @@ def test_negative_sales_clamped_in_trailing_sum(spark):
 
 
 def marks_for(spark, trailing_by_sku, split=True):
-    """One category, week 2; trailing sales come from week 1."""
+    """One category, week 2; trailing sales come from week 1.  ``split``
+    forces the sliced running sum whatever the group sizes."""
     data = [(1, sku, 1, float(v)) for sku, v in trailing_by_sku.items()]
     data += [(1, sku, 2, 0.0) for sku in trailing_by_sku]
-    out = T.top_selling(weekly(spark, data), "weekly", split_hot_groups=split)
+    out = T.top_selling(weekly(spark, data), "weekly", split_hot_groups=split, max_group_rows=None)
     return {r.item_sku_id: (r[T.MARK], r[T.SHARE]) for r in out.where("sequentialweek = 2").collect()}
 
 
@@ -82,7 +83,8 @@ def test_split_running_sum_equals_single_window_with_hot_group(spark):
             for i in range(6000)]
     df = spark.createDataFrame(data, "g int, k bigint, v double").repartition(5)
     order = [F.col("v").desc(), F.col("k").asc()]
-    split = running_sum_by_group(df, ["g"], order, "v", "cum", "total", slices=16)
+    split = running_sum_by_group(df, ["g"], order, "v", "cum", "total", slices=16,
+                                 max_group_rows=None)
     single = df.withColumn("cum", F.sum("v").over(
         Window.partitionBy("g").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))) \
         .withColumn("total", F.sum("v").over(Window.partitionBy("g")))
@@ -95,8 +97,18 @@ def test_split_running_sum_is_stable_when_written(spark, tmp_path):
     df = spark.createDataFrame([(i % 4, i, float(i % 13)) for i in range(3000)],
                                "g int, k bigint, v double").coalesce(1)
     out = running_sum_by_group(df, ["g"], [F.col("v").desc(), F.col("k").asc()], "v", "cum",
-                               "total", slices=12)
+                               "total", slices=12, max_group_rows=None)
     for i in range(3):
         path = str(tmp_path / f"run{i}")
         out.write.parquet(path)
         assert spark.read.parquet(path).count() == 3000
+
+
+def test_group_size_check_picks_split_only_for_big_groups(spark):
+    df = spark.createDataFrame([(i % 3, i, float(i)) for i in range(300)], "g int, k bigint, v double")
+    order = [F.col("v").desc(), F.col("k").asc()]
+    small = running_sum_by_group(df, ["g"], order, "v", "cum", "total", max_group_rows=1000)
+    forced = running_sum_by_group(df, ["g"], order, "v", "cum", "total", max_group_rows=50)
+    plan_small = small._jdf.queryExecution().executedPlan().toString()
+    assert "_rs_slice" not in plan_small
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, forced.collect()))
