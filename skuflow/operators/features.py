@@ -11,7 +11,9 @@ Gap filling has two forms:
   ``partitionBy`` would run in one task; instead the table is range-sliced on
   the order, each slice reports its last / first non-missing values, a window
   over that per-slice summary (at most one row per slice) gives each slice its
-  carry-in from both sides, and the fill runs per slice.
+  carry-in from both sides, and the fill runs per slice.  A table of at most
+  ``max_rows`` rows (checked on the checkpointed input) is filled by the single
+  window instead.
 """
 
 from __future__ import annotations
@@ -93,10 +95,29 @@ def fill_missing(df: DataFrame, order_cols, partition_cols, columns: list[str])
 
 _SLICE = "_fill_slice"
 
+# Fixed default: a table up to this many rows is filled by one task.
+DEFAULT_MAX_SINGLE_TASK_ROWS = 2_000_000
+
+
+def _fill_one_window(df: DataFrame, order: list[Column], columns: list[str],
+                     backward: bool) -> DataFrame:
+    w = Window.orderBy(*order)
+    ahead = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    behind = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    filled = {}
+    for c in columns:
+        options = [F.last(c, ignorenulls=True).over(ahead)]
+        if backward:
+            options.append(F.first(c, ignorenulls=True).over(behind))
+        filled[c] = F.coalesce(*options)
+    return df.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
+
 
 def fill_missing_global(df: DataFrame, order_cols, columns: list[str],
-                        slices: int | None = None, backward: bool = True) -> DataFrame:
-    """W8+W9 over the whole table in one total row order, without one task.
+                        slices: int | None = None, backward: bool = True,
+                        max_rows: int | None = DEFAULT_MAX_SINGLE_TASK_ROWS) -> DataFrame:
+    """W8+W9 over the whole table in one total row order, never more than
+    ``max_rows`` rows in one task (``max_rows=None`` always slices).
 
     ``backward=False`` gives the forward fill alone (pad)."""
     spark = df.sparkSession
@@ -104,9 +125,13 @@ def fill_missing_global(df: DataFrame, order_cols, columns: list[str],
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order(order_cols)
     key = F.struct(*order)
-    # Input checkpointed so the upstream runs once; slice ids checkpointed so
-    # both readers below see the same slices (see ``running_sum_by_group``).
-    sliced = (df.checkpoint(eager=True).repartitionByRange(n, *order)
+    # Input checkpointed so the upstream runs once (count or range sampling,
+    # then the fill); slice ids checkpointed so both readers below see the same
+    # slices (see ``running_sum_by_group``).
+    base = df.checkpoint(eager=True)
+    if max_rows is not None and base.count() <= max_rows:
+        return _fill_one_window(base, order, columns, backward)
+    sliced = (base.repartitionByRange(n, *order)
               .withColumn(_SLICE, F.spark_partition_id())
               .checkpoint(eager=True))
     # Per slice: the last and first non-missing value of every column.

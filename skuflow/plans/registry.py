@@ -19,7 +19,8 @@ from skuflow.operators import metrics as Me
 from skuflow.operators import sales as S
 from skuflow.operators import topsell as T
 from skuflow.plans.outputs import decimals_to_double, rounded
-from skuflow.plans.pipelines import SalesFacts, build_sales_facts, run_feature_pipeline
+from skuflow.plans.pipelines import (SalesFacts, build_sales_facts, forecast_pipeline,
+                                     run_feature_pipeline)
 from skuflow.session import materialize, scratch_path
 from skuflow.sources import fixtures as fx
 from skuflow.sources.tsv import preview, read_feature_dir, read_tsv, write_numbered_features, write_tsv
@@ -446,3 +447,14 @@ def q_forecast_ridge_one_feature(spark, sf_dir):
     rows, _ = labeled(spark, sf_dir)
     out = M.ols_one_feature(rows, [T.CATE3], "n_orders", "gmv", alpha=1.0)
     return decimals_to_double(out.select(*OUT[:4], "n_orders", "y_"))
+
+
+@query("forecast_pipeline_metrics")
+def q_forecast_pipeline_metrics(spark, sf_dir):
+    # L7 end to end: features joined, filled per batch, OLS per category,
+    # negative predictions clipped, scored per split (rows-only check).
+    monthly = stored_monthly(spark, sf_dir)
+    wide = D.discount_features(discount_input(spark, sf_dir, monthly))
+    run = forecast_pipeline(target(spark, sf_dir, monthly), [inputs(spark, sf_dir).time_features()],
+                            [wide], spec())
+    return run.metrics

@@ -29,18 +29,22 @@ def test_global_fill_matches_single_window(spark):
             for i in range(2000)]
     data[0] = (0, None, None)
     df = spark.createDataFrame(data, "t int, x double, z double").repartition(7)
-    out = Fe.fill_missing_global(df, ["t"], ["x", "z"], slices=9)
+    out = Fe.fill_missing_global(df, ["t"], ["x", "z"], slices=9, max_rows=None)
+    small = Fe.fill_missing_global(df, ["t"], ["x", "z"])
     w = Window.orderBy("t")
     ahead, behind = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
     ref = df.select("t", *[F.coalesce(F.last(c, True).over(ahead), F.first(c, True).over(behind)).alias(c)
                            for c in ("x", "z")])
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, ref.collect()))
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, ref.collect()))
 
 
 def test_global_pad_is_forward_only(spark):
     df = spark.createDataFrame([(0, None), (1, 3.0), (2, None)], "t int, x double")
-    out = Fe.fill_missing_global(df, ["t"], ["x"], slices=2, backward=False).orderBy("t")
-    assert [r.x for r in out.collect()] == [None, 3.0, 3.0]
+    for max_rows in (None, 100):
+        out = Fe.fill_missing_global(df, ["t"], ["x"], slices=2, backward=False,
+                                     max_rows=max_rows).orderBy("t")
+        assert [r.x for r in out.collect()] == [None, 3.0, 3.0]
 
 
 def test_feature_joins_and_clash(spark):
