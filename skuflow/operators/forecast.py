@@ -70,9 +70,13 @@ def split_rows(df: DataFrame, split_name: str, train_max, test_values) -> DataFr
 
 
 def eligible_batches(split_df: DataFrame, keys_batch) -> DataFrame:
-    """Batches with at least one train row and one test row."""
+    """Batches with at least one train row and one test row.  A batch with
+    a missing key is never fitted (Q8: a pandas group-by drops it)."""
     keys = as_list(keys_batch)
-    return (split_df.groupBy(*keys)
+    known = split_df
+    for k in keys:
+        known = known.where(F.col(k).isNotNull())
+    return (known.groupBy(*keys)
             .agg(F.count_if(F.col(SPLIT) == TRAIN).alias("n_train"),
                  F.count_if(F.col(SPLIT) == TEST).alias("n_test"))
             .where((F.col("n_train") > 0) & (F.col("n_test") > 0)))
