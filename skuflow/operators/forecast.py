@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from skuflow.operators.features import as_list
+from skuflow.session import checkpoint_dir
 
 SPLIT, PRED = "split", "y_"
 TRAIN, TEST = "train", "test"
@@ -247,7 +248,10 @@ def gbt_forecast(labeled: DataFrame, keys_batch, features: list[str], target: st
     prepared = labeled.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(a)
                                      for c, a in zip(keys + features, inputs)])
     vec = VectorAssembler(inputCols=inputs, outputCol="_gbt_features")
-    data = vec.transform(prepared)
+    # Boosting runs several jobs per iteration over its input: read it from a
+    # checkpoint instead of re-deriving it from the whole upstream plan.
+    checkpoint_dir(labeled.sparkSession)
+    data = vec.transform(prepared).checkpoint(eager=True)
     train = data.where((F.col(SPLIT) == TRAIN) & F.col(target).isNotNull()) \
         .withColumn("_gbt_label", F.col(target).cast("double"))
     model = GBTRegressor(featuresCol="_gbt_features", labelCol="_gbt_label",
