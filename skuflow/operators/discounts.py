@@ -81,13 +81,16 @@ def prepare_discount_input(sales: DataFrame, elasticity: DataFrame,
 
     ``top`` is a top-selling table to left-join on (category, SKU, period) as
     the reference does.  Without it the marks are computed on ``sales`` itself
-    (same rows, one window pass instead of a second join).
+    (same rows, one window pass instead of a second join).  The elasticity is
+    joined first: a shuffle join on SKU leaves the rows partitioned by SKU,
+    which the per-SKU trailing window reuses; the feature aggregate then reuses
+    the (period, category) partitioning of the Pareto window.
     """
     period, _ = mode_spec(mode)
     pe = elasticity.select(SKU, "pe")
     if top is None:
-        marked = top_selling(sales, mode, keep_columns=True)
-        df = join_lookup(marked, pe, SKU, "left", max_broadcast_rows)
+        with_pe = join_lookup(sales, pe, SKU, "left", max_broadcast_rows)
+        df = top_selling(with_pe, mode, keep_columns=True)
     else:
         df = join_lookup(sales, pe, SKU, "left", max_broadcast_rows)
         df = df.join(top.select(CATE3, SKU, period, MARK, SHARE), [CATE3, SKU, period], "left")
