@@ -50,3 +50,13 @@ def test_forecast_pipeline_scores_both_splits(spark, inputs, method, fill):
     # at sf0.001 some categories lack a train/test pair and are left out
     eligible = run.predictions.select("item_third_cate_cd").distinct().count()
     assert 0 < eligible < 25
+
+
+def test_forced_split_matches_single_window_on_real_facts(spark, inputs):
+    from skuflow.operators import topsell as T
+    monthly = R.stored_monthly(spark, SF)
+    single = T.top_selling(monthly, "monthly", split_hot_groups=False)
+    split = T.top_selling(monthly, "monthly", max_group_rows=5)   # every group counts as hot
+    a = sorted(map(tuple, single.collect()))
+    b = sorted(map(tuple, split.collect()))
+    assert len(a) == len(b) > 1000 and a == b
