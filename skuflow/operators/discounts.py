@@ -14,13 +14,12 @@ pandas-regime rules kept (SURVEY §1.3, Q9-Q11):
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.functions.numeric import band_label, pdiv
+from skuflow.functions.numeric import band_label, pdiv, pdiv_sql
 from skuflow.operators.joins import join_lookup
 from skuflow.operators.topsell import CATE3, MARK, SHARE, SKU, mode_spec, top_selling
 
@@ -37,31 +36,23 @@ GA, SG, NET = "total_synthetic_give_away", "total_synthetic_gross_sales", "total
 class Feature:
     name: str
     kind: str            # "overall" | "ratio" | "band_ratio" | "band_gmv"
-    row_mask: Callable[[], Column] | None
+    mask: str | None     # row condition as SQL over the prepared columns
 
-    @property
-    def mask(self) -> Column:
-        return self.row_mask()
 
-
-def _band(low: float, high: float) -> Callable[[], Column]:
-    def mask() -> Column:
-        d = F.col("discount")
-        return F.col(MARK) & (d > F.lit(low)) & (d <= F.lit(high))
-    return mask
+def _band(low: float, high: float) -> str:
+    return f"{MARK} AND discount > {float(low)!r}D AND discount <= {float(high)!r}D"
 
 
 def feature_list() -> list[Feature]:
     """The 19 features in the reference's order (f0..f18)."""
-    mark, pe, disc = (lambda: F.col(MARK)), (lambda: F.col("pe")), (lambda: F.col("discount"))
     feats = [
         Feature("overall_discount", "overall", None),
-        Feature("top_saling_discount", "ratio", mark),
-        Feature("long_tail_discount", "ratio", lambda: ~mark()),
-        Feature("high_pe_discount", "ratio", lambda: pe() < F.lit(HIGH_PE_BELOW)),
-        Feature("low_pe_discount", "ratio", lambda: pe() >= F.lit(HIGH_PE_BELOW)),
-        Feature("on_sale_discount", "ratio", lambda: disc() >= F.lit(ON_SALE_FROM)),
-        Feature("off_sale_discount", "ratio", lambda: disc() < F.lit(ON_SALE_FROM)),
+        Feature("top_saling_discount", "ratio", MARK),
+        Feature("long_tail_discount", "ratio", f"NOT {MARK}"),
+        Feature("high_pe_discount", "ratio", f"pe < {HIGH_PE_BELOW!r}D"),
+        Feature("low_pe_discount", "ratio", f"pe >= {HIGH_PE_BELOW!r}D"),
+        Feature("on_sale_discount", "ratio", f"discount >= {ON_SALE_FROM!r}D"),
+        Feature("off_sale_discount", "ratio", f"discount < {ON_SALE_FROM!r}D"),
     ]
     for low, high in BANDS:
         label = band_label(low, high)
@@ -101,22 +92,21 @@ def prepare_discount_input(sales: DataFrame, elasticity: DataFrame,
               .withColumn("discount", F.coalesce(pdiv(GA, SG), F.lit(0.0))))
 
 
-def _sum0(c: Column) -> Column:
-    """pandas group sum: missing skipped, all-missing 0."""
-    return F.coalesce(F.sum(c), F.lit(0))
-
-
 def _aggregates(feat: Feature) -> list[Column]:
+    """Aggregate expressions of one feature, as SQL (one JVM call each).
+
+    pandas group sums skip missing values and sum nothing to 0, hence the
+    ``coalesce(sum(...), 0)``."""
     n = feat.name
     if feat.kind == "overall":
-        row = F.coalesce(pdiv(F.col(SHARE) * F.col(GA), F.col(SG)), F.lit(0.0))
-        return [F.sum(row).alias(n)]
+        row = f"coalesce({pdiv_sql(f'{SHARE} * {GA}', SG)}, 0.0D)"
+        return [F.expr(f"sum({row})").alias(n)]
     if feat.kind == "band_gmv":
-        return [F.sum(F.when(feat.mask, F.col(NET))).alias(f"_{n}_net"),
-                _sum0(F.col(NET)).alias(f"_{n}_all")]
-    return [_sum0(F.when(feat.mask, F.col(GA))).alias(f"_{n}_ga"),
-            _sum0(F.when(feat.mask, F.col(SG))).alias(f"_{n}_sg"),
-            F.count_if(feat.mask).alias(f"_{n}_rows")]
+        return [F.expr(f"sum(CASE WHEN {feat.mask} THEN {NET} END)").alias(f"_{n}_net"),
+                F.expr(f"coalesce(sum({NET}), 0)").alias(f"_{n}_all")]
+    return [F.expr(f"coalesce(sum(CASE WHEN {feat.mask} THEN {GA} END), 0)").alias(f"_{n}_ga"),
+            F.expr(f"coalesce(sum(CASE WHEN {feat.mask} THEN {SG} END), 0)").alias(f"_{n}_sg"),
+            F.expr(f"count_if({feat.mask})").alias(f"_{n}_rows")]
 
 
 def _final(feat: Feature) -> Column:
@@ -124,11 +114,11 @@ def _final(feat: Feature) -> Column:
     if feat.kind == "overall":
         return F.col(n)
     if feat.kind == "band_gmv":
-        return F.coalesce(pdiv(F.col(f"_{n}_net"), F.col(f"_{n}_all")), F.lit(0.0))
-    ratio = pdiv(F.col(f"_{n}_ga"), F.col(f"_{n}_sg"))
+        return F.expr(f"coalesce({pdiv_sql(f'_{n}_net', f'_{n}_all')}, 0.0D)")
+    ratio = pdiv_sql(f"_{n}_ga", f"_{n}_sg")
     if feat.kind == "band_ratio":
-        ratio = F.coalesce(ratio, F.lit(0.0))
-    return F.when(F.col(f"_{n}_rows") > 0, ratio)
+        ratio = f"coalesce({ratio}, 0.0D)"
+    return F.expr(f"CASE WHEN _{n}_rows > 0 THEN {ratio} END")
 
 
 def _keyed(prepared: DataFrame) -> DataFrame:

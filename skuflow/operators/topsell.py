@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.functions.numeric import clamp_negative, month_index, pdiv
+from skuflow.functions.numeric import clamp_negative, month_index, pdiv_sql
 from skuflow.operators.ranking import DEFAULT_MAX_GROUP_ROWS, running_sum_by_group
 
 # Fixed values of the reference: period column and lookback per mode, Pareto share.
@@ -62,13 +62,13 @@ def category_trailing_total(trailing: DataFrame, mode: str = "monthly") -> DataF
 
 def pareto_marks(ranked: DataFrame, share: float = PARETO_SHARE) -> DataFrame:
     """W5-W7 on rows carrying trailing sales, running sum and category total."""
-    r, cum, total = F.col(TRAILING), F.col(CUMULATED), F.col(CATE_TOTAL)
-    own = F.coalesce(pdiv(r, total), F.lit(0.0))
-    cumulated = F.coalesce(pdiv(cum, total), F.lit(0.0))
-    before = F.coalesce(pdiv(cum - r, total), F.lit(0.0))
-    mark = (((cumulated >= share) & (before < share))
-            | ((cumulated > 0) & (cumulated < share)))
-    return ranked.withColumn(MARK, mark).withColumn(SHARE, own)
+    own = f"coalesce({pdiv_sql(TRAILING, CATE_TOTAL)}, 0.0D)"
+    cumulated = f"coalesce({pdiv_sql(CUMULATED, CATE_TOTAL)}, 0.0D)"
+    before = f"coalesce({pdiv_sql(f'{CUMULATED} - {TRAILING}', CATE_TOTAL)}, 0.0D)"
+    s = f"{float(share)!r}D"
+    mark = (f"(({cumulated}) >= {s} AND ({before}) < {s})"
+            f" OR (({cumulated}) > 0 AND ({cumulated}) < {s})")
+    return ranked.withColumn(MARK, F.expr(mark)).withColumn(SHARE, F.expr(own))
 
 
 def top_selling(facts: DataFrame, mode: str = "monthly", keep_columns: bool = False,
