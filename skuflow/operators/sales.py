@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.functions.numeric import month_of_day, sql_div
+from skuflow.functions.numeric import sql_div, sql_div_sql
 from skuflow.operators.joins import join_lookup
 
 # Fixed values of the reference's build.
@@ -101,22 +101,21 @@ def sales_measures(daily: DataFrame, dim_date: DataFrame, dim_week: DataFrame) -
                                         F.col("date").alias("week_start")))
     s = daily.join(days, daily["sale_ord_dt"] == days["date"], "inner")
     s = s.join(weeks, s["sequentialweek"] == weeks["_week"], "left")
-    uv, price, net, gross = (F.col("unit_volume"), F.col("synthetic_gross_price"),
-                             F.col("net_sales"), F.col("gross_sales"))
-    synthetic_give_away = F.when(price == 0, F.lit(0)).otherwise(
-        F.when(uv != 0, uv * price - net))
-    net_price = sql_div(net, uv)
-    return s.select(
-        F.col("date"), *CATEGORY_COLUMNS, "item_sku_id", "unit_volume",
-        net.alias("total_net_sales"),
-        gross.alias("total_gross_sales"),
-        (uv * price).alias("total_synthetic_gross_sales"),
-        (gross - net).alias("total_give_away"),
-        synthetic_give_away.alias("total_synthetic_give_away"),
-        sql_div(gross - net, gross).alias("raw_discount_percentage"),
-        sql_div(price.cast("double") - net_price, price).alias("synthetic_discount_percentage"),
-        F.col("sequentialweek"), F.col("week_start"),
-        month_of_day("sale_ord_dt").alias("month"))
+    net_price = sql_div_sql("net_sales", "unit_volume")
+    return s.selectExpr(
+        "date", *CATEGORY_COLUMNS, "item_sku_id", "unit_volume",
+        "net_sales AS total_net_sales",
+        "gross_sales AS total_gross_sales",
+        "unit_volume * synthetic_gross_price AS total_synthetic_gross_sales",
+        "gross_sales - net_sales AS total_give_away",
+        "CASE WHEN synthetic_gross_price = 0 THEN 0"
+        " WHEN unit_volume <> 0 THEN unit_volume * synthetic_gross_price - net_sales END"
+        " AS total_synthetic_give_away",
+        f"{sql_div_sql('gross_sales - net_sales', 'gross_sales')} AS raw_discount_percentage",
+        f"{sql_div_sql(f'CAST(synthetic_gross_price AS DOUBLE) - {net_price}', 'synthetic_gross_price')}"
+        " AS synthetic_discount_percentage",
+        "sequentialweek", "week_start",
+        "substring(sale_ord_dt, 1, 7) AS month")
 
 
 def _rollup(measures: DataFrame, keys: list[str]) -> DataFrame:

@@ -39,10 +39,6 @@ def _day(c: str):
     return F.col(c).cast("date").cast("string")
 
 
-def _cents(c: str):
-    return F.round(F.col(c) * 100).cast("bigint")
-
-
 def order_detail(lineitem: DataFrame) -> DataFrame:
     """Order lines: ``sale_ord_dt, item_sku_id, after/before_prefr_amount, sale_qtty, flags``.
 
@@ -50,20 +46,20 @@ def order_detail(lineitem: DataFrame) -> DataFrame:
     arithmetic and scaled once, so they are exact DECIMALs that fit a long
     (precision <= 18) and stay on Spark's compact decimal path.
     """
-    cents, points = _cents("l_extendedprice"), _cents("l_discount")
-    after_units = cents * (F.lit(100) - F.lit(3) * points)          # 1e-4 currency units
-    return lineitem.select(
-        _day("l_shipdate").alias("sale_ord_dt"),
-        F.col("l_partkey").alias("item_sku_id"),
-        (after_units.cast("decimal(13,0)") * F.lit(0.0001).cast("decimal(4,4)"))
-        .alias("after_prefr_amount"),
-        (cents.cast("decimal(10,0)") * F.lit(0.01).cast("decimal(2,2)"))
-        .alias("before_prefr_amount"),
-        F.col("l_quantity").cast("decimal(8,2)").alias("sale_qtty"),
-        F.when(F.col("l_returnflag") == "R", 0).otherwise(1).alias("sale_ord_valid_flag"),
-        F.when(F.col("l_linestatus") == "F", "HISTORY").otherwise("ACTIVE").alias("dp"),
-        _day("l_shipdate").alias("dt"),
-    )
+    cents = "CAST(round(l_extendedprice * 100) AS BIGINT)"
+    points = "CAST(round(l_discount * 100) AS BIGINT)"
+    day = "CAST(CAST(l_shipdate AS DATE) AS STRING)"
+    return lineitem.selectExpr(
+        f"{day} AS sale_ord_dt",
+        "l_partkey AS item_sku_id",
+        # 1e-4 currency units: cents x (100 - 3 x discount points)
+        f"CAST({cents} * (100 - 3 * {points}) AS DECIMAL(13,0)) * CAST(0.0001 AS DECIMAL(4,4))"
+        " AS after_prefr_amount",
+        f"CAST({cents} AS DECIMAL(10,0)) * CAST(0.01 AS DECIMAL(2,2)) AS before_prefr_amount",
+        "CAST(l_quantity AS DECIMAL(8,2)) AS sale_qtty",
+        "CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS sale_ord_valid_flag",
+        "CASE WHEN l_linestatus = 'F' THEN 'HISTORY' ELSE 'ACTIVE' END AS dp",
+        f"{day} AS dt")
 
 
 def synthetic_price_source(lineitem: DataFrame) -> DataFrame:
