@@ -83,14 +83,23 @@ def _order(order_cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in as_list(order_cols)]
 
 
+def _fill_sql(column: str, partition: list[str], order: list[str], backward: bool = True) -> str:
+    """Forward (then backward) fill of one column as a SQL window expression."""
+    over = (f"PARTITION BY {', '.join(partition)} " if partition else "") + f"ORDER BY {', '.join(order)}"
+    out = (f"last({column}) IGNORE NULLS OVER ({over} "
+           f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    if backward:
+        out = (f"coalesce({out}, first({column}) IGNORE NULLS OVER ({over} "
+               f"ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))")
+    return out
+
+
 def fill_missing(df: DataFrame, order_cols, partition_cols, columns: list[str]) -> DataFrame:
     """W8+W9 per batch: forward fill, then backward fill what is still missing."""
-    w = Window.partitionBy(*as_list(partition_cols)).orderBy(*_order(order_cols))
-    ahead = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    behind = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    filled = {c: F.coalesce(F.last(c, ignorenulls=True).over(ahead),
-                            F.first(c, ignorenulls=True).over(behind)) for c in columns}
-    return df.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
+    part, order = as_list(partition_cols), as_list(order_cols)
+    wanted = set(columns)
+    return df.selectExpr(*[f"{_fill_sql(c, part, order)} AS {c}" if c in wanted else c
+                           for c in df.columns])
 
 
 _SLICE = "_fill_slice"

@@ -93,11 +93,6 @@ def keep_eligible(split_df: DataFrame, keys_batch) -> DataFrame:
 
 # ---- linear models from sufficient statistics ------------------------------
 
-def _design(features: list[str]) -> list[Column]:
-    """Feature values as doubles; a value still missing after filling counts 0."""
-    return [F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]
-
-
 def sufficient_statistics(train: DataFrame, keys_batch, features: list[str],
                           target: str) -> DataFrame:
     """Per batch one ``_stats`` vector: n, sum(y), sum(x), sum(x x^T) (k*k), sum(x y).
@@ -190,10 +185,8 @@ def predict_linear(rows: DataFrame, coefficients: DataFrame, keys_batch,
     """``y_ = b0 + sum(beta_i * x_i)`` as a column expression (batches without
     a fit drop out, like the reference's skipped batches)."""
     keys = as_list(keys_batch)
-    xs = _design(features)
-    pred = F.col("_b0")
-    for i, x in enumerate(xs):
-        pred = pred + F.col("_beta")[i] * x
+    terms = [f"_beta[{i}] * coalesce(CAST({f} AS DOUBLE), 0.0D)" for i, f in enumerate(features)]
+    pred = F.expr(" + ".join(["_b0", *terms]))
     joined = rows.join(coefficients, keys, "inner")
     return joined.withColumn(PRED, pred).drop("_b0", "_beta")
 
