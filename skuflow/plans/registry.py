@@ -230,8 +230,10 @@ def matrix(spark, sf_dir) -> tuple[DataFrame, list[str]]:
 
 
 def filled(spark, sf_dir) -> tuple[DataFrame, list[str]]:
+    """The filled feature matrix, checkpointed: eligibility, fit and prediction
+    all read it."""
     m, feats = matrix(spark, sf_dir)
-    return Fe.fill_missing(m, ["tm_key"], [T.CATE3], feats), feats
+    return Fe.fill_missing(m, ["tm_key"], [T.CATE3], feats).checkpoint(eager=True), feats
 
 
 def labeled(spark, sf_dir) -> tuple[DataFrame, list[str]]:
