@@ -26,11 +26,17 @@ def clip_predictions(df: DataFrame, pred: str = PRED) -> DataFrame:
     return df.withColumn(pred, clip_at_zero(pred))
 
 
-def zero_negative_rows(df: DataFrame, pred: str = PRED) -> DataFrame:
-    """F16 parity (Q3): where the prediction is negative every column becomes 0."""
+def zero_negative_rows(df: DataFrame, pred: str = PRED, keep=(SPLIT,)) -> DataFrame:
+    """F16 parity (Q3): where the prediction is negative every column becomes 0.
+
+    Columns in ``keep`` are left alone: the ``split`` label is ours (the
+    reference zeroes its train and test frames separately)."""
     neg = F.col(pred) < 0
     cols = []
     for f in df.schema.fields:
+        if f.name in keep:
+            cols.append(F.col(f.name))
+            continue
         zero = F.lit("0") if isinstance(f.dataType, StringType) else F.lit(0).cast(f.dataType)
         cols.append(F.when(neg, zero).otherwise(F.col(f.name)).alias(f.name))
     return df.select(*cols)

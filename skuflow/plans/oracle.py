@@ -127,7 +127,7 @@ ORACLE["clip_predictions"] = with_ctes("SELECT * FROM ols1_clipped", "ols1_clipp
 ORACLE["zero_negative_rows"] = with_ctes("""
 SELECT CASE WHEN y_ < 0 THEN '0' ELSE tm_key END AS tm_key,
        CASE WHEN y_ < 0 THEN 0 ELSE item_third_cate_cd END AS item_third_cate_cd,
-       CASE WHEN y_ < 0 THEN '0' ELSE split END AS split,
+       split,
        CASE WHEN y_ < 0 THEN 0.0 ELSE gmv END AS gmv,
        CASE WHEN y_ < 0 THEN 0 ELSE n_orders END AS n_orders,
        CASE WHEN y_ < 0 THEN 0.0 ELSE y_ END AS y_
@@ -177,3 +177,15 @@ FROM order_detail
 WHERE dp = 'HISTORY' AND dt >= '{HISTORY_START}' AND sale_ord_dt >= '{HISTORY_START}'
   AND sale_ord_valid_flag = 1""", "order_detail")
 ORACLE["forecast_ridge_one_feature"] = with_ctes("SELECT * FROM ridge1", "ridge1")
+ORACLE["forecast_hit_rate_parity"] = with_ctes(f"""
+SELECT split, avg(CASE WHEN padded <= 0.15 THEN 1.0 ELSE 0.0 END) AS hit_rate
+FROM (SELECT split, coalesce(ape, last_value(ape IGNORE NULLS) OVER (
+          PARTITION BY split ORDER BY item_third_cate_cd, tm_key
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS padded
+      FROM (SELECT split, item_third_cate_cd, tm_key,
+                   CASE WHEN abs(e) <> CAST('inf' AS DOUBLE) THEN e END AS ape
+            FROM (SELECT split, item_third_cate_cd, tm_key,
+                         {pdiv('abs((CASE WHEN y_ < 0 THEN 0.0 ELSE gmv END) - (CASE WHEN y_ < 0 THEN 0.0 ELSE y_ END))',
+                               'CASE WHEN y_ < 0 THEN 0.0 ELSE gmv END')} AS e
+                  FROM ols1) z) a) t
+GROUP BY split""", "ols1")

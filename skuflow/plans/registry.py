@@ -460,3 +460,15 @@ def q_forecast_pipeline_metrics(spark, sf_dir):
     run = forecast_pipeline(target(spark, sf_dir, monthly), [inputs(spark, sf_dir).time_features()],
                             [wide], spec())
     return run.metrics
+
+
+@query("forecast_hit_rate_parity")
+def q_forecast_hit_rate_parity(spark, sf_dir):
+    # The reference's literal scoring: rows with a negative prediction zeroed
+    # whole (Q3), then undefined errors padded from the previous row (Q4).
+    # Zeroing keeps each row in place, so the row order is taken before it.
+    order = ["_order_cate", "_order_month"]
+    f = one_feature_forecast(spark, sf_dir).selectExpr(
+        "*", f"{T.CATE3} AS _order_cate", "tm_key AS _order_month")
+    zeroed = Me.zero_negative_rows(f, keep=("split", *order))
+    return Me.hit_rate(zeroed, "gmv", undefined="pad", order_cols=order)

@@ -101,6 +101,8 @@ def test_clip_and_zero_whole_row(spark):
     assert [r.y_ for r in Me.clip_predictions(df).orderBy("batch").collect()] == [0.0, 2.0]
     zero = Me.zero_negative_rows(df).orderBy("batch").collect()
     assert tuple(zero[0]) == ("0", 0, 0.0, 0.0) and tuple(zero[1]) == ("b", 2, 4.0, 2.0)
+    kept = Me.zero_negative_rows(df.withColumn("split", F.lit("test"))).orderBy("batch").first()
+    assert kept.split == "test" and kept.tm_key == "0"
 
 
 def test_scores_miss_pad_and_total_error(spark):
