@@ -102,8 +102,9 @@ def sales_measures(daily: DataFrame, dim_date: DataFrame, dim_week: DataFrame) -
     s = daily.join(days, daily["sale_ord_dt"] == days["date"], "inner")
     s = s.join(weeks, s["sequentialweek"] == weeks["_week"], "left")
     net_price = sql_div_sql("net_sales", "unit_volume")
+    categories = [c for c in CATEGORY_COLUMNS if c in daily.columns]
     return s.selectExpr(
-        "date", *CATEGORY_COLUMNS, "item_sku_id", "unit_volume",
+        "date", *categories, "item_sku_id", "unit_volume",
         "net_sales AS total_net_sales",
         "gross_sales AS total_gross_sales",
         "unit_volume * synthetic_gross_price AS total_synthetic_gross_sales",
@@ -119,17 +120,46 @@ def sales_measures(daily: DataFrame, dim_date: DataFrame, dim_week: DataFrame) -
 
 
 def _rollup(measures: DataFrame, keys: list[str]) -> DataFrame:
-    return measures.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in MEASURE_COLUMNS])
+    categories = [c for c in CATEGORY_COLUMNS if c in measures.columns]
+    return measures.groupBy(*categories, *keys).agg(*[F.sum(c).alias(c) for c in MEASURE_COLUMNS])
+
+
+WEEK_KEYS = ["item_sku_id", "sequentialweek", "week_start"]
+MONTH_KEYS = ["item_sku_id", "month"]
 
 
 def sales_weekly(measures: DataFrame) -> DataFrame:
-    """A2: SKU x week; a NULL ``week_start`` is its own group."""
-    return _rollup(measures, [*CATEGORY_COLUMNS, "item_sku_id", "sequentialweek", "week_start"])
+    """A2: SKU x week; a NULL ``week_start`` is its own group.  Measures
+    without category columns give the rollup by SKU alone (see
+    ``rollup_then_categorise``)."""
+    return _rollup(measures, WEEK_KEYS)
 
 
 def sales_monthly(measures: DataFrame) -> DataFrame:
     """A3: SKU x month."""
-    return _rollup(measures, [*CATEGORY_COLUMNS, "item_sku_id", "month"])
+    return _rollup(measures, MONTH_KEYS)
+
+
+def rollup_then_categorise(measures: DataFrame, sku_dim: DataFrame, keys: list[str],
+                           snapshot_dt: str = REFERENCE_SKU_SNAPSHOT) -> DataFrame:
+    """A2/A3 with J2 moved after the aggregate.
+
+    The category codes are attributes of the SKU in one snapshot, so grouping
+    by (SKU, period) and then joining the codes gives the same rows as joining
+    the codes to every SKU x day row and grouping by them (a SKU with several
+    dimension rows fans out the same way, an unknown SKU drops out the same
+    way).  The join then handles one row per SKU and period instead of one per
+    SKU and day, and its shuffle, when the dimension cannot be broadcast, is
+    that much smaller.
+    """
+    # Partitioned by SKU once: the rollup, a shuffle join on SKU and the later
+    # per-SKU windows all use this partitioning.  A rollup shuffled on (SKU,
+    # period) would combine little map-side (a SKU's days sit in different
+    # partitions after the daily aggregate) and the join would shuffle again.
+    # After the daily aggregate a SKU has one row per day, so no key is hot.
+    rolled = _rollup(measures.repartition("item_sku_id"), keys)
+    joined = join_lookup(rolled, sku_snapshot(sku_dim, snapshot_dt), "item_sku_id", "inner")
+    return joined.select(*CATEGORY_COLUMNS, *keys, *MEASURE_COLUMNS)
 
 
 # Fixed values of the reference's export slice.
