@@ -33,6 +33,7 @@ def get_session(master: str | None = None, app_name: str = "skuflow",
         builder = builder.master(master)
     conf = dict(ADAPTIVE_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
