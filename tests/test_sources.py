@@ -47,3 +47,20 @@ def test_rebuild_table_overwrites_and_partitions(spark, tmp_path):
 def test_preview_is_ordered_head(spark):
     df = spark.createDataFrame([(i,) for i in range(20, 0, -1)], "k int")
     assert [r.k for r in preview(df, 5, ["k"]).collect()] == [1, 2, 3, 4, 5]
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    a = spark.createDataFrame([(i, float(i)) for i in range(200)], "sku bigint, v double")
+    b = spark.createDataFrame([(i, i % 7) for i in range(200)], "sku bigint, c int")
+    ta = rebuild_table(a, table="bucket_a", path=str(tmp_path / "a"), bucket_by=(["sku"], 4))
+    tb = rebuild_table(b, table="bucket_b", path=str(tmp_path / "b"), bucket_by=(["sku"], 4))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = ta.join(tb, "sku")
+        assert joined.count() == 200
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
