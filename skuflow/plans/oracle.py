@@ -189,3 +189,5 @@ FROM (SELECT split, coalesce(ape, last_value(ape IGNORE NULLS) OVER (
                                'CASE WHEN y_ < 0 THEN 0.0 ELSE gmv END')} AS e
                   FROM ols1) z) a) t
 GROUP BY split""", "ols1")
+
+ORACLE["feature_matrix_from_files"] = ORACLE["fill_missing_batch"]

@@ -15,7 +15,7 @@ from skuflow.operators import metrics as Me
 from skuflow.operators import sales as S
 from skuflow.operators import topsell as T
 from skuflow.session import materialize
-from skuflow.sources.tsv import write_numbered_features, write_tsv
+from skuflow.sources.tsv import read_feature_dir, read_tsv, write_numbered_features, write_tsv
 
 
 @dataclass
@@ -116,6 +116,43 @@ def run_feature_pipeline(order_detail: DataFrame, price_source: DataFrame, sku_d
     return FeatureRun(pe, periodic, top, features.select(*D.KEYS, *D.FEATURE_NAMES))
 
 
+def read_forecast_inputs(spark, target_path: str, target_types: dict, time_features_dir: str,
+                         category_features_dir: str, keys_time, keys_group,
+                         column_types: dict | None = None):
+    """The forecast's file inputs: the target TSV (S1) and every feature table
+    under the time and category folders (S2), keys typed like the target."""
+    keys_time, keys_group = Fe.as_list(keys_time), Fe.as_list(keys_group)
+    target = read_tsv(spark, target_path, target_types)
+    time_keys = {k: target_types[k] for k in keys_time}
+    cate_keys = {k: target_types[k] for k in keys_group + keys_time}
+    time_feats = read_feature_dir(spark, time_features_dir, time_keys, column_types=column_types)
+    cate_feats = read_feature_dir(spark, category_features_dir, cate_keys,
+                                  column_types=column_types)
+    return target, time_feats, cate_feats
+
+
+def feature_matrix(target: DataFrame, time_features: list[DataFrame],
+                   category_features: list[DataFrame], spec: M.ForecastSpec,
+                   fill: str = "batch") -> tuple[DataFrame, list[str]]:
+    """J8 + J9 + P9 + W8/W9: the target with its features, gaps filled."""
+    joined = Fe.join_time_features(target, time_features, spec.keys_time)
+    joined = Fe.join_category_features(joined, category_features, spec.keys_group,
+                                       spec.keys_time)
+    feats = Fe.feature_columns(joined.columns, spec.keys_time, spec.keys_batch,
+                               spec.target_column, spec.feature_columns,
+                               spec.feature_rm_columns)
+    keys = list(dict.fromkeys(spec.keys_time + spec.keys_group + spec.keys_batch))
+    matrix = joined.select(*keys, spec.target_column, *feats)
+    if fill == "global":
+        matrix = Fe.fill_missing_global(matrix, spec.keys_time + spec.keys_batch,
+                                        [spec.target_column, *feats])
+    elif fill == "batch":
+        matrix = Fe.fill_missing(matrix, spec.keys_time, spec.keys_batch, feats)
+    elif fill != "none":
+        raise ValueError("fill must be 'batch', 'global' or 'none'")
+    return matrix, feats
+
+
 @dataclass
 class ForecastRun:
     predictions: DataFrame    # train and test rows with ``split`` and ``y_``
@@ -133,21 +170,7 @@ def forecast_pipeline(target: DataFrame, time_features: list[DataFrame],
     order.  The joined and filled matrix is checkpointed: it is read by the
     eligibility check, the fit and the prediction.
     """
-    joined = Fe.join_time_features(target, time_features, spec.keys_time)
-    joined = Fe.join_category_features(joined, category_features, spec.keys_group,
-                                       spec.keys_time)
-    feats = Fe.feature_columns(joined.columns, spec.keys_time, spec.keys_batch,
-                               spec.target_column, spec.feature_columns,
-                               spec.feature_rm_columns)
-    keys = list(dict.fromkeys(spec.keys_time + spec.keys_group + spec.keys_batch))
-    matrix = joined.select(*keys, spec.target_column, *feats)
-    if fill == "global":
-        matrix = Fe.fill_missing_global(matrix, spec.keys_time + spec.keys_batch,
-                                        [spec.target_column, *feats])
-    elif fill == "batch":
-        matrix = Fe.fill_missing(matrix, spec.keys_time, spec.keys_batch, feats)
-    elif fill != "none":
-        raise ValueError("fill must be 'batch', 'global' or 'none'")
+    matrix, feats = feature_matrix(target, time_features, category_features, spec, fill)
     matrix = matrix.checkpoint(eager=True)
     predictions = M.forecast(matrix, spec, feats)
     order = spec.keys_batch + spec.keys_time

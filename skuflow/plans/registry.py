@@ -19,7 +19,8 @@ from skuflow.operators import metrics as Me
 from skuflow.operators import sales as S
 from skuflow.operators import topsell as T
 from skuflow.plans.outputs import decimals_to_double, rounded
-from skuflow.plans.pipelines import (SalesFacts, build_sales_facts, forecast_pipeline,
+from skuflow.plans.pipelines import (SalesFacts, build_sales_facts, feature_matrix,
+                                     forecast_pipeline, read_forecast_inputs,
                                      run_feature_pipeline)
 from skuflow.session import materialize, scratch_path
 from skuflow.sources import fixtures as fx
@@ -472,3 +473,24 @@ def q_forecast_hit_rate_parity(spark, sf_dir):
         "*", f"{T.CATE3} AS _order_cate", "tm_key AS _order_month")
     zeroed = Me.zero_negative_rows(f, keep=("split", *order))
     return Me.hit_rate(zeroed, "gmv", undefined="pad", order_cols=order)
+
+
+@query("feature_matrix_from_files")
+def q_feature_matrix_from_files(spark, sf_dir):
+    # The forecast's file path: target, time features and the numbered
+    # category features written as TSV, read back (S1, S2), joined (J8, J9),
+    # selected (P9) and filled per batch.
+    monthly = stored_monthly(spark, sf_dir)
+    folder = scratch_path(spark, "forecast_inputs")
+    write_tsv(target(spark, sf_dir, monthly), f"{folder}/target")
+    write_tsv(inputs(spark, sf_dir).time_features(), f"{folder}/features_tm/orders")
+    wide = D.discount_features(discount_input(spark, sf_dir, monthly), keep_row_counts=True)
+    wide = wide.checkpoint(eager=True)
+    counts = {n: f"_{n}_rows" for n in D.FEATURE_NAMES if f"_{n}_rows" in wide.columns}
+    write_numbered_features(wide, f"{folder}/features_cg", list(D.KEYS), D.FEATURE_NAMES, counts)
+    t, tf, cf = read_forecast_inputs(
+        spark, f"{folder}/target", {"tm_key": "string", T.CATE3: "int", "gmv": "double"},
+        f"{folder}/features_tm", f"{folder}/features_cg", ["tm_key"], [T.CATE3],
+        column_types={"n_orders": "bigint"})
+    m, _ = feature_matrix(t, tf, cf, spec())
+    return _out(m)

@@ -28,6 +28,17 @@ def _types(schema) -> dict[str, DataType]:
     return dict(schema)
 
 
+def _raw_tsv(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    return (spark.read.option("sep", "\t").option("header", "true")
+            .option("inferSchema", "false").option("recursiveFileLookup", str(recursive).lower())
+            .csv(path))
+
+
+def tsv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a header TSV (reads the header line only)."""
+    return _raw_tsv(spark, path).columns
+
+
 def read_tsv(spark: SparkSession, path: str, schema, na_tokens=PANDAS_NA_TOKENS,
              recursive: bool = False, default_type: DataType | None = None) -> DataFrame:
     """A TSV with a header; ``schema`` maps column names to types.
@@ -36,9 +47,7 @@ def read_tsv(spark: SparkSession, path: str, schema, na_tokens=PANDAS_NA_TOKENS,
     is given, and are dropped otherwise.
     """
     types = _types(schema)
-    raw = (spark.read.option("sep", "\t").option("header", "true")
-           .option("inferSchema", "false").option("recursiveFileLookup", str(recursive).lower())
-           .csv(path))
+    raw = _raw_tsv(spark, path, recursive)
     missing = [c for c in types if c not in raw.columns]
     if missing:
         raise ValueError(f"{path}: columns {missing} not in the header {raw.columns}")
@@ -63,13 +72,21 @@ def list_files(spark: SparkSession, directory: str) -> list[str]:
 
 
 def read_feature_dir(spark: SparkSession, directory: str, key_types: dict,
-                     feature_type: DataType = DoubleType()) -> list[DataFrame]:
+                     feature_type: DataType = DoubleType(),
+                     column_types: dict | None = None) -> list[DataFrame]:
     """One DataFrame per feature table under ``directory`` (a table is a
     file or a Spark output directory), keys typed as given, other columns
-    ``feature_type``.  Tables come in path order (Q21: order is explicit)."""
+    ``column_types[name]`` or ``feature_type``.  Tables come in path order
+    (Q21: order is explicit)."""
     tables = sorted({p.rsplit("/", 1)[0] if "/part-" in p else p
                      for p in list_files(spark, directory)})
-    return [read_tsv(spark, t, key_types, default_type=feature_type) for t in tables]
+    out = []
+    for t in tables:
+        header = tsv_header(spark, t) if column_types else []
+        types = {**{c: column_types[c] for c in header if c in column_types}, **key_types} \
+            if column_types else key_types
+        out.append(read_tsv(spark, t, types, default_type=feature_type))
+    return out
 
 
 def write_tsv(df: DataFrame, path: str) -> str:

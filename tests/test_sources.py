@@ -64,3 +64,11 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_feature_dir_column_types(spark, tmp_path):
+    df = spark.createDataFrame([("m1", 3, 1.5)], "tm_key string, n bigint, x double")
+    write_tsv(df, str(tmp_path / "feats" / "t0"))
+    (table,) = read_feature_dir(spark, str(tmp_path / "feats"), {"tm_key": "string"},
+                                column_types={"n": "bigint"})
+    assert dict(table.dtypes) == {"tm_key": "string", "n": "bigint", "x": "double"}
