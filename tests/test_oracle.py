@@ -22,7 +22,7 @@ def con():
 
 def test_every_query_is_registered_with_matching_oracle_keys():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert len(entry.queries()) >= 55
+    assert len(entry.queries()) >= 65
 
 
 @pytest.mark.parametrize("name", NAMES)
