@@ -59,15 +59,14 @@ def with_errors(df: DataFrame, actual: str, pred: str = PRED, undefined: str = "
         raise ValueError("undefined must be 'miss' or 'pad'")
     if not order_cols:
         raise ValueError("undefined='pad' needs order_cols (row order of each split)")
-    parts = []
-    for label in (  # the reference scores train and test frames separately
-            r[SPLIT] for r in out.select(SPLIT).distinct().collect()):
-        part = out.where(F.col(SPLIT) == label)
-        parts.append(fill_missing_global(part, as_list(order_cols), ["_ape"], backward=False))
-    result = parts[0]
-    for p in parts[1:]:
-        result = result.unionByName(p)
-    return result
+    # The reference pads train and test frames separately.  One forward fill
+    # over (split, order) of the pair (split, error) does the same: a value
+    # carried over from another split means this split had no defined error
+    # yet, so it is dropped again.
+    tagged = out.withColumn("_ape", F.when(F.col("_ape").isNotNull(),
+                                           F.struct(F.col(SPLIT).alias("s"), F.col("_ape").alias("e"))))
+    padded = fill_missing_global(tagged, [SPLIT, *as_list(order_cols)], ["_ape"], backward=False)
+    return padded.withColumn("_ape", F.when(F.col("_ape.s") == F.col(SPLIT), F.col("_ape.e")))
 
 
 def hit_rate(df: DataFrame, actual: str, pred: str = PRED, undefined: str = "miss",

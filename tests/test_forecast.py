@@ -119,3 +119,14 @@ def test_scores_miss_pad_and_total_error(spark):
     assert err == pytest.approx(abs(10.0 - 37.0) / 10.0)
     zero = spark.createDataFrame([("test", 0.0, 1.0)], "split string, y double, y_ double")
     assert Me.total_error(zero, "y").first().total_error == math.inf
+
+
+def test_pad_does_not_cross_split_border(spark):
+    df = spark.createDataFrame(
+        [("test", 1, "05", 10.0, 10.5),    # defined, hit
+         ("train", 1, "01", 0.0, 1.0),     # undefined first in train: stays a miss
+         ("train", 1, "02", 10.0, 10.1)],  # hit
+        "split string, batch int, tm_key string, y double, y_ double")
+    got = {r.split: r.hit_rate for r in
+           Me.hit_rate(df, "y", undefined="pad", order_cols=["batch", "tm_key"]).collect()}
+    assert got == {"test": 1.0, "train": 0.5}
