@@ -48,6 +48,24 @@ def _norm(v, digits=None):
     return v
 
 
+def spark_family(dtype) -> str:
+    t = dtype.simpleString()
+    if t in ("tinyint", "smallint", "int", "bigint"):
+        return "int:" + t
+    if t in ("float", "double"):
+        return "float"
+    return "decimal" if t.startswith("decimal") else t
+
+
+def duck_family(name: str) -> str:
+    t = str(name).upper()
+    if t.startswith("DECIMAL"):
+        return "decimal"
+    return {"TINYINT": "int:tinyint", "SMALLINT": "int:smallint", "INTEGER": "int:int",
+            "BIGINT": "int:bigint", "HUGEINT": "int:hugeint", "DOUBLE": "float",
+            "FLOAT": "float", "VARCHAR": "string", "BOOLEAN": "boolean"}.get(t, t)
+
+
 def rows_of(records, columns, digits=None):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return Counter(tuple(_norm(r[i], digits) for i in order) for r in records)
@@ -70,6 +88,12 @@ def compare(spark, con, name, query_fn, sql, sf_dir):
     if sorted(s_cols) != sorted(d_cols):
         res["status"] = f"COLUMNS {sorted(s_cols)} != {sorted(d_cols)}"
         return res
+    s_types = {f.name: spark_family(f.dataType) for f in sdf.schema.fields}
+    d_types = {r[0]: duck_family(r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    if s_types != d_types:
+        diff = {k: (s_types[k], d_types.get(k)) for k in s_types if s_types[k] != d_types.get(k)}
+        res["status"] = f"TYPES {diff}"
+        return res
     if len(s_rows) != len(d_rows):
         res["status"] = "ROWCOUNT"
         return res
