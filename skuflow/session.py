@@ -4,13 +4,13 @@ Everything in the library is a function from DataFrames to a DataFrame; the
 only session-level concerns are the adaptive-execution settings the plans rely
 on (runtime broadcast conversion, skew-join splitting, partition coalescing)
 and the folder used to cut lineage.  That folder is always the one the cluster
-names in ``spark.checkpoint.dir``; a local one is created only when the
-session has none (tests, single-machine runs).
+names in ``spark.checkpoint.dir``; a temporary one serves only a session that
+runs in one local JVM (tests, single-machine runs).
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -47,22 +47,25 @@ def get_session(master: str | None = None, app_name: str = "skuflow",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Read from the session (``spark.checkpoint.dir`` or an already set
-    checkpoint directory).  Only when neither is set is a local folder made
-    and registered, which is the test / single-machine case.
+    Read from the session: ``spark.checkpoint.dir``, or the directory given to
+    ``SparkContext.setCheckpointDir``.  A session that runs in one local JVM
+    and names neither (tests, a laptop) gets a temporary folder; on a cluster
+    that would put each executor's files on its own disk, so there a missing
+    folder is an error.  No session setting is changed.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if conf_dir:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(conf_dir)
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(conf_dir)
         return conf_dir
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return os.path.dirname(current.rstrip("/")) if "/" in current else current
-    local = tempfile.mkdtemp(prefix="skuflow-checkpoint-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    if not context.getCheckpointDir():
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder that the driver and all "
+                "executors share, e.g. --conf spark.checkpoint.dir=hdfs:///tmp/skuflow")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="skuflow-checkpoint-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
