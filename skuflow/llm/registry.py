@@ -11,7 +11,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skuflow.llm import sharding, simhash, urlrules
+from skuflow.llm import (mixing, quality, sharding, simhash, templates, tokencount, toxicity,
+                         urlrules, warc)
+from skuflow.session import scratch_path
+
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -25,16 +29,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_warc_transactions(spark, sf_dir):
+    path = scratch_path(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    return warc.capture_pages(warc.assemble(warc.read_warc(spark, path, blocks=False)))
+
+
 @query
 def op2_feistel_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+@query
+def op3_wordpiece_counts(spark, sf_dir, vocabulary: str = VOCABULARY):
+    pieces = tokencount.read_ranked_vocabulary(vocabulary)
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), tokencount.Automaton(pieces))
+
+
+@query
+def op5_bradley_terry(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.fit_ranking(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op6_url_rules(spark, sf_dir):
     return urlrules.filter_urls(table(spark, sf_dir, "pages"))
 
 
+@query
+def op7_template_windows(spark, sf_dir):
+    found = templates.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
+@query
+def op8_toxicity_chain(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit_chain(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op9_splitting_tree(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "shards")
+
+
 @query
 def op10_simhash_anchors(spark, sf_dir):
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
@@ -42,6 +83,19 @@ def op10_simhash_anchors(spark, sf_dir):
 
 ORACLE: dict[str, str] = {}
 
+ORACLE["op1_warc_transactions"] = """
+WITH sized AS (
+  SELECT page_id, url, encode(coalesce(html, '')) AS payload FROM pages),
+hashed AS (
+  SELECT page_id, url, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM sized),
+firsts AS (
+  SELECT payload_digest, min(page_id) AS first_id FROM hashed WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to,
+       coalesce(url, '') AS target_uri
+FROM hashed LEFT JOIN firsts USING (payload_digest)"""
+
 _SPAM_CASE = "\n".join(
     f"      WHEN regexp_matches(host, '(^|[.-]){w}([.-]|$)') THEN '{w}'"
     for w in sorted(urlrules.SPAM_WORDS, key=lambda w: (-len(w), w)))
