@@ -1,7 +1,9 @@
-"""Connected components of an edge table by alternating star contraction."""
+"""Connected components: of an edge table by alternating star contraction, and
+of one task's rows."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,3 +48,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     stars = now.groupBy("u").agg(F.min("v").alias("c"))
     return (stars.select(F.col("u").alias("node"), F.col("c").alias("component"))
             .unionAll(stars.select(F.col("c").alias("node"), F.col("c").alias("component")).distinct()))
+
+
+def linked_rows(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Smallest row reachable, for rows 0..n-1 and links a-b."""
+    label = np.arange(n)
+    while len(a):
+        least = np.minimum(label[a], label[b])
+        before = label.copy()
+        np.minimum.at(label, a, least)
+        np.minimum.at(label, b, least)
+        label = label[label]
+        if (label == before).all():
+            break
+    return label

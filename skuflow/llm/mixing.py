@@ -15,8 +15,8 @@ The driver sees one row per source (``MAX_SOURCES``), never blocks or documents.
 
 Defined results: a null source is a source of its own, last in order; a null
 or empty text has size 0, and so has its taken count; repeated rows are
-documents of their own with equal fate unless they lie at the border; targets
-of sources without words are 0; an empty table gives an empty result.
+documents of their own with an equal fate; targets
+of sources without words are 0, and none of their documents is taken; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ BLOCKS = 1024
 SHARDS = 16
 SEED = 909
 MAX_SOURCES = 1_000_000
+MAX_BROADCAST = 500_000
 
 
 def target_words(sizes: Sequence[int], weights: Sequence[float], share: float = SHARE,
@@ -112,11 +113,12 @@ def deal_blocks(words: np.ndarray, quota: float, rng: np.random.Generator) -> tu
     return full, border, rank
 
 
-def _plan(blocks: DataFrame, weights: Sequence[float], share: float, limit: float, shards: int,
+def _plan(thin: DataFrame, weights: Sequence[float], share: float, limit: float, shards: int,
           seed: int) -> DataFrame:
     """Per block: source_size, target, and for both passes whether it is taken
-    in full, the words left at the border, and its shard."""
-    spark: SparkSession = blocks.sparkSession
+    in full, the last order hash taken at the border, and its shard."""
+    spark: SparkSession = thin.sparkSession
+    blocks = materialize(thin.groupBy("__key", "__block").agg(F.sum("size").alias("words")), "mix-sizes")
     per = blocks.groupBy("__key").agg(F.sum("words").alias("words")).limit(MAX_SOURCES + 1).collect()
     if len(per) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -146,50 +148,71 @@ def _plan(blocks: DataFrame, weights: Sequence[float], share: float, limit: floa
         quotas[p] = split_quotas([given[r["__key"]] for r in per], shards, seed + p)
     stops = [(r["__key"], *[np.cumsum(quotas[p][:, k]).tolist() for p in (1, 2)]) for k, r in enumerate(per)]
     runs = spark.createDataFrame(stops, "__key string, stops1 array<long>, stops2 array<long>")
-    dealt = ranked.join(runs, "__key")
+    # documents of border blocks, in hashed order, up to the words left
+    border = thin.join(_small(ranked.where("left1 > 0 or left2 > 0").select(
+        "__key", "__block", "left1", "left2")), ["__key", "__block"])
+    inside = Window.partitionBy("__key", "__block").orderBy("__order").rangeBetween(Window.unboundedPreceding, 0)
+    cuts = (border.withColumn("__upto", F.sum("size").over(inside)).groupBy("__key", "__block")
+            .agg(*[F.max(F.when((F.col(f"left{p}") > 0) & (F.col("__upto") <= F.col(f"left{p}")), F.col("__order")))
+                   .alias(f"cut{p}") for p in (1, 2)]))
+    dealt = ranked.join(runs, "__key").join(cuts, ["__key", "__block"], "left")
     for p in (1, 2):
         dealt = dealt.withColumn(f"shard{p}", F.size(F.filter(
             F.col(f"stops{p}"), lambda stop: stop < F.col(f"rank{p}"))))
-    return dealt.drop("stops1", "stops2", "rank1", "rank2")
+    return materialize(dealt.drop("stops1", "stops2", "rank1", "rank2", "left1", "left2"), "mix-plan")
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, limit: float = LIMIT,
-        blocks: int = BLOCKS, shards: int = SHARDS, seed: int = SEED, id_col: str = "doc_id",
-        carry: Sequence[str] = ()) -> DataFrame:
-    """Per row of ``docs``: the id, size, source_size, target, copies (0 to 2),
-    taken (size * copies), shards (those that take it) and ``carry`` columns,
-    held in one struct ``row`` so that their names cannot clash."""
+def _small(plan: DataFrame) -> DataFrame:
+    """Broadcast if counted to be small: it has ``blocks`` rows a source at most."""
+    return F.broadcast(plan) if plan.count() <= MAX_BROADCAST else plan
+
+
+def _keyed(docs: DataFrame, blocks: int, seed: int) -> DataFrame:
+    """``docs`` with its source's key, an order hash and a block."""
+    text = F.xxhash64(F.col("text"))
+    return (docs.withColumn("__key", _source_key(F.col("source")))
+            .withColumn("__order", F.xxhash64(F.lit(seed), F.col("doc_id"), text))
+            .withColumn("__block", F.pmod(F.xxhash64("__order"), F.lit(blocks)).cast("int")))
+
+
+def _taken(p: int) -> Column:
+    return F.col(f"full{p}") | F.coalesce(F.col("__order") <= F.col(f"cut{p}"), F.lit(False))
+
+
+def _decided(docs: DataFrame, weights: Sequence[float], share: float, limit: float, blocks: int, shards: int,
+             seed: int) -> tuple[DataFrame, DataFrame]:
+    """Thin rows (doc_id, size, keys) and the plan of their blocks."""
     if not 0 < limit <= 2:
         raise ValueError("two passes take a document at most twice")
-    row = F.struct(*[F.col(c) for c in carry]) if carry else F.struct(F.lit(None).cast("string").alias("none"))
-    sized = docs.select(
-        F.col(id_col).alias("doc_id"), row.alias("row"), _source_key(F.col("source")).alias("__key"),
-        word_count(F.col("text")).alias("size"), F.xxhash64(F.col("text")).alias("__text"))
-    keyed = sized.withColumn("__order", F.xxhash64(F.lit(seed), "doc_id", "__text")).withColumn(
-        "__block", F.pmod(F.xxhash64("__order"), F.lit(blocks)).cast("int"))
-    counts = materialize(keyed.groupBy("__key", "__block").agg(F.sum("size").alias("words")), "mix-sizes")
-    plan = _plan(counts, weights, share, limit, shards, seed)
-    inside = Window.partitionBy("__key", "__block").orderBy("__order", "doc_id", "size").rowsBetween(
-        Window.unboundedPreceding, 0)
-    upto = F.sum("size").over(inside)
-    dealt = keyed.join(plan, ["__key", "__block"]).withColumn("__upto", upto)
-    for p in (1, 2):
-        dealt = dealt.withColumn(f"take{p}", F.col(f"full{p}") | (
-            (F.col(f"left{p}") > 0) & (F.col("__upto") <= F.col(f"left{p}"))))
-    shards_of = F.filter(F.array(*[F.when(F.col(f"take{p}"), F.col(f"shard{p}")) for p in (1, 2)]),
-                         lambda s: s.isNotNull())
-    copies = F.col("take1").cast("int") + F.col("take2").cast("int")
+    thin = materialize(_keyed(docs, blocks, seed).select(
+        "doc_id", "__key", "__order", "__block", word_count(F.col("text")).alias("size")), "mix-documents")
+    return thin, _plan(thin, weights, share, limit, shards, seed)
+
+
+def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, limit: float = LIMIT,
+        blocks: int = BLOCKS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """doc_id, size, source_size, target, copies (0 to 2), taken (size * copies)
+    and shards (those that take it) per row of ``docs``; no text is shuffled."""
+    thin, plan = _decided(docs, weights, share, limit, blocks, shards, seed)
+    dealt = thin.join(_small(plan), ["__key", "__block"])
+    copies = _taken(1).cast("int") + _taken(2).cast("int")
     return dealt.select("doc_id", "size", "source_size", "target", copies.alias("copies"),
-                        (F.col("size") * copies).cast("long").alias("taken"),
-                        shards_of.alias("shards"), "__order", "row")
+                        (F.col("size") * copies).cast("long").alias("taken"), _shards().alias("shards"))
+
+
+def _shards() -> Column:
+    return F.filter(F.array(*[F.when(_taken(p), F.col(f"shard{p}")) for p in (1, 2)]), lambda s: s.isNotNull())
 
 
-def mixed_documents(docs: DataFrame, seed: int = SEED, shards: int = SHARDS, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, limit: float = LIMIT,
+                    blocks: int = BLOCKS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with their own
     columns, dealt to the mix's shards and in hashed order inside each."""
-    taken = mix(docs, seed=seed, shards=shards, carry=docs.columns, **options)
-    copies = taken.select(F.explode("shards").alias("__shard"), "__order", "row")
-    # a shard is written by several tasks, each with a range of its order
-    part = F.shiftrightunsigned(F.xxhash64("__order", F.lit(seed), "__shard"), 58)
-    return (copies.withColumn("__at", F.xxhash64("__order", F.lit(seed), "__shard"))
-            .repartition("__shard", part).sortWithinPartitions("__shard", "__at").select("row.*"))
+    _, plan = _decided(docs, weights, share, limit, blocks, shards, seed)
+    row = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text", "source")
+    keyed = _keyed(row, blocks, seed).select("row", "__key", "__order", "__block")
+    copies = keyed.join(_small(plan), ["__key", "__block"]).select(F.explode(_shards()).alias("__shard"), "__order", "row")
+    at = F.xxhash64("__order", F.lit(seed), "__shard")
+    # a shard is put in order by several tasks, each with a range of its hashes
+    return (copies.withColumn("__at", at).withColumn("__range", F.shiftrightunsigned("__at", 58))
+            .repartition("__shard", "__range").sortWithinPartitions("__shard", "__range", "__at").select("row.*"))

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skuflow.llm import (mixing, quality, sharding, simhash, templates, tokencount, toxicity,
-                         urlrules, warc)
+                         urlrules, vectors, warc)
 from skuflow.session import scratch_path
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -47,6 +47,11 @@ def op3_wordpiece_counts(spark, sf_dir, vocabulary: str = VOCABULARY):
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), tokencount.Automaton(pieces))
 
 
+@query
+def op4_pruned_graph(spark, sf_dir):
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_bradley_terry(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.llm.graph import connected_components
+from skuflow.llm.graph import connected_components, linked_rows
 from skuflow.session import materialize
 
 SHINGLE = 3
@@ -65,15 +65,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = HASH_SEED)
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = HASH_SEED) -> DataFrame:
-    """doc_id and fp (the fingerprint's bits as a signed long)."""
+    """doc_id, text_key (the text's hash) and fp (the fingerprint's bits as a
+    signed long)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [fingerprint(t.as_py(), shingle, seed) for t in batch.column("text")]
             fp = np.array(got, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(fp)], ["doc_id", "text_key", "fp"])
 
-    thin = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return thin.mapInArrow(run, "doc_id long, fp long")
+    thin = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"),
+                       F.col("text").cast("string"))
+    return thin.mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
 def anchor_masks() -> tuple[np.ndarray, np.ndarray]:
@@ -117,20 +120,6 @@ def at_anchors(fps: DataFrame) -> DataFrame:
     return fps.mapInPandas(run, "anchor long, fp long")
 
 
-def _components(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Smallest row reachable, for rows 0..n-1 and links a-b."""
-    label = np.arange(n)
-    while len(a):
-        least = np.minimum(label[a], label[b])
-        before = label.copy()
-        np.minimum.at(label, a, least)
-        np.minimum.at(label, b, least)
-        label = label[label]
-        if (label == before).all():
-            break
-    return label
-
-
 def _dense_components(fp: np.ndarray, max_bits: int) -> np.ndarray:
     """The same for one group of at most a few thousand fingerprints, without
     keeping its pairs: labels sweep over the compared rows until they rest."""
@@ -159,7 +148,7 @@ def _stars(group: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.ndarray
         a.append(at)
         b.append(at + step)
     if a:
-        label = _components(np.concatenate(a), np.concatenate(b), len(group))
+        label = linked_rows(np.concatenate(a), np.concatenate(b), len(group))
     for k in np.flatnonzero(sizes > 64):
         s, n = starts[k], sizes[k]
         label[s:s + n] = s + _dense_components(fp[s:s + n], max_bits)
@@ -205,9 +194,9 @@ def compare_at_anchors(reach: DataFrame, max_bits: int = MAX_BITS, block: int =
             .mapInPandas(run, "u long, v long"))
 
 
-def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
-                   seed: int = HASH_SEED, block: int = BLOCK) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id per document."""
+def _groups(docs: DataFrame, shingle: int, max_bits: int, seed: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints by document, and by distinct fingerprint its group's root
+    (the smallest linked fingerprint) and smallest doc_id."""
     if not 0 <= max_bits <= 3:
         raise ValueError("two halves with threshold 1 each reach all pairs up to 3 bits apart")
     by_doc = materialize(fingerprints(docs, shingle, seed), "simhash")
@@ -216,7 +205,26 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_
     linked = connected_components(edges)
     roots = first.join(linked, first["fp"] == linked["node"], "left").select(
         "fp", F.coalesce("component", "fp").alias("root"), "first_id")
-    roots = materialize(roots, "simhash-roots")
+    return by_doc, materialize(roots, "simhash-roots")
+
+
+def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                   seed: int = HASH_SEED, block: int = BLOCK) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id per document."""
+    by_doc, roots = _groups(docs, shingle, max_bits, seed, block)
     least = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return (by_doc.join(roots.join(least, "root").select("fp", "component_id"), "fp", "left")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+
+
+def one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = HASH_SEED,
+                  block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs``, with their own columns, that have the smallest
+    doc_id of their group (null last); of rows equal in id and text one stays."""
+    by_doc, roots = _groups(docs, shingle, max_bits, seed, block)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    kept = (by_doc.join(roots.select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("k"))
+            .select(F.xxhash64("k.doc_id", "k.text_key").alias("__key")))
+    keyed = docs.select(F.struct(*docs.columns).alias("row"),
+                        F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("__key"))
+    return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).select("row.*")
