@@ -7,10 +7,10 @@
    and every pair of a cluster shares one.
 3. Each shard builds a graph of its nodes: nearest and random candidates are
    pruned robustly (a candidate goes if a kept neighbour is nearer to it by the
-   factor ``alpha``), and edges are made mutual.
+   factor ``alpha``), edges are made mutual and parts are joined.
 4. Adjacency lists are united by node over all shards.
 5. Each shard searches its part of the united graph for each of its nodes: a
-   greedy beam search from medoids, then a range expansion through all nodes
+   greedy beam search from medoids and the node's own list, then a range expansion through all nodes
    whose cosine is near the threshold.  Pairs found are verified in double
    precision and counted in the first shard that both share; a shard emits
    counts and stars of its components, never its pairs.
@@ -47,6 +47,7 @@ BEAM = 16
 MEDOIDS = 8
 ALPHA = 1.2
 SLACK = 0.03
+APART = 0.8
 AUDIT = 200
 TARGET = 0.95
 SEED = 404
@@ -109,6 +110,16 @@ def build_graph(x: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
     kept = robust_prune(x, candidates(x, np.random.default_rng(seed)))
     a, k = np.nonzero(kept >= 0)
     b = kept[a, k]
+    while True:  # pruning may part the graph: join each part to its nearest other
+        part = linked_rows(a, b, len(x))
+        tips = np.unique(part)
+        if len(tips) == 1:
+            break
+        for at in range(0, len(tips), 512):
+            tip = tips[at:at + 512]
+            sim = x[tip] @ x.T
+            sim[part[tip][:, None] == part[None, :]] = -np.inf
+            a, b = np.r_[a, tip], np.r_[b, sim.argmax(axis=1)]
     both = np.unique(np.r_[a * len(x) + b, b * len(x) + a])
     return both // len(x), both % len(x)
 
@@ -143,11 +154,12 @@ def range_search(x: np.ndarray, adjacent: np.ndarray, threshold: float, beam: in
     seen[np.arange(n), np.arange(n)] = True
     close = np.zeros((n, n), dtype=bool)  # cosine at or above threshold - slack
     start = medoids(x)
-    width = max(beam, len(start))
+    width = max(beam, len(start) + 1)
     ids = np.full((n, width), -1, dtype=np.int64)
     sims = np.full((n, width), -np.inf, dtype=np.float32)
     ids[:, :len(start)] = start
     sims[:, :len(start)] = x32 @ x32[start].T
+    ids[:, len(start)], sims[:, len(start)] = np.arange(n), 1.0  # a query is in the graph
     done = ids < 0
     seen[:, start] = True
     q, k = np.nonzero(sims >= threshold - slack)
@@ -218,8 +230,11 @@ def first_shared(member: np.ndarray, a: np.ndarray, b: np.ndarray, cluster: int)
 
 # ---- Spark ------------------------------------------------------------------
 
-def fit_centroids(sample: np.ndarray, count: int, seed: int, rounds: int = 10) -> np.ndarray:
-    """Unit centroids of a spherical k-means on the sample."""
+def fit_centroids(sample: np.ndarray, count: int, seed: int, rounds: int = 10, apart: float = APART) -> np.ndarray:
+    """Unit centroids of a spherical k-means on the sample.  Of centroids with
+    a cosine above ``apart`` only the fullest stays: several inside one group of
+    near copies would part it, while one large cluster is cut into blocks
+    without losing a pair."""
     rng = np.random.default_rng(seed)
     centres = sample[rng.choice(len(sample), min(count, len(sample)), replace=False)]
     for _ in range(rounds):
@@ -229,7 +244,11 @@ def fit_centroids(sample: np.ndarray, count: int, seed: int, rounds: int = 10) -
         np.add.at(sums, nearest, sample)
         norm = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
         centres = np.where(norm > 1e-9, sums / np.maximum(norm, 1e-9), centres)
-    return centres
+    kept: list[int] = []
+    for k in np.argsort(-np.bincount(nearest, minlength=len(centres)), kind="stable"):
+        if not kept or (centres[kept] @ centres[k]).max() <= apart:
+            kept.append(k)
+    return centres[kept]
 
 
 def _nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
