@@ -68,25 +68,30 @@ def test_features_of_empty_and_repeated_text():
     assert f[9] == 0.75 and f[7] == 0.25 and f[8] == 1.0
 
 
-def test_toxicity_on_documents_not_learned_from(spark, tables):
-    docs, labels = tables
+def test_toxicity_on_documents_not_learned_from(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     held = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 0
     chain = toxicity.fit_chain(docs, labels.where(~held))
-    got = toxicity.score_toxicity(docs, chain).join(labels.where(held).select("doc_id", F.col("toxic").alias("y")), "doc_id")
-    bad = got.toPandas()
-    hit = bad[bad["y"] == 1]
-    assert len(hit) >= 8 and hit["toxic"].mean() >= 0.8
-    assert bad[bad["y"] == 0]["toxic"].mean() <= 0.02
+    mine = docs.join(labels.where(held).select("doc_id", F.col("toxic").alias("y")), "doc_id")
+    got = toxicity.score_toxicity(mine, chain, carry=("doc_id", "y")).toPandas()
+    hit = got[got["y"] == 1]
+    assert len(hit) >= 100 and hit["toxic"].mean() >= 0.9
+    assert got[got["y"] == 0]["toxic"].mean() <= 0.005
 
 
 def test_chain_feeds_earlier_probabilities_out_of_fold():
     rng = np.random.default_rng(1)
-    rows = [np.sort(rng.choice(50, 12, replace=False)).astype(np.int32) for _ in range(300)]
-    first = np.array([float(3 in r) for r in rows])
-    labels = np.stack([first, first], axis=1)
-    chain = toxicity.Chain.fit(("a", "b"), rows, labels, np.arange(300) % 3, features=20)
-    assert len(chain.links[0].weights) == len(chain.links[0].chosen) + 1
-    assert len(chain.links[1].weights) == len(chain.links[1].chosen) + 2 and chain.links[1].weights[-2] > 0.5
+    x = (rng.random((300, 20)) < 0.3).astype(float)
+    first = (x[:, 3] > 0).astype(float)
+    use = np.arange(20)
+    chain = toxicity.Chain.fit(("a", "b"), x, np.stack([first, first], axis=1), np.arange(300) % 3, use,
+                               {f: use for f in range(3)}, list(range(20)))
+    assert [len(w) for w in chain.links] == [21, 22] and chain.links[1][-2] > 0.5
+
+
+def test_features_are_chosen_by_how_far_shares_lie_apart():
+    hot, cold = np.array([50, 3, 50, 2, 0]), np.array([0, 0, 500, 0, 90])
+    assert toxicity.choose(hot, cold, 100, 1000, features=2).tolist() == [0, 1]
 
 
 def test_toxicity_of_odd_rows(spark, make_docs, tables):
