@@ -67,16 +67,6 @@ def clamp_negative(c: ColumnLike) -> Column:
     return F.when(c < 0, F.lit(0)).otherwise(c)
 
 
-def fill(c: ColumnLike, value) -> Column:
-    """constant fill of a missing value."""
-    return F.coalesce(col_of(c), F.lit(value))
-
-
-def month_of_day(day: ColumnLike) -> Column:
-    """``YYYY-MM`` of a ``YYYY-MM-DD`` string (``SUBSTRING(day, 1, 7)``)."""
-    return F.substring(col_of(day), 1, 7)
-
-
 def month_index(month: ColumnLike) -> Column:
     """a month string ``YYYY-MM`` as a running month number.
 

@@ -20,8 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skuflow.functions.numeric import band_label, pdiv, pdiv_sql
-from skuflow.operators.joins import join_lookup
-from skuflow.operators.topsell import CATE3, MARK, SHARE, SKU, mode_spec, top_selling
+from skuflow.operators.topsell import CATE3, MARK, SHARE, SHARE_PLACES, SKU, mode_spec, top_selling
 
 # Fixed values of the reference's feature set.
 HIGH_PE_BELOW = -12.5      # pe < -12.5 is high elasticity
@@ -65,10 +64,10 @@ FEATURE_NAMES = [f.name for f in feature_list()]
 
 
 def prepare_discount_input(sales: DataFrame, elasticity: DataFrame,
-                           top: DataFrame | None = None, mode: str = "monthly",
-                           max_broadcast_rows: int | None = None) -> DataFrame:
+                           top: DataFrame | None = None, mode: str = "monthly") -> DataFrame:
     """J6+J7+F7+P14+F12: facts with ``pe``, top-selling mark and share, period
-    renamed ``tm_key`` and the SKU discount ``discount``.
+    renamed ``tm_key`` and the SKU discount ``discount``, rounded to 9 places
+    before it meets the band limits (Q7).
 
     ``top`` is a top-selling table to left-join on (category, SKU, period) as
     the reference does.  Without it the marks are computed on ``sales`` itself
@@ -80,16 +79,16 @@ def prepare_discount_input(sales: DataFrame, elasticity: DataFrame,
     period, _ = mode_spec(mode)
     pe = elasticity.select(SKU, "pe")
     if top is None:
-        with_pe = join_lookup(sales, pe, SKU, "left", max_broadcast_rows)
+        with_pe = sales.join(pe, SKU, "left")
         df = top_selling(with_pe, mode, keep_columns=True)
     else:
-        df = join_lookup(sales, pe, SKU, "left", max_broadcast_rows)
+        df = sales.join(pe, SKU, "left")
         df = df.join(top.select(CATE3, SKU, period, MARK, SHARE), [CATE3, SKU, period], "left")
     return (df.withColumn("pe", F.coalesce(F.col("pe"), F.lit(0.0)))
               .withColumn(MARK, F.coalesce(F.col(MARK), F.lit(False)))
               .withColumn(SHARE, F.coalesce(F.col(SHARE), F.lit(0.0)))
               .withColumnRenamed(period, "tm_key")
-              .withColumn("discount", F.coalesce(pdiv(GA, SG), F.lit(0.0))))
+              .withColumn("discount", F.round(F.coalesce(pdiv(GA, SG), F.lit(0.0)), SHARE_PLACES)))
 
 
 def _aggregates(feat: Feature) -> list[Column]:
@@ -109,13 +108,13 @@ def _aggregates(feat: Feature) -> list[Column]:
             F.expr(f"count_if({feat.mask})").alias(f"_{n}_rows")]
 
 
-def _final(feat: Feature) -> Column:
+def _final(feat: Feature, inf_as_null: bool = False) -> Column:
     n = feat.name
     if feat.kind == "overall":
         return F.col(n)
     if feat.kind == "band_gmv":
-        return F.expr(f"coalesce({pdiv_sql(f'_{n}_net', f'_{n}_all')}, 0.0D)")
-    ratio = pdiv_sql(f"_{n}_ga", f"_{n}_sg")
+        return F.expr(f"coalesce({pdiv_sql(f'_{n}_net', f'_{n}_all', inf_as_null)}, 0.0D)")
+    ratio = pdiv_sql(f"_{n}_ga", f"_{n}_sg", inf_as_null)
     if feat.kind == "band_ratio":
         ratio = f"coalesce({ratio}, 0.0D)"
     return F.expr(f"CASE WHEN _{n}_rows > 0 THEN {ratio} END")
@@ -127,12 +126,14 @@ def _keyed(prepared: DataFrame) -> DataFrame:
 
 
 def discount_features(prepared: DataFrame, names: list[str] | None = None,
-                      keep_row_counts: bool = False) -> DataFrame:
-    """All (or the named) features as columns of one aggregate per (tm_key, category)."""
+                      keep_row_counts: bool = False, inf_as_null: bool = False) -> DataFrame:
+    """All (or the named) features as columns of one aggregate per (tm_key, category).
+
+    A ratio to 0 is infinite as in pandas; ``inf_as_null`` makes it missing (Q10)."""
     feats = [f for f in feature_list() if names is None or f.name in names]
     aggs = [a for f in feats for a in _aggregates(f)]
     grouped = _keyed(prepared).groupBy(*KEYS).agg(*aggs)
-    cols = [F.col(k) for k in KEYS] + [_final(f).alias(f.name) for f in feats]
+    cols = [F.col(k) for k in KEYS] + [_final(f, inf_as_null).alias(f.name) for f in feats]
     if keep_row_counts:
         cols += [F.col(f"_{f.name}_rows") for f in feats if f.kind in ("ratio", "band_ratio")]
     return grouped.select(*cols)

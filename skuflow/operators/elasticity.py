@@ -16,24 +16,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.operators.joins import join_lookup
+from skuflow.sources.tables import snapshot
 
 REFERENCE_ELASTICITY_DT = "2017-06-17"
 CATE3 = "item_third_cate_cd"
 
 
 def price_elasticity(sku: DataFrame, brand: DataFrame, cate: DataFrame,
-                     dt: str = REFERENCE_ELASTICITY_DT, fallback: bool = False,
-                     max_broadcast_rows: int | None = None) -> DataFrame:
+                     dt: str = REFERENCE_ELASTICITY_DT, fallback: bool = False) -> DataFrame:
     """``item_sku_id, pe`` with ``pe = COALESCE(sku, brand, category estimate)``."""
-    day = F.lit(dt)
-    a = sku.where(F.col("dt") == day).select(
+    a = snapshot(sku, dt).select(
         "skuid", "brand_code", CATE3, F.col("e_value").alias("_e_sku"))
-    b = brand.where(F.col("dt") == day).select(
+    b = snapshot(brand, dt).select(
         "brand_code", CATE3, F.col("e_value").alias("_e_brand"))
-    c = cate.where(F.col("dt") == day).select(CATE3, F.col("e_value").alias("_e_cate"))
+    c = snapshot(cate, dt).select(CATE3, F.col("e_value").alias("_e_cate"))
     how = "left" if fallback else "inner"
-    joined = join_lookup(a, b, ["brand_code", CATE3], how, max_broadcast_rows)
-    joined = join_lookup(joined, c, [CATE3], how, max_broadcast_rows)
+    joined = a.join(b, ["brand_code", CATE3], how).join(c, [CATE3], how)
     return joined.select(F.col("skuid").alias("item_sku_id"),
                          F.coalesce("_e_sku", "_e_brand", "_e_cate").alias("pe"))

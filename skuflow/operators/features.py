@@ -7,13 +7,12 @@ Gap filling has two forms:
   order, features only.  A batch holds one row per period, so a window
   partition is bounded by the calendar.
 * ``fill_missing_global``: the reference's whole-table fill in one row order
-  (Q5: it crosses batch borders and reaches the target).  A window without
-  ``partitionBy`` would run in one task; instead the table is range-sliced on
-  the order, each slice reports its last / first non-missing values, a window
-  over that per-slice summary (at most one row per slice) gives each slice its
-  carry-in from both sides, and the fill runs per slice.  A table of at most
-  ``max_rows`` rows (checked on the checkpointed input) is filled by the single
-  window instead.
+  (Q5: it crosses batch borders and reaches the target).  The order columns are
+  a hierarchy: rows are filled inside the values of all but the last; what is
+  still missing comes from a summary with one row per such value (its first and
+  last value of each column), which is filled the same way one level up.  Whole
+  numbers get a level of their thousands.  Only the topmost level, one row per
+  value of the first order column, is in one task.
 """
 
 from __future__ import annotations
@@ -22,9 +21,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
-from skuflow.operators.joins import join_lookup
-from skuflow.session import checkpoint_dir
 
 
 def as_list(keys) -> list[str]:
@@ -41,19 +39,18 @@ def _check_clash(left: DataFrame, right: DataFrame, keys: list[str]) -> None:
 def join_time_features(target: DataFrame, features: list[DataFrame], keys_time) -> DataFrame:
     """Left join each time feature table on the time keys, in list order.
 
-    A time feature has one row per period (bounded by the calendar), so it is
-    broadcast and the target is never shuffled for it.
+    A time feature has one row per period, so adaptive execution broadcasts it
+    from its measured size.
     """
     keys = as_list(keys_time)
 
     def step(left: DataFrame, right: DataFrame) -> DataFrame:
         _check_clash(left, right, keys)
-        return left.join(F.broadcast(right), keys, "left")
+        return left.join(right, keys, "left")
     return reduce(step, features, target)
 
 
-def join_category_features(target: DataFrame, features: list[DataFrame], keys_group, keys_time,
-                           max_broadcast_rows: int | None = None) -> DataFrame:
+def join_category_features(target: DataFrame, features: list[DataFrame], keys_group, keys_time) -> DataFrame:
     """Left join each category feature table on group + time keys.
 
     Build the features as one wide table (``discount_features``) and pass it
@@ -63,7 +60,7 @@ def join_category_features(target: DataFrame, features: list[DataFrame], keys_gr
 
     def step(left: DataFrame, right: DataFrame) -> DataFrame:
         _check_clash(left, right, keys)
-        return join_lookup(left, right, keys, "left", max_broadcast_rows)
+        return left.join(right, keys, "left")
     return reduce(step, features, target)
 
 
@@ -79,10 +76,6 @@ def feature_columns(all_columns: list[str], keys_time, keys_batch, target_column
     return [c for c in all_columns if c not in removed]
 
 
-def _order(order_cols) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in as_list(order_cols)]
-
-
 def _fill_sql(column: str, partition: list[str], order: list[str], backward: bool = True) -> str:
     """Forward (then backward) fill of one column as a SQL window expression."""
     over = (f"PARTITION BY {', '.join(partition)} " if partition else "") + f"ORDER BY {', '.join(order)}"
@@ -102,67 +95,77 @@ def fill_missing(df: DataFrame, order_cols, partition_cols, columns: list[str])
                            for c in df.columns])
 
 
-_SLICE = "_fill_slice"
+_COARSE = 10  # bits: the level above a whole-number order column
 
-# Fixed default: a table up to this many rows is filled by one task.
-DEFAULT_MAX_SINGLE_TASK_ROWS = 2_000_000
 
+def _levels(df: DataFrame, order: list[str]) -> list[tuple[str, Column]]:
+    """Order keys from coarse to fine; a whole number is preceded by its part
+    without the lowest bits, which sorts alike."""
+    whole = (ByteType, ShortType, IntegerType, LongType)
+    out = []
+    for i, c in enumerate(order):
+        if isinstance(df.schema[c].dataType, whole):
+            out.append((f"_level_{i}_coarse", F.shiftright(F.col(c).cast("long"), _COARSE)))
+        out.append((f"_level_{i}", F.col(c)))
+    return out
 
-def _fill_one_window(df: DataFrame, order: list[Column], columns: list[str],
-                     backward: bool) -> DataFrame:
-    w = Window.orderBy(*order)
-    ahead = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    behind = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    filled = {}
-    for c in columns:
-        options = [F.last(c, ignorenulls=True).over(ahead)]
-        if backward:
-            options.append(F.first(c, ignorenulls=True).over(behind))
-        filled[c] = F.coalesce(*options)
-    return df.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
-def fill_missing_global(df: DataFrame, order_cols, columns: list[str],
-                        slices: int | None = None, backward: bool = True,
-                        max_rows: int | None = DEFAULT_MAX_SINGLE_TASK_ROWS) -> DataFrame:
-    """W8+W9 over the whole table in one total row order, never more than
-    ``max_rows`` rows in one task (``max_rows=None`` always slices).
 
-    ``backward=False`` gives the forward fill alone (pad)."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = _order(order_cols)
-    key = F.struct(*order)
-    # Input checkpointed so the upstream runs once (count or range sampling,
-    # then the fill); slice ids checkpointed so both readers below see the same
-    # slices (see ``running_sum_by_group``).
-    base = df.checkpoint(eager=True)
-    if max_rows is not None and base.count() <= max_rows:
-        return _fill_one_window(base, order, columns, backward)
-    sliced = (base.repartitionByRange(n, *order)
-              .withColumn(_SLICE, F.spark_partition_id())
-              .checkpoint(eager=True))
-    # Per slice: the last and first non-missing value of every column.
-    edges = sliced.groupBy(_SLICE).agg(*[
-        agg for c in columns for agg in (
-            F.max_by(F.col(c), F.when(F.col(c).isNotNull(), key)).alias(f"_last_{c}"),
-            F.min_by(F.col(c), F.when(F.col(c).isNotNull(), key)).alias(f"_first_{c}"))])
-    # Carry-in from earlier / later slices; the summary has one row per slice.
-    before = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.orderBy(_SLICE).rowsBetween(1, Window.unboundedFollowing)
-    carry = edges.select(_SLICE, *[
-        agg for c in columns for agg in (
+def _summary(df: DataFrame, keys: list[str], last_key: str, firsts: dict[str, str],
+             lasts: dict[str, str]) -> DataFrame:
+    """Per value of ``keys`` the first and last non-missing value of each
+    column in the order of ``last_key``."""
+    def at(c: str) -> Column:
+        return F.when(F.col(c).isNotNull(), F.struct(last_key))
+    return df.groupBy(*keys).agg(*[
+        agg for c in firsts for agg in (F.min_by(firsts[c], at(firsts[c])).alias(f"_first_{c}"),
+                                        F.max_by(lasts[c], at(lasts[c])).alias(f"_last_{c}"))])
+
+
+def _around(summary: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Per row of ``summary`` the nearest value of each column before and after
+    it in the order of ``keys``."""
+    prefix, last_key = keys[:-1], keys[-1]
+    w = (Window.partitionBy(*prefix) if prefix else Window.partitionBy()).orderBy(last_key)
+    before, after = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    near = summary.select(*keys, *[
+        v for c in columns for v in (
             F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_prev_{c}"),
             F.first(f"_first_{c}", ignorenulls=True).over(after).alias(f"_next_{c}"))])
-    joined = sliced.join(F.broadcast(carry), _SLICE, "left")  # <= one row per slice
-    w = Window.partitionBy(_SLICE).orderBy(*order)
+    if not prefix:
+        return near
+    up = _around(_summary(summary, prefix, last_key, {c: f"_first_{c}" for c in columns},
+                          {c: f"_last_{c}" for c in columns}), prefix, columns)
+    return near.join(up, _same(near, up, prefix), "left").select(
+        *[near[k] for k in keys],
+        *[F.coalesce(near[f"{side}_{c}"], up[f"{side}_{c}"]).alias(f"{side}_{c}")
+          for c in columns for side in ("_prev", "_next")])
+
+
+def fill_missing_global(df: DataFrame, order_cols, columns: list[str], backward: bool = True) -> DataFrame:
+    """W8+W9 over the whole table in one total row order, by any number of tasks.
+
+    ``backward=False`` gives the forward fill alone (pad)."""
+    levels = _levels(df, as_list(order_cols))
+    keys = [k for k, _ in levels]
+    prefix, last_key = keys[:-1], keys[-1]
+    rows = df.withColumns(dict(levels))
+    w = (Window.partitionBy(*prefix) if prefix else Window.partitionBy()).orderBy(last_key)
     ahead = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     behind = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    filled = {}
-    for c in columns:
-        options = [F.last(c, ignorenulls=True).over(ahead), F.col(f"_prev_{c}")]
+    local = rows.withColumns({f"_ahead_{c}": F.last(c, ignorenulls=True).over(ahead) for c in columns}
+                             | {f"_behind_{c}": F.first(c, ignorenulls=True).over(behind) for c in columns})
+    if prefix:
+        own = {c: c for c in columns}
+        near = _around(_summary(rows, prefix, last_key, own, own), prefix, columns)
+        local = local.join(near, _same(local, near, prefix), "left")
+
+    def filled(c: str) -> Column:
+        options = [f"_ahead_{c}"] + ([f"_prev_{c}"] if prefix else [])
         if backward:
-            options += [F.first(c, ignorenulls=True).over(behind), F.col(f"_next_{c}")]
-        filled[c] = F.coalesce(*options)
-    return joined.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
+            options += [f"_behind_{c}"] + ([f"_next_{c}"] if prefix else [])
+        return F.coalesce(*options).alias(c)
+    return local.select(*[filled(c) if c in columns else F.col(c) for c in df.columns])

@@ -1,36 +1,45 @@
 """Per-batch forecasting.
 
-Linear models are fitted from grouped sufficient statistics: one
-``groupBy(batch).agg(sum(x_i * x_j), sum(x_i * y), ...)`` whose partial
-aggregates combine map-side, so a batch holding a third of all rows costs no
-more than any other.  Only the k x k statistics of each batch reach Python,
-one row per batch, where a small least-squares solve gives the coefficients;
-predictions are a column expression after joining them back.
-
-A user model (X1, ``python_model``) runs per batch with ``applyInPandas``.
-A batch holds one row per period (time keys x batch keys is the table key),
-so its size is bounded by the calendar, not by the data volume.
-
-``gbt`` is re-aimed: one pooled ``GBTRegressor`` with the batch key as a
-feature, not one tree model per batch (the reference's model settings are not
-in the repository).
+Linear models are fitted from grouped sums of centred products: the means of
+each batch first, then one ``groupBy(batch).agg(sum((x_i - m_i) * (x_j -
+m_j)), ...)``.  Both aggregates combine map-side, so a batch holding a third of
+all rows costs no more than any other, and centring keeps columns with a large
+mean from cancelling.  Only the k x k sums of each batch reach Python, one row
+per batch, where a small least-squares solve gives the coefficients.
+
+Infinite feature values are missing values.  A missing feature is 0 in fit and
+prediction by default (``missing="zero"``, for parity) or keeps its row out of
+the fit and its prediction NULL (``missing="drop"``).  Every eligible batch
+stays in the result; ``fit_status`` says why one has no prediction.
+
+A user model (X1, ``python_model``) runs per batch with ``applyInPandas``,
+which needs a batch in one task.  That is bounded where time keys and batch
+keys are the table key (one row per period); ``max_batch_rows`` makes a larger
+batch an error that names it instead of a lost executor.
+
+``gbt`` is re-aimed: one pooled ``GBTRegressor`` with the batch keys as
+categorical features, not one tree model per batch (the reference's model
+settings are not in the repository).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import (ArrayType, ByteType, DoubleType, IntegerType, LongType, ShortType,
+                               StringType, StructField, StructType)
 
 from skuflow.operators.features import as_list
-from skuflow.session import checkpoint_dir
+from skuflow.session import materialize
 
-SPLIT, PRED = "split", "y_"
+SPLIT, PRED, STATUS = "split", "y_", "fit_status"
+MAX_BATCH_ROWS = 1_000_000
 TRAIN, TEST = "train", "test"
 
 
@@ -48,6 +57,7 @@ class ForecastSpec:
     feature_columns: list[str] = field(default_factory=list)
     feature_rm_columns: list[str] = field(default_factory=list)
     alpha: float = 1.0
+    missing: str = "zero"
 
     def __post_init__(self):
         self.keys_time = as_list(self.keys_time)
@@ -85,133 +95,137 @@ def eligible_batches(split_df: DataFrame, keys_batch) -> DataFrame:
 
 def keep_eligible(split_df: DataFrame, keys_batch) -> DataFrame:
     """Semi join on the eligible batches (one row per batch; adaptive
-    execution broadcasts it from its runtime size)."""
+    execution broadcasts it from its measured size)."""
     keys = as_list(keys_batch)
     ok = eligible_batches(split_df, keys).select(*keys)
     return split_df.join(ok, keys, "left_semi")
 
 
-# ---- linear models from sufficient statistics ------------------------------
+# ---- linear models from centred sums ----------------------------------------
 
-def sufficient_statistics(train: DataFrame, keys_batch, features: list[str],
-                          target: str) -> DataFrame:
-    """Per batch one ``_stats`` vector: n, sum(y), sum(x), sum(x x^T) (k*k), sum(x y).
+MISSING = ("zero", "drop")
+FITTED, NO_TARGET, NOT_SOLVED = "fitted", "no usable train row", "not solved"
 
-    Each task reduces its rows with numpy to one vector per batch it holds;
-    the vectors are exploded by position and summed with a Spark aggregate
-    (partial sums combine map-side), then gathered back in position order.
-    A batch spread over every task therefore costs one small vector per task.
-    """
+
+def _feature_value(name: str, missing: str) -> Column:
+    """A feature as a finite double or NULL; NULL is 0 with ``missing="zero"``."""
+    if missing not in MISSING:
+        raise ValueError(f"missing must be one of {MISSING}")
+    v = F.col(name).cast("double")
+    finite = F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v)
+    return F.coalesce(finite, F.lit(0.0)) if missing == "zero" else finite
+
+
+def centred_sums(train: DataFrame, keys_batch, features: list[str], target: str,
+                 missing: str = "zero") -> DataFrame:
+    """Per batch: ``_n``, means ``_means`` (features, then target), and sums of
+    centred products ``_xx`` (upper triangle, by rows) and ``_xy``."""
     keys = as_list(keys_batch)
-    k = len(features)
-    rows = train.select(*keys, *[F.col(f).cast("double").alias(f"_x{i}")
-                                 for i, f in enumerate(features)],
-                        F.col(target).cast("double").alias("_y")).where(F.col("_y").isNotNull())
-    key_fields = [f for f in rows.schema.fields if f.name in keys]
-    schema = StructType(key_fields + [StructField("_stats", ArrayType(DoubleType()))])
-    xcols = [f"_x{i}" for i in range(k)]
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc: dict = {}
-        for pdf in batches:
-            x = pdf[xcols].fillna(0.0).to_numpy(dtype=float)
-            y = pdf["_y"].to_numpy(dtype=float)
-            for key, idx in pdf.groupby(keys, dropna=False, sort=False).indices.items():
-                xi, yi = x[idx], y[idx]
-                vec = np.concatenate([[len(idx), yi.sum()], xi.sum(axis=0),
-                                      (xi.T @ xi).ravel(), xi.T @ yi])
-                key = key if isinstance(key, tuple) else (key,)
-                acc[key] = acc[key] + vec if key in acc else vec
-        if acc:
-            out = pd.DataFrame([list(key) for key in acc], columns=keys)
-            out["_stats"] = [v.tolist() for v in acc.values()]
-            yield out
+    names = [f"_x{i}" for i in range(len(features))] + ["_y"]
+    rows = train.select(*keys, *[_feature_value(c, missing).alias(n) for c, n in zip([*features], names)],
+                        _feature_value(target, "drop").alias("_y")).dropna(subset=names)
+    means = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                    *[F.avg(n).alias(f"_m{n}") for n in names])
+    centred = rows.join(means, keys)
+
+    def sums(pairs) -> Column:
+        return F.array(*[F.expr(f"sum(({a} - _m{a}) * ({b} - _m{b}))") for a, b in pairs])
 
-    parts = rows.mapInPandas(partial, schema)
-    summed = (parts.select(*keys, F.posexplode("_stats").alias("_pos", "_v"))
-              .groupBy(*keys, "_pos").agg(F.sum("_v").alias("_v")))
-    return (summed.groupBy(*keys)
-            .agg(F.sort_array(F.collect_list(F.struct("_pos", "_v"))).alias("_pairs"))
-            .select(*keys, F.transform("_pairs", lambda p: p["_v"]).alias("_stats")))
+    x = names[:-1]
+    upper = [(x[i], x[j]) for i in range(len(x)) for j in range(i, len(x))]
+    own = [F.first(f"_m{n}").alias(f"_m{n}") for n in names]  # the same in every row of a batch
+    return (centred.groupBy(*keys).agg(F.first("_n").alias("_n"), *own, sums(upper).alias("_xx"),
+                                       sums([(a, "_y") for a in x]).alias("_xy"))
+            .select(*keys, "_n", F.array(*[f"_m{n}" for n in names]).alias("_means"), "_xx", "_xy"))
 
 
-def solve_normal_equations(n: float, sy: float, sx: np.ndarray, sxx: np.ndarray,
-                           sxy: np.ndarray, alpha: float = 0.0) -> tuple[float, np.ndarray]:
+def solve_centred(means: np.ndarray, xx: np.ndarray, xy: np.ndarray, alpha: float = 0.0) -> tuple[float, np.ndarray]:
     """Intercept and slopes of least squares (``alpha == 0``, minimum-norm
-    solution on standardised centred features, safe for collinear or constant
-    columns) or ridge (``alpha > 0``, penalty on the raw centred slopes)."""
-    mu, ybar = sx / n, sy / n
-    cov = sxx - n * np.outer(mu, mu)
-    cxy = sxy - n * mu * ybar
+    solution on standardised features, safe for collinear or constant columns)
+    or ridge (``alpha > 0``, penalty on the slopes)."""
+    k = len(xy)
+    full = np.zeros((k, k))
+    full[np.triu_indices(k)] = xx
+    full += np.triu(full, 1).T
     if alpha > 0:
-        beta = np.linalg.solve(cov + alpha * np.eye(len(mu)), cxy)
+        beta = np.linalg.solve(full + alpha * np.eye(k), xy)
     else:
-        scale = np.sqrt(np.clip(np.diag(cov), 0.0, None))
+        scale = np.sqrt(np.clip(np.diag(full), 0.0, None))
         scale[scale == 0] = 1.0
-        z, *_ = np.linalg.lstsq(cov / np.outer(scale, scale), cxy / scale, rcond=None)
+        z, *_ = np.linalg.lstsq(full / np.outer(scale, scale), xy / scale, rcond=1e-12)
         beta = z / scale
-    return float(ybar - mu @ beta), beta
+    return float(means[-1] - means[:-1] @ beta), beta
 
 
 def fit_linear(train: DataFrame, keys_batch, features: list[str], target: str,
-               alpha: float = 0.0) -> DataFrame:
-    """M1/M2: ``keys..., _b0, _beta`` per batch (one row per batch)."""
+               alpha: float = 0.0, missing: str = "zero") -> DataFrame:
+    """M1/M2: ``keys..., _b0, _beta, _status`` per batch with a usable train row."""
     keys = as_list(keys_batch)
-    k = len(features)
-    stats = sufficient_statistics(train, keys, features, target)
+    stats = centred_sums(train, keys, features, target, missing)
     key_fields = [f for f in stats.schema.fields if f.name in keys]
-    out_schema = StructType(key_fields + [StructField("_b0", DoubleType()),
-                                          StructField("_beta", ArrayType(DoubleType()))])
+    out_schema = StructType([*key_fields, StructField("_b0", DoubleType()),
+                             StructField("_beta", ArrayType(DoubleType())), StructField("_status", StringType())])
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            b0s, betas = [], []
-            for vec in pdf["_stats"]:
-                v = np.asarray(vec, dtype=float)
-                sx, sxx = v[2:2 + k], v[2 + k:2 + k + k * k].reshape(k, k)
-                b0, beta = solve_normal_equations(v[0], v[1], sx, sxx, v[2 + k + k * k:], alpha)
-                b0s.append(b0)
-                betas.append(beta.tolist())
+            found = []
+            for m, xx, xy in zip(pdf["_means"], pdf["_xx"], pdf["_xy"]):
+                try:
+                    b0, beta = solve_centred(*(np.asarray(v, dtype=float) for v in (m, xx, xy)), alpha)
+                    found.append((b0, beta.tolist(), FITTED) if np.isfinite([b0, *beta]).all()
+                                 else (None, None, NOT_SOLVED))
+                except np.linalg.LinAlgError:
+                    found.append((None, None, NOT_SOLVED))
             out = pdf[keys].copy()
-            out["_b0"] = b0s
-            out["_beta"] = betas
+            out["_b0"], out["_beta"], out["_status"] = ([f[i] for f in found] for i in range(3))
             yield out
 
     return stats.mapInPandas(solve, out_schema)
 
 
-def predict_linear(rows: DataFrame, coefficients: DataFrame, keys_batch,
-                   features: list[str]) -> DataFrame:
-    """``y_ = b0 + sum(beta_i * x_i)`` as a column expression (batches without
-    a fit drop out, like the reference's skipped batches)."""
+def predict_linear(rows: DataFrame, coefficients: DataFrame, keys_batch, features: list[str],
+                   missing: str = "zero") -> DataFrame:
+    """``y_ = b0 + sum(beta_i * x_i)`` as a column expression, and ``fit_status``.
+    A batch without a fit keeps its rows, with NULL predictions."""
     keys = as_list(keys_batch)
-    terms = [f"_beta[{i}] * coalesce(CAST({f} AS DOUBLE), 0.0D)" for i, f in enumerate(features)]
-    pred = F.expr(" + ".join(["_b0", *terms]))
-    joined = rows.join(coefficients, keys, "inner")
-    return joined.withColumn(PRED, pred).drop("_b0", "_beta")
+    pred = reduce(lambda a, b: a + b, [F.col("_beta")[i] * _feature_value(f, missing)
+                                       for i, f in enumerate(features)], F.col("_b0"))
+    return (rows.join(coefficients, keys, "left").withColumn(PRED, pred)
+            .withColumn(STATUS, F.coalesce("_status", F.lit(NO_TARGET))).drop("_b0", "_beta", "_status"))
 
 
-def linear_forecast(labeled: DataFrame, keys_batch, features, target, alpha=0.0) -> DataFrame:
-    coefs = fit_linear(labeled.where(F.col(SPLIT) == TRAIN), keys_batch, features, target, alpha)
-    return predict_linear(labeled, coefs, keys_batch, features)
+def linear_forecast(labeled: DataFrame, keys_batch, features, target, alpha=0.0,
+                    missing: str = "zero") -> DataFrame:
+    coefs = fit_linear(labeled.where(F.col(SPLIT) == TRAIN), keys_batch, features, target, alpha, missing)
+    return predict_linear(labeled, coefs, keys_batch, features, missing)
 
 
 # ---- exact one-regressor least squares ---------------------------------------
 
+def _wide(df: DataFrame, name: str) -> Column:
+    """Whole numbers as DECIMAL(19,0): their products are exact up to 38 digits
+    and do not overflow."""
+    whole = isinstance(df.schema[name].dataType, (ByteType, ShortType, IntegerType, LongType))
+    return F.col(name).cast("decimal(19,0)") if whole else F.col(name)
+
+
 def ols_one_feature(labeled: DataFrame, keys_batch, x: str, y: str,
                     alpha: float = 0.0) -> DataFrame:
-    """M1 (``alpha == 0``) or M2 with one regressor, from sums taken in the
-    input type (exact for DECIMAL or integer inputs), finished in double:
+    """M1 (``alpha == 0``) or M2 with one regressor, from sums of products that
+    are exact for DECIMAL and whole-number inputs (up to 38 digits), finished
+    in double:
 
         slope = (n Sxy - Sx Sy) / (n Sxx - Sx^2 + n alpha),  b0 = (Sy - slope Sx) / n
 
     A batch whose regressor is constant on the train rows (and ``alpha == 0``)
-    gets slope 0 and the mean as intercept (the minimum-norm solution)."""
+    gets slope 0 and the mean as intercept (the minimum-norm solution).  A batch
+    without a usable train row keeps its rows, with NULL predictions."""
     keys = as_list(keys_batch)
+    xw, yw = _wide(labeled, x), _wide(labeled, y)
     train = labeled.where((F.col(SPLIT) == TRAIN) & F.col(x).isNotNull() & F.col(y).isNotNull())
     s = train.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(x).alias("_sx"), F.sum(y).alias("_sy"),
-        F.sum(F.col(x) * F.col(y)).alias("_sxy"), F.sum(F.col(x) * F.col(x)).alias("_sxx"))
+        F.count(F.lit(1)).alias("_n"), F.sum(xw).alias("_sx"), F.sum(yw).alias("_sy"),
+        F.sum(xw * yw).alias("_sxy"), F.sum(xw * xw).alias("_sxx"))
     n = F.col("_n")
     num = (n * F.col("_sxy") - F.col("_sx") * F.col("_sy")).cast("double")
     den = (n * F.col("_sxx") - F.col("_sx") * F.col("_sx")).cast("double")
@@ -225,7 +239,7 @@ def ols_one_feature(labeled: DataFrame, keys_batch, x: str, y: str,
     coefs = coefs.select(*keys, "_slope",
                          ((F.col("_syd") - F.col("_slope") * F.col("_sxd")) / F.col("_nd"))
                          .alias("_intercept"))
-    joined = labeled.join(coefs, keys, "inner")
+    joined = labeled.join(coefs, keys, "left")
     pred = F.col("_intercept") + F.col("_slope") * F.col(x).cast("double")
     return joined.withColumn(PRED, pred).drop("_slope", "_intercept")
 
@@ -234,23 +248,26 @@ def ols_one_feature(labeled: DataFrame, keys_batch, x: str, y: str,
 
 def gbt_forecast(labeled: DataFrame, keys_batch, features: list[str], target: str,
                  max_iter: int = 20, max_depth: int = 4, seed: int = 42) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
+    """One model for all batches; batch keys of any type are indexed and enter
+    as categories.  Fitting runs at once, on a written table."""
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
     keys = as_list(keys_batch)
-    inputs = [f"_gbt_{c}" for c in keys + features]
-    prepared = labeled.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(a)
-                                     for c, a in zip(keys + features, inputs)])
-    vec = VectorAssembler(inputCols=inputs, outputCol="_gbt_features")
-    # Boosting runs several jobs per iteration over its input: read it from a
-    # checkpoint instead of re-deriving it from the whole upstream plan.
-    checkpoint_dir(labeled.sparkSession)
-    data = vec.transform(prepared).checkpoint(eager=True)
+    names, codes = [f"_gbt_key_{k}" for k in keys], [f"_gbt_code_{k}" for k in keys]
+    inputs = [f"_gbt_{c}" for c in features]
+    data = materialize(labeled.select(
+        "*", *[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(a) for k, a in zip(keys, names)],
+        *[_feature_value(c, "zero").alias(a) for c, a in zip(features, inputs)]), "gbt-rows")
     train = data.where((F.col(SPLIT) == TRAIN) & F.col(target).isNotNull()) \
         .withColumn("_gbt_label", F.col(target).cast("double"))
-    model = GBTRegressor(featuresCol="_gbt_features", labelCol="_gbt_label",
-                         predictionCol=PRED, maxIter=max_iter, maxDepth=max_depth,
-                         seed=seed).fit(train)
-    return model.transform(data).drop("_gbt_features", *inputs)
+    indexer = StringIndexer(inputCols=names, outputCols=codes, handleInvalid="keep").fit(train)
+    vec = VectorAssembler(inputCols=codes + inputs, outputCol="_gbt_features")
+    bins = max(32, *[len(x) + 1 for x in indexer.labelsArray])
+    model = GBTRegressor(featuresCol="_gbt_features", labelCol="_gbt_label", predictionCol=PRED,
+                         maxIter=max_iter, maxDepth=max_depth, maxBins=bins,
+                         seed=seed).fit(vec.transform(indexer.transform(train)))
+    return model.transform(vec.transform(indexer.transform(data))).drop(
+        "_gbt_features", *names, *codes, *inputs)
 
 
 # ---- arbitrary Python model per batch (X1) -----------------------------------
@@ -259,17 +276,36 @@ ModelFn = Callable[[pd.DataFrame, pd.Series, pd.DataFrame], tuple[np.ndarray, np
 
 
 def least_squares_model(x_train: pd.DataFrame, y_train: pd.Series, x_test: pd.DataFrame):
-    """Example model with the reference's contract: least squares with intercept."""
+    """Example model with the reference's contract: least squares with intercept.
+    Rows without a target are left out of the fit, infinite features count as 0."""
+    x_train, x_test = (x.where(np.isfinite(x), 0.0) for x in (x_train, x_test))
+    if not np.isfinite(y_train.to_numpy()).any():
+        return np.full(len(x_train), np.nan), np.full(len(x_test), np.nan)
     a = np.column_stack([np.ones(len(x_train)), x_train.to_numpy(dtype=float)])
-    coef, *_ = np.linalg.lstsq(a, y_train.to_numpy(dtype=float), rcond=None)
+    y = y_train.to_numpy(dtype=float)
+    known = np.isfinite(y)
+    # columns of very different size are put on one scale, so that none is cut off as tiny
+    scale = np.maximum(np.abs(a).max(axis=0), 1e-300)
+    coef, *_ = np.linalg.lstsq(a[known] / scale, y[known], rcond=None)
+    coef = coef / scale
     b = np.column_stack([np.ones(len(x_test)), x_test.to_numpy(dtype=float)])
     return a @ coef, b @ coef
 
 
 def python_model_forecast(labeled: DataFrame, keys_batch, features: list[str], target: str,
-                          model: ModelFn = least_squares_model) -> DataFrame:
-    """``model(X_train, y_train, X_test) -> (pred_train, pred_test)`` per batch."""
+                          model: ModelFn = least_squares_model,
+                          max_batch_rows: int = MAX_BATCH_ROWS) -> DataFrame:
+    """``model(X_train, y_train, X_test) -> (pred_train, pred_test)`` per
+    batch.  A batch of more than ``max_batch_rows`` rows is an error: its rows
+    are counted by an aggregate before any is gathered."""
     keys = as_list(keys_batch)
+    sizes = labeled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    too_many = F.concat(F.lit(f"a batch has more than {max_batch_rows} rows, too many for one task: "),
+                        F.to_json(F.struct(*keys)))
+    sizes = sizes.select(*keys, F.when(F.col("_rows") > max_batch_rows, F.raise_error(too_many).cast("long"))
+                         .otherwise(F.col("_rows")).alias("_rows"))
+    columns = labeled.columns
+    labeled = labeled.join(sizes, keys).where("_rows >= 0").select(*columns)
     schema = StructType(labeled.schema.fields + [StructField(PRED, DoubleType())])
 
     def per_batch(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -286,9 +322,9 @@ def python_model_forecast(labeled: DataFrame, keys_batch, features: list[str], t
 
 MODELS = {
     "linear_regression": lambda df, keys, feats, target, spec:
-        linear_forecast(df, keys, feats, target, 0.0),
+        linear_forecast(df, keys, feats, target, 0.0, spec.missing),
     "ridge": lambda df, keys, feats, target, spec:
-        linear_forecast(df, keys, feats, target, spec.alpha),
+        linear_forecast(df, keys, feats, target, spec.alpha, spec.missing),
     "xgb": lambda df, keys, feats, target, spec: gbt_forecast(df, keys, feats, target),
     "python": lambda df, keys, feats, target, spec: python_model_forecast(df, keys, feats, target),
 }

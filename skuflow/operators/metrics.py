@@ -42,15 +42,19 @@ def zero_negative_rows(df: DataFrame, pred: str = PRED, keep=(SPLIT,)) -> DataFr
     return df.select(*cols)
 
 
-def absolute_percentage_error(actual: str, pred: str = PRED):
-    """``abs(actual - pred) / actual``; +-inf for actual 0, NULL for 0/0."""
-    return pdiv(F.abs(F.col(actual).cast("double") - F.col(pred).cast("double")), actual)
+def absolute_percentage_error(actual: str, pred: str = PRED, abs_denominator: bool = False):
+    """``abs(actual - pred) / actual``; +-inf for actual 0, NULL for 0/0.
+
+    The signed actual is the reference's rule: a negative one makes the error
+    negative, which counts as a hit.  ``abs_denominator`` divides by its size."""
+    a = F.col(actual).cast("double")
+    return pdiv(F.abs(a - F.col(pred).cast("double")), F.abs(a) if abs_denominator else a)
 
 
 def with_errors(df: DataFrame, actual: str, pred: str = PRED, undefined: str = "miss",
-                order_cols=None) -> DataFrame:
+                order_cols=None, abs_denominator: bool = False) -> DataFrame:
     """Add ``_ape``: defined errors, undefined ones NULL, or padded."""
-    err = absolute_percentage_error(actual, pred)
+    err = absolute_percentage_error(actual, pred, abs_denominator)
     defined = F.when(F.abs(err) != F.lit(float("inf")), err)
     out = df.withColumn("_ape", defined)
     if undefined == "miss":
@@ -70,18 +74,21 @@ def with_errors(df: DataFrame, actual: str, pred: str = PRED, undefined: str = "
 
 
 def hit_rate(df: DataFrame, actual: str, pred: str = PRED, undefined: str = "miss",
-             order_cols=None) -> DataFrame:
+             order_cols=None, abs_denominator: bool = False) -> DataFrame:
     """A14 per split: ``split, hit_rate``."""
-    scored = with_errors(df, actual, pred, undefined, order_cols)
+    scored = with_errors(df, actual, pred, undefined, order_cols, abs_denominator)
     hit = F.when(F.col("_ape") <= F.lit(HIT_THRESHOLD), 1.0).otherwise(0.0)
     return scored.groupBy(SPLIT).agg(F.avg(hit).alias("hit_rate"))
 
 
 def total_error(df: DataFrame, actual: str, pred: str = PRED) -> DataFrame:
-    """A15 per split: ``split, total_error`` (pandas sums: missing skipped)."""
-    a = F.coalesce(F.sum(F.col(actual).cast("double")), F.lit(0.0))
-    y = F.coalesce(F.sum(F.col(pred).cast("double")), F.lit(0.0))
-    return df.groupBy(SPLIT).agg(pdiv(F.abs(a - y), a).alias("total_error"))
+    """A15 per split: ``split, total_error``; NULL where an actual or a
+    prediction is missing, since a sum over a part of the rows would mislead
+    (the reference's plain sums are missing then, too)."""
+    a, y = F.col(actual).cast("double"), F.col(pred).cast("double")
+    whole = F.count_if(a.isNull() | y.isNull()) == 0
+    error = pdiv(F.abs(F.sum(a) - F.sum(y)), F.sum(a))
+    return df.groupBy(SPLIT).agg(F.when(whole, error).alias("total_error"))
 
 
 def score(df: DataFrame, actual: str, pred: str = PRED, undefined: str = "miss",

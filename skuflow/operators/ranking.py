@@ -1,29 +1,20 @@
 """Running sums within groups that may be too large for one task.
 
-A plain ``sum().over(Window.partitionBy(g).orderBy(o))`` puts every row of a
-group into one task.  When one category holds a third of all SKUs that task
-holds a third of the table.  ``running_sum_by_group`` instead:
-
-1. checkpoints the input to the shared checkpoint folder, so the upstream
-   plan runs once (range partitioning samples its input before shuffling);
-2. range-partitions on (group, order) into a fixed number of slices, so a hot
-   group is spread over consecutive slices and small groups share one, and
-   checkpoints the rows with their slice id.  The id must be pinned: the
-   slices are read twice below, and two range exchanges over the same input
-   may sample different boundaries (the re-sampling seed depends on the RDD),
-   which would make the carry-in join miss rows;
-3. computes the running sum inside each (slice, group) — balanced tasks;
-4. sums each (slice, group) into a small table, where a window over slices
-   gives every slice its carry-in and every group its total;
-5. joins the carry-in back on (slice, group).
-
-The small table has at most ``slices + groups`` rows.  The result equals the
-single-window form exactly when the order is total (add a unique tie-break).
-
-Splitting costs a range shuffle, a second checkpoint and a join, so it is
-done only when needed: after step 1 one aggregate over the checkpoint finds
-the largest group, and when it holds at most ``max_group_rows`` rows the
-single window (one shuffle) is used.  ``max_group_rows=None`` always splits.
+A plain ``sum().over(Window.partitionBy(g).orderBy(v))`` puts every row of a
+group into one task.  ``running_sum_by_group`` cuts every group into slices
+that follow from the value alone, so that the plan is the same at every size,
+needs no sampling and runs nothing before an action:
+
+1. a row's slice is the logarithm of its value in steps of 1/32 of an octave
+   (values within about 2 % of each other share one); rows of value 0, which
+   add nothing and come last, are spread by a hash of the tie column;
+2. running sums are taken inside each (group, slice);
+3. each slice's sum is a row of a small table, in which a window over the
+   group's slices gives what comes before it, and the group's total;
+4. both are added back by a join on (group, slice).
+
+DECIMAL sums are exact.  DOUBLE sums depend on the order of addition in their
+last digits, so compare them with thresholds only after rounding.
 """
 
 from __future__ import annotations
@@ -31,59 +22,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.operators.joins import join_lookup
-from skuflow.session import checkpoint_dir
-
-_SLICE, _LOCAL, _SUB, _CARRY = "_rs_slice", "_rs_local", "_rs_sub", "_rs_carry"
+STEPS = 32          # slices per doubling of the value
+ZERO_PIECES = 64    # slices of a group's rows with value 0
 
-# Fixed default: a group up to this many rows is summed by one task.
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
+_SLICE, _PIECE, _LOCAL, _SUB, _CARRY = "_rs_slice", "_rs_piece", "_rs_local", "_rs_sub", "_rs_carry"
 
 
-def _single_window(df: DataFrame, group_cols, order, value: Column, cum_col, total_col):
-    w = Window.partitionBy(*group_cols).orderBy(*order)
-    return (df.withColumn(cum_col, F.sum(value).over(
-                w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-              .withColumn(total_col, F.sum(value).over(Window.partitionBy(*group_cols))))
+def value_slice(value: Column) -> Column:
+    """A whole number that never falls as the value rises; NULL is lowest."""
+    v = value.cast("double")
+    size = F.floor(F.log2(F.abs(v)) * STEPS) + 2_000 * STEPS  # doubles reach down to 2^-1074
+    return (F.when(v.isNull(), F.lit(-(10 ** 9))).when(v > 0, size).when(v < 0, -size)
+            .otherwise(F.lit(0)).cast("long"))
 
 
-def largest_group(df: DataFrame, group_cols: list[str]) -> int:
-    """Row count of the largest group (a partial aggregate; one small result)."""
-    return df.groupBy(*group_cols).count().agg(F.max("count")).first()[0] or 0
-
-
-def running_sum_by_group(df: DataFrame, group_cols: list[str], order: list[Column],
-                         value_col: str, cum_col: str, total_col: str,
-                         split_hot_groups: bool = True, slices: int | None = None,
-                         max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
-    """Add ``cum_col`` (inclusive running sum of ``value_col`` in ``order`` within
-    ``group_cols``) and ``total_col`` (the group total).  Group keys must be non-NULL."""
+def running_sum_by_group(df: DataFrame, group_cols: list[str], value_col: str, tie_col: str,
+                         cum_col: str, total_col: str) -> DataFrame:
+    """Add ``cum_col``, the inclusive running sum of ``value_col`` within
+    ``group_cols`` from the largest value down (ties by ascending ``tie_col``),
+    and ``total_col``, the group's sum.  Group keys must be non-NULL."""
     value = F.col(value_col)
-    if not split_hot_groups:
-        return _single_window(df, group_cols, order, value, cum_col, total_col)
-
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    base = df.checkpoint(eager=True)
-    if max_group_rows is not None and largest_group(base, group_cols) <= max_group_rows:
-        return _single_window(base, group_cols, order, value, cum_col, total_col)
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    group_order = [F.col(c).asc() for c in group_cols]
-    # An explicit slice count keeps adaptive execution from merging slices.
-    sliced = (base.repartitionByRange(n, *group_order, *order)
-              .withColumn(_SLICE, F.spark_partition_id())
-              .checkpoint(eager=True))
-
-    local = sliced.withColumn(_LOCAL, F.sum(value).over(
-        Window.partitionBy(_SLICE, *group_cols).orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    subtotals = sliced.groupBy(_SLICE, *group_cols).agg(F.sum(value).alias(_SUB))
-    by_slice = Window.partitionBy(*group_cols).orderBy(_SLICE)
-    carry = subtotals.select(
-        _SLICE, *group_cols,
+    sliced = df.withColumn(_SLICE, value_slice(value)).withColumn(_PIECE, F.when(
+        value == 0, F.pmod(F.xxhash64(tie_col), F.lit(ZERO_PIECES))).otherwise(F.lit(0)))
+    keys = [*group_cols, _SLICE, _PIECE]
+    inside = (Window.partitionBy(*keys).orderBy(value.desc(), F.col(tie_col).asc())
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = sliced.withColumn(_LOCAL, F.sum(value).over(inside))
+    by_slice = Window.partitionBy(*group_cols).orderBy(F.col(_SLICE).desc(), F.col(_PIECE))
+    carry = sliced.groupBy(*keys).agg(F.sum(value).alias(_SUB)).select(
+        *keys,
         F.coalesce(F.sum(_SUB).over(by_slice.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias(_CARRY),
         F.sum(_SUB).over(Window.partitionBy(*group_cols)).alias(total_col))
-    out = join_lookup(local, carry, [_SLICE, *group_cols], "inner")
-    return (out.withColumn(cum_col, F.col(_LOCAL) + F.col(_CARRY))
-               .select(*df.columns, cum_col, total_col))
+    return (local.join(carry, keys)
+            .withColumn(cum_col, F.coalesce(F.col(_LOCAL), F.lit(0)) + F.col(_CARRY))
+            .select(*df.columns, cum_col, total_col))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skuflow.functions.numeric import sql_div, sql_div_sql
-from skuflow.operators.joins import join_lookup
+from skuflow.sources.tables import snapshot
 
 # Fixed values of the reference's build.
 REFERENCE_HISTORY_START = "2014-07-01"
@@ -74,16 +74,14 @@ def attach_synthetic_price(daily: DataFrame, price: DataFrame) -> DataFrame:
 
 def sku_snapshot(sku_dim: DataFrame, snapshot_dt: str = REFERENCE_SKU_SNAPSHOT) -> DataFrame:
     """P5: the SKU dimension restricted to one snapshot, category columns only."""
-    return sku_dim.where(F.col("dt") == F.lit(snapshot_dt)) \
-        .select("item_sku_id", *CATEGORY_COLUMNS)
+    return snapshot(sku_dim, snapshot_dt).select("item_sku_id", *CATEGORY_COLUMNS)
 
 
 def attach_category(daily: DataFrame, sku_dim: DataFrame,
-                    snapshot_dt: str = REFERENCE_SKU_SNAPSHOT,
-                    max_broadcast_rows: int | None = None) -> DataFrame:
+                    snapshot_dt: str = REFERENCE_SKU_SNAPSHOT) -> DataFrame:
     """Inner join the snapshot's category codes on SKU (``daily_02``)."""
     dim = sku_snapshot(sku_dim, snapshot_dt)
-    joined = join_lookup(daily, dim, "item_sku_id", "inner", max_broadcast_rows)
+    joined = daily.join(dim, "item_sku_id", "inner")
     return joined.select(*daily.columns, *CATEGORY_COLUMNS)
 
 
@@ -95,10 +93,9 @@ def sales_measures(daily: DataFrame, dim_date: DataFrame, dim_week: DataFrame) -
     exact; it is NULL where ``net_price`` is (zero units) and 0 where the
     synthetic price is 0.
     """
-    # The calendar has one row per day / week: bounded by the span, not the data.
-    days = F.broadcast(dim_date.select(F.col("date"), F.col("sequentialweek")))
-    weeks = F.broadcast(dim_week.select(F.col("sequentialweek").alias("_week"),
-                                        F.col("date").alias("week_start")))
+    # No hints: adaptive execution broadcasts the calendar from its measured size.
+    days = dim_date.select(F.col("date"), F.col("sequentialweek"))
+    weeks = dim_week.select(F.col("sequentialweek").alias("_week"), F.col("date").alias("week_start"))
     s = daily.join(days, daily["sale_ord_dt"] == days["date"], "inner")
     s = s.join(weeks, s["sequentialweek"] == weeks["_week"], "left")
     net_price = sql_div_sql("net_sales", "unit_volume")
@@ -158,7 +155,7 @@ def rollup_then_categorise(measures: DataFrame, sku_dim: DataFrame, keys: list[s
     # partitions after the daily aggregate) and the join would shuffle again.
     # After the daily aggregate a SKU has one row per day, so no key is hot.
     rolled = _rollup(measures.repartition("item_sku_id"), keys)
-    joined = join_lookup(rolled, sku_snapshot(sku_dim, snapshot_dt), "item_sku_id", "inner")
+    joined = rolled.join(sku_snapshot(sku_dim, snapshot_dt), "item_sku_id", "inner")
     return joined.select(*CATEGORY_COLUMNS, *keys, *MEASURE_COLUMNS)
 
 

@@ -5,8 +5,9 @@ trailing sales (L4: W1-W7, F8-F11, O1, O4).
   -1)`` on a period index), not k shifted self-joins.  A SKU group holds one row
   per period, so its size is bounded by the calendar whatever the data volume.
 * W3 running sum and W4 category total come from ``running_sum_by_group``,
-  which splits a (period, category) over several tasks when it is larger
-  than ``max_group_rows``.
+  which cuts every (period, category) into slices.
+* Shares are rounded to 9 places before they meet the 0.8 threshold (Q7), so
+  the last digits of DOUBLE sums cannot move a mark.
 """
 
 from __future__ import annotations
@@ -15,13 +16,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuflow.functions.numeric import clamp_negative, month_index, pdiv_sql
-from skuflow.operators.ranking import DEFAULT_MAX_GROUP_ROWS, running_sum_by_group
+from skuflow.operators.ranking import running_sum_by_group
 
 # Fixed values of the reference: period column and lookback per mode, Pareto share.
 MODES = {"weekly": ("sequentialweek", 12), "monthly": ("month", 3)}
 PARETO_SHARE = 0.8
+SHARE_PLACES = 9
 
 SKU, CATE3, SALES = "item_sku_id", "item_third_cate_cd", "total_net_sales"
+CATEGORY_CODES = ("item_first_cate_cd", "item_second_cate_cd", CATE3)
 TRAILING = "total_net_sales_recent_three_months"
 CATE_TOTAL = "cate3_total_net_sales_recent_three_months"
 CUMULATED = "cumulated_net_sales"
@@ -42,17 +45,33 @@ def period_index(mode: str) -> Column:
 def trailing_sales(facts: DataFrame, mode: str = "monthly", sales_col: str = SALES,
                    out_col: str = TRAILING) -> DataFrame:
     """Per SKU, the clamped sales of the previous ``lookback`` periods by
-    calendar distance (missing periods count 0, the current one is excluded)."""
+    calendar distance (missing periods count 0, the current one is excluded).
+
+    (SKU, period) must be unique (Q12): a repeated one would be counted twice in
+    later periods, so it is an error; pre-aggregate with ``one_row_per_period``.
+    """
     period, lookback = mode_spec(mode)
-    frame = (Window.partitionBy(SKU).orderBy(F.col("_period_index"))
-             .rangeBetween(-lookback, -1))
+    ordered = Window.partitionBy(SKU).orderBy(F.col("_period_index"))
+    frame = ordered.rangeBetween(-lookback, -1)
     trailing = F.coalesce(F.sum(clamp_negative(sales_col)).over(frame), F.lit(0))
     return (facts.where(F.col(period).isNotNull())
             .withColumn("_period_index", period_index(mode))
-            .withColumn(out_col, trailing)
+            .withColumn(out_col, F.when(F.count(F.lit(1)).over(ordered.rangeBetween(0, 0)) > 1, F.raise_error(
+                F.concat(F.lit("(SKU, period) is not unique: "), F.col(SKU).cast("string"), F.lit(", "),
+                         F.col(period).cast("string")))).otherwise(trailing))
             .drop("_period_index"))
 
 
+def one_row_per_period(facts: DataFrame, mode: str = "monthly") -> DataFrame:
+    """Facts summed to one row per category codes, SKU and period (Q12);
+    ``rows_summed`` says how many rows each is made of."""
+    period, _ = mode_spec(mode)
+    keys = [c for c in facts.columns if c in (*CATEGORY_CODES, SKU, period)]
+    sums = [c for c in facts.columns if c.startswith("total_")]
+    return facts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums],
+                                    F.count(F.lit(1)).alias("rows_summed"))
+
+
 def category_trailing_total(trailing: DataFrame, mode: str = "monthly") -> DataFrame:
     """A4: trailing sales summed by (period, third category); NULL keys drop out."""
     period, _ = mode_spec(mode)
@@ -61,19 +80,17 @@ def category_trailing_total(trailing: DataFrame, mode: str = "monthly") -> DataF
 
 
 def pareto_marks(ranked: DataFrame, share: float = PARETO_SHARE) -> DataFrame:
-    """W5-W7 on rows carrying trailing sales, running sum and category total."""
+    """W5-W7 on rows carrying trailing sales, running sum and category total: a
+    row is marked if it has a running sum and the share before it is below
+    ``share``, that is if it belongs to the smallest leading set that reaches it."""
     own = f"coalesce({pdiv_sql(TRAILING, CATE_TOTAL)}, 0.0D)"
-    cumulated = f"coalesce({pdiv_sql(CUMULATED, CATE_TOTAL)}, 0.0D)"
-    before = f"coalesce({pdiv_sql(f'{CUMULATED} - {TRAILING}', CATE_TOTAL)}, 0.0D)"
-    s = f"{float(share)!r}D"
-    mark = (f"(({cumulated}) >= {s} AND ({before}) < {s})"
-            f" OR (({cumulated}) > 0 AND ({cumulated}) < {s})")
+    before = f"round(coalesce({pdiv_sql(f'{CUMULATED} - {TRAILING}', CATE_TOTAL)}, 0.0D), {SHARE_PLACES})"
+    reached = f"round(coalesce({pdiv_sql(CUMULATED, CATE_TOTAL)}, 0.0D), {SHARE_PLACES})"
+    mark = f"{reached} > 0 AND {before} < {float(share)!r}D"
     return ranked.withColumn(MARK, F.expr(mark)).withColumn(SHARE, F.expr(own))
 
 
-def top_selling(facts: DataFrame, mode: str = "monthly", keep_columns: bool = False,
-                split_hot_groups: bool = True,
-                max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+def top_selling(facts: DataFrame, mode: str = "monthly", keep_columns: bool = False) -> DataFrame:
     """L4: ``item_third_cate_cd, item_sku_id, <period>, true_top_saling_mark,
     sales_share_recent_three_months`` for every row with non-NULL keys.
 
@@ -83,10 +100,7 @@ def top_selling(facts: DataFrame, mode: str = "monthly", keep_columns: bool = Fa
     """
     period, _ = mode_spec(mode)
     trailing = trailing_sales(facts, mode).where(F.col(CATE3).isNotNull())
-    ranked = running_sum_by_group(
-        trailing, [period, CATE3], [F.col(TRAILING).desc(), F.col(SKU).asc()],
-        TRAILING, CUMULATED, CATE_TOTAL, split_hot_groups=split_hot_groups,
-        max_group_rows=max_group_rows)
+    ranked = running_sum_by_group(trailing, [period, CATE3], TRAILING, SKU, CUMULATED, CATE_TOTAL)
     marked = pareto_marks(ranked)
     if keep_columns:
         return marked

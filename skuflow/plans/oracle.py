@@ -5,7 +5,7 @@ from __future__ import annotations
 from skuflow.plans.registry import FIXTURE_SLICE, feature_query_name
 from skuflow.plans.sqlparts import (MEASURES, as_double_list, define_slice, feature_names,
                                     feature_sql, filled_sql, pdiv, with_ctes)
-from skuflow.sources.fixtures import HISTORY_START
+from skuflow.sources.fixtures import HISTORY_START, SKU_SNAPSHOT_DT
 
 ORACLE: dict[str, str] = {}
 
@@ -191,3 +191,26 @@ FROM (SELECT split, coalesce(ape, last_value(ape IGNORE NULLS) OVER (
 GROUP BY split""", "ols1")
 
 ORACLE["feature_matrix_from_files"] = ORACLE["fill_missing_batch"]
+
+ORACLE["top_selling_monthly_double"] = with_ctes("""
+SELECT item_third_cate_cd, item_sku_id, month, true_top_saling_mark,
+       round(sales_share_recent_three_months, 9) AS sales_share_recent_three_months
+FROM top_monthly_double""", "top_monthly_double")
+ORACLE["sku_snapshot_partition"] = with_ctes(f"""
+SELECT item_sku_id, {_CATS} FROM sku_dim WHERE dt = '{SKU_SNAPSHOT_DT}'""", "sku_dim")
+
+# ---- two regressors -----------------------------------------------------------
+_ROUNDED = "SELECT tm_key, item_third_cate_cd, split, gmv, round(y_, 1) AS y_ FROM "
+ORACLE["forecast_ols"] = with_ctes(_ROUNDED + "ols2", "ols2")
+ORACLE["forecast_python_model"] = ORACLE["forecast_ols"]
+ORACLE["forecast_ridge"] = with_ctes(_ROUNDED + "ridge2", "ridge2")
+ORACLE["forecast_gbt"] = with_ctes("""
+SELECT split, count(*) AS n_rows, count(*) AS n_predicted,
+       CASE WHEN split = 'train' THEN true END AS train_beats_mean
+FROM labeled GROUP BY split""", "labeled")
+ORACLE["forecast_pipeline_metrics"] = with_ctes(f"""
+SELECT split, avg(CASE WHEN abs(e) <> CAST('inf' AS DOUBLE) AND e <= 0.15 THEN 1.0 ELSE 0.0 END) AS hit_rate,
+       round({pdiv('abs(sum(gmv) - sum(p))', 'sum(gmv)')}, 6) AS total_error
+FROM (SELECT split, gmv, p, {pdiv('abs(gmv - p)', 'gmv')} AS e
+      FROM (SELECT split, gmv, CASE WHEN y_ < 0 THEN 0.0 ELSE y_ END AS p FROM ols2) c) t
+GROUP BY split""", "ols2")

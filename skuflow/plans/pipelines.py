@@ -33,14 +33,10 @@ def build_sales_facts(price_source: DataFrame, sku_dim: DataFrame, dim_date: Dat
                       dim_week: DataFrame, order_detail: DataFrame | None = None,
                       daily_base: DataFrame | None = None,
                       history_start: str = S.REFERENCE_HISTORY_START,
-                      snapshot_dt: str = S.REFERENCE_SKU_SNAPSHOT,
-                      materialize_measures: bool = False) -> SalesFacts:
+                      snapshot_dt: str = S.REFERENCE_SKU_SNAPSHOT) -> SalesFacts:
     """L1 (from order lines) or L2 (refresh from a stored ``daily_base``).
 
-    Nothing is computed here.  With ``materialize_measures`` the SKU x day
-    measures, which both rollups read, are written once to the shared
-    checkpoint folder, so writing both rollups scans the order lines once and
-    a lost executor re-runs one stage rather than the whole chain.
+    Nothing is computed here.
     """
     if daily_base is None:
         if order_detail is None:
@@ -54,8 +50,6 @@ def build_sales_facts(price_source: DataFrame, sku_dim: DataFrame, dim_date: Dat
     # The rollups aggregate the measures by SKU first and join the category
     # codes afterwards: the same rows, with the SKU join on far fewer rows.
     by_sku = S.sales_measures(with_price, dim_date, dim_week)
-    if materialize_measures:
-        by_sku = materialize(by_sku, "sales_measures")
     weekly = S.rollup_then_categorise(by_sku, sku_dim, S.WEEK_KEYS, snapshot_dt)
     monthly = S.rollup_then_categorise(by_sku, sku_dim, S.MONTH_KEYS, snapshot_dt)
     return SalesFacts(daily, with_price, with_category, measures, weekly, monthly)
@@ -89,10 +83,9 @@ def run_feature_pipeline(order_detail: DataFrame, price_source: DataFrame, sku_d
     """Elasticity (L3), sales facts (L1), category slice (P4), top selling
     (L4) and the 19 discount features (L5) as one application.
 
-    The SKU x period facts are checkpointed once (both the top-selling marks
-    and the features read them).  With ``output_dir`` the reference's
-    hand-over files are written as TSV directories and the features as
-    numbered files ``f0..f18``.
+    Lazy without ``output_dir``.  With it the facts and the features are stored
+    once, the reference's hand-over files are written as TSV directories and
+    the features as numbered files ``f0..f18``.
     """
     pe = E.price_elasticity(sku_elasticity, brand_elasticity, cate_elasticity, elasticity_dt)
     facts = build_sales_facts(price_source, sku_dim, dim_date, dim_week, order_detail=order_detail,
@@ -100,12 +93,14 @@ def run_feature_pipeline(order_detail: DataFrame, price_source: DataFrame, sku_d
     periodic = facts.weekly if mode == "weekly" else facts.monthly
     if category_slice is not None:
         periodic = S.category_slice(periodic, **category_slice)
-    periodic = periodic.checkpoint(eager=True)
+    if output_dir:  # read by four outputs
+        periodic = materialize(periodic, "periodic")
     prepared = D.prepare_discount_input(periodic, pe, mode=mode)
     top = prepared.select(T.CATE3, T.SKU, F.col("tm_key").alias(T.mode_spec(mode)[0]),
                           T.MARK, T.SHARE)
-    features = D.discount_features(prepared, keep_row_counts=True).checkpoint(eager=True)
+    features = D.discount_features(prepared, keep_row_counts=True)
     if output_dir:
+        features = materialize(features, "features")  # read once per file
         base = output_dir.rstrip("/")
         write_tsv(pe, f"{base}/price_elasticity")
         write_tsv(periodic, f"{base}/sales_{mode}")
@@ -167,11 +162,11 @@ def forecast_pipeline(target: DataFrame, time_features: list[DataFrame],
 
     ``fill="global"`` is the reference's whole-table fill (Q5), ordered by
     time keys then batch keys; ``"batch"`` fills features per batch in time
-    order.  The joined and filled matrix is checkpointed: it is read by the
+    order.  The joined and filled matrix is stored once: it is read by the
     eligibility check, the fit and the prediction.
     """
     matrix, feats = feature_matrix(target, time_features, category_features, spec, fill)
-    matrix = matrix.checkpoint(eager=True)
+    matrix = materialize(matrix, "forecast-matrix")
     predictions = M.forecast(matrix, spec, feats)
     order = spec.keys_batch + spec.keys_time
     metrics = Me.score(predictions, spec.target_column, undefined=undefined, order_cols=order)

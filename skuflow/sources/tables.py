@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-               "events", "documents", "embeddings", "pages", "benchmark", "labels",
-               "conversations")
-
-
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     """S3: one parquet table ``<base_dir>/<name>.parquet`` (or a directory of parts)."""
     return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")

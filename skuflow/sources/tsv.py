@@ -10,9 +10,10 @@ a header line), never one file through one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, StructType, _parse_datatype_string
+from pyspark.sql.types import (ByteType, DataType, DoubleType, IntegerType, LongType, ShortType,
+                               StructType, _parse_datatype_string)
 
 # The strings pandas' table reader treats as missing by default.
 PANDAS_NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -30,21 +31,27 @@ def _types(schema) -> dict[str, DataType]:
 
 def _raw_tsv(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     return (spark.read.option("sep", "\t").option("header", "true")
-            .option("inferSchema", "false").option("recursiveFileLookup", str(recursive).lower())
+            .option("quote", '"').option("escape", '"').option("inferSchema", "false").option("recursiveFileLookup", str(recursive).lower())
             .csv(path))
 
 
-def tsv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a header TSV (reads the header line only)."""
-    return _raw_tsv(spark, path).columns
+def _typed(value: Column, dtype: DataType, name: str) -> Column:
+    """A whole number may be written with a fraction of zero (``672.0``, as
+    pandas writes integers with gaps); another fraction is an error."""
+    if not isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
+        return value.cast(dtype)
+    number = value.cast("decimal(38,9)")
+    wrong = F.raise_error(F.concat(F.lit(f"{name} is not a whole number: "), value))
+    return F.when(number == F.floor(number), number.cast(dtype)).when(number.isNotNull(), wrong.cast(dtype))
 
 
 def read_tsv(spark: SparkSession, path: str, schema, na_tokens=PANDAS_NA_TOKENS,
-             recursive: bool = False, default_type: DataType | None = None) -> DataFrame:
+             recursive: bool = False, default_type: DataType | None = None,
+             optional: dict | None = None) -> DataFrame:
     """A TSV with a header; ``schema`` maps column names to types.
 
-    Columns of the file missing from ``schema`` get ``default_type`` when it
-    is given, and are dropped otherwise.
+    Columns of the file missing from ``schema`` get their type in ``optional``
+    or ``default_type`` when it is given, and are dropped otherwise.
     """
     types = _types(schema)
     raw = _raw_tsv(spark, path, recursive)
@@ -54,21 +61,24 @@ def read_tsv(spark: SparkSession, path: str, schema, na_tokens=PANDAS_NA_TOKENS,
     tokens = list(na_tokens)
     cols = []
     for name in raw.columns:
-        dtype = types.get(name, default_type)
+        dtype = types.get(name, (optional or {}).get(name, default_type))
         if dtype is None:
             continue
         value = F.when(F.col(name).isin(tokens), F.lit(None)).otherwise(F.col(name))
-        cols.append(value.cast(dtype).alias(name))
+        cols.append(_typed(value, _types(f"c {dtype}")["c"] if isinstance(dtype, str) else dtype, name).alias(name))
     return raw.select(*cols)
 
 
-def list_files(spark: SparkSession, directory: str) -> list[str]:
-    """Data files under ``directory`` (recursively), sorted.  Only the listing
-    reaches the driver; Spark's own output markers are skipped."""
+def list_tables(spark: SparkSession, directory: str) -> list[str]:
+    """Tables under ``directory`` (recursively), sorted: files, and folders of
+    part files.  The listing is reduced to tables in Spark, so the driver gets
+    one path per table whatever its number of parts; markers are skipped."""
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                .load(directory).select("path"))
-    paths = sorted(r.path for r in listing.collect())
-    return [p for p in paths if not p.rsplit("/", 1)[-1].startswith(("_", "."))]
+    name = F.substring_index("path", "/", -1)
+    tables = (listing.where(~name.startswith("_") & ~name.startswith("."))
+              .select(F.regexp_replace("path", r"/part-[^/]*$", "").alias("path")).distinct())
+    return sorted(r.path for r in tables.collect())
 
 
 def read_feature_dir(spark: SparkSession, directory: str, key_types: dict,
@@ -78,20 +88,14 @@ def read_feature_dir(spark: SparkSession, directory: str, key_types: dict,
     file or a Spark output directory), keys typed as given, other columns
     ``column_types[name]`` or ``feature_type``.  Tables come in path order
     (Q21: order is explicit)."""
-    tables = sorted({p.rsplit("/", 1)[0] if "/part-" in p else p
-                     for p in list_files(spark, directory)})
-    out = []
-    for t in tables:
-        header = tsv_header(spark, t) if column_types else []
-        types = {**{c: column_types[c] for c in header if c in column_types}, **key_types} \
-            if column_types else key_types
-        out.append(read_tsv(spark, t, types, default_type=feature_type))
-    return out
+    return [read_tsv(spark, t, key_types, default_type=feature_type, optional=column_types)
+            for t in list_tables(spark, directory)]
 
 
 def write_tsv(df: DataFrame, path: str) -> str:
     """Overwrite ``path`` with a header TSV directory; NULL is written empty."""
     (df.write.mode("overwrite").option("sep", "\t").option("header", "true")
+     .option("quote", '"').option("escape", '"')
      .option("nullValue", "").option("emptyValue", "").csv(path))
     return path
 
@@ -104,7 +108,7 @@ def write_numbered_features(features: DataFrame, directory: str, keys: list[str]
 
     ``row_counts`` maps a feature to a column counting its qualifying rows: a
     group without one is left out of that file, as a separate group-by would.
-    Checkpoint ``features`` first when it is expensive: it is read once per file.
+    Store ``features`` first when it is expensive: it is read once per file.
     """
     n = first
     for name in names:
