@@ -120,23 +120,23 @@ def centred_sums(train: DataFrame, keys_batch, features: list[str], target: str,
                  missing: str = "zero") -> DataFrame:
     """Per batch: ``_n``, means ``_means`` (features, then target), and sums of
     centred products ``_xx`` (upper triangle, by rows) and ``_xy``."""
-    keys = as_list(keys_batch)
-    names = [f"_x{i}" for i in range(len(features))] + ["_y"]
-    rows = train.select(*keys, *[_feature_value(c, missing).alias(n) for c, n in zip([*features], names)],
-                        _feature_value(target, "drop").alias("_y")).dropna(subset=names)
-    means = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                    *[F.avg(n).alias(f"_m{n}") for n in names])
-    centred = rows.join(means, keys)
+    keys, k = as_list(keys_batch), len(features)
+    # One array column: the optimiser infers constraints per column, and for
+    # dozens of computed ones together it does not come to an end.
+    values = F.array(*[_feature_value(c, missing) for c in features], _feature_value(target, "drop"))
+    rows = train.select(*keys, values.alias("_v")).where(~F.exists("_v", lambda x: x.isNull()))
+    means = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.array(
+        *[F.avg(F.col("_v")[i]) for i in range(k + 1)]).alias("_means"))
+    centred = rows.join(means, keys).select(*keys, "_n", "_means", F.zip_with(
+        "_v", "_means", lambda v, m: v - m).alias("_d"))
 
     def sums(pairs) -> Column:
-        return F.array(*[F.expr(f"sum(({a} - _m{a}) * ({b} - _m{b}))") for a, b in pairs])
-
-    x = names[:-1]
-    upper = [(x[i], x[j]) for i in range(len(x)) for j in range(i, len(x))]
-    own = [F.first(f"_m{n}").alias(f"_m{n}") for n in names]  # the same in every row of a batch
-    return (centred.groupBy(*keys).agg(F.first("_n").alias("_n"), *own, sums(upper).alias("_xx"),
-                                       sums([(a, "_y") for a in x]).alias("_xy"))
-            .select(*keys, "_n", F.array(*[f"_m{n}" for n in names]).alias("_means"), "_xx", "_xy"))
+        return F.array(*[F.expr(f"sum(_d[{i}] * _d[{j}])") for i, j in pairs])
+
+    upper = [(i, j) for i in range(k) for j in range(i, k)]
+    return centred.groupBy(*keys).agg(  # number and means are the same in every row of a batch
+        F.first("_n").alias("_n"), F.first("_means").alias("_means"), sums(upper).alias("_xx"),
+        sums([(i, k) for i in range(k)]).alias("_xy"))
 
 
 def solve_centred(means: np.ndarray, xx: np.ndarray, xy: np.ndarray, alpha: float = 0.0) -> tuple[float, np.ndarray]:

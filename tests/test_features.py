@@ -29,22 +29,34 @@ def test_global_fill_matches_single_window(spark):
             for i in range(2000)]
     data[0] = (0, None, None)
     df = spark.createDataFrame(data, "t int, x double, z double").repartition(7)
-    out = Fe.fill_missing_global(df, ["t"], ["x", "z"], slices=9, max_rows=None)
-    small = Fe.fill_missing_global(df, ["t"], ["x", "z"])
+    out = Fe.fill_missing_global(df, ["t"], ["x", "z"])
     w = Window.orderBy("t")
     ahead, behind = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
     ref = df.select("t", *[F.coalesce(F.last(c, True).over(ahead), F.first(c, True).over(behind)).alias(c)
                            for c in ("x", "z")])
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, ref.collect()))
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, ref.collect()))
 
 
 def test_global_pad_is_forward_only(spark):
     df = spark.createDataFrame([(0, None), (1, 3.0), (2, None)], "t int, x double")
-    for max_rows in (None, 100):
-        out = Fe.fill_missing_global(df, ["t"], ["x"], slices=2, backward=False,
-                                     max_rows=max_rows).orderBy("t")
-        assert [r.x for r in out.collect()] == [None, 3.0, 3.0]
+    out = Fe.fill_missing_global(df, ["t"], ["x"], backward=False).orderBy("t")
+    assert [r.x for r in out.collect()] == [None, 3.0, 3.0]
+
+
+def test_global_fill_over_a_hierarchy_of_order_columns(spark):
+    """String, whole-number and NULL keys; long gaps that cross every level."""
+    rnd = random.Random(2)
+    data = [(s, c, t, float(n) if rnd.random() < 0.004 else None)
+            for n, (s, c, t) in enumerate((s, c, t) for s in ("a", "b", None) for c in (1, 5, 3000, 70_000, None)
+                                          for t in ("01", "02", "03"))]
+    data += [("c", c, "01", None) for c in range(5000)] + [("d", 1, "01", 7.5)]
+    df = spark.createDataFrame(data, "s string, c int, t string, x double").repartition(6)
+    out = Fe.fill_missing_global(df, ["s", "c", "t"], ["x"])
+    w = Window.orderBy("s", "c", "t")
+    ref = df.select("s", "c", "t", F.coalesce(
+        F.last("x", True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        F.first("x", True).over(w.rowsBetween(0, Window.unboundedFollowing))).alias("x"))
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, ref.collect()), key=str)
 
 
 def test_feature_joins_and_clash(spark):

@@ -54,13 +54,59 @@ def test_ridge_shrinks_towards_mean(spark):
     assert 3.75 < ridge < ols   # pulled towards the train mean 3.75
 
 
-def test_normal_equations_match_lstsq():
+def test_centred_sums_match_lstsq():
     rng = np.random.default_rng(3)
-    x = rng.normal(size=(40, 3))
+    x = rng.normal(size=(40, 3)) + [0.0, 1e6, 0.0]   # a large mean must not cancel
     x[:, 2] = x[:, 0] + x[:, 1]
     y = x @ [1.0, -2.0, 0.5] + 4.0
-    b0, beta = M.solve_normal_equations(len(y), y.sum(), x.sum(0), x.T @ x, x.T @ y)
-    np.testing.assert_allclose(b0 + x @ beta, y, atol=1e-9)
+    xc, yc = x - x.mean(0), y - y.mean()
+    b0, beta = M.solve_centred(np.r_[x.mean(0), y.mean()], (xc.T @ xc)[np.triu_indices(3)], xc.T @ yc)
+    np.testing.assert_allclose(b0 + x @ beta, y, rtol=1e-9)
+
+
+def labelled(spark, data):
+    return M.split_rows(frame(spark, data), "tm_key", "2017-04", ["2017-05"])
+
+
+def test_a_batch_without_targets_keeps_its_rows(spark):
+    data = line_data(1, 3.0, 0.5) + [(f"2017-0{i}", 2, None, 1.0, 2.0) for i in range(1, 6)]
+    for out in (M.linear_forecast(labelled(spark, data), ["batch"], ["x1"], "y"),
+                M.ols_one_feature(labelled(spark, data), ["batch"], "x1", "y")):
+        rows = out.collect()
+        assert len(rows) == 10
+        assert all((r.y_ is None) == (r.batch == 2) for r in rows)
+    status = {r.batch: r.fit_status for r in M.linear_forecast(labelled(spark, data), ["batch"], ["x1"], "y").collect()}
+    assert status == {1: M.FITTED, 2: M.NO_TARGET}
+
+
+def test_infinite_and_missing_features(spark):
+    data = line_data(1, 3.0, 0.5) + [(f"2017-0{i}", 2, float(i), math.inf if i == 2 else float(i), None) for i in range(1, 6)]
+    rows = M.linear_forecast(labelled(spark, data), ["batch"], ["x1", "x2"], "y").collect()
+    assert all(r.y_ is not None and math.isfinite(r.y_) for r in rows)
+    dropped = M.linear_forecast(labelled(spark, data), ["batch"], ["x1"], "y", missing="drop").collect()
+    assert {r.tm_key for r in dropped if r.y_ is None} == {"2017-02"}
+    assert all(r.y_ == pytest.approx(r.y) for r in dropped if r.y_ is not None)
+    user = M.python_model_forecast(labelled(spark, data), ["batch"], ["x1"], "y").collect()
+    assert len(user) == 10 and all(math.isfinite(r.y_) for r in user)
+
+
+def test_large_whole_numbers_do_not_overflow(spark):
+    df = spark.createDataFrame([(f"2017-0{i}", 1, 2.0 * i, 4_000_000_000 + i) for i in range(1, 6)],
+                               "tm_key string, batch int, y double, x bigint")
+    out = M.ols_one_feature(M.split_rows(df, "tm_key", "2017-04", ["2017-05"]), ["batch"], "x", "y")
+    assert all(r.y_ == pytest.approx(r.y, abs=1e-4) for r in out.collect())
+
+
+def test_gbt_takes_string_batch_keys(spark):
+    rows = [(t, f"b{b}", y, x1, x2) for b in (1, 2) for t, _, y, x1, x2 in line_data(b, 10.0 * b, 1.0)]
+    df = spark.createDataFrame(rows, SCHEMA.replace("batch int", "batch string"))
+    out = M.gbt_forecast(M.split_rows(df, "tm_key", "2017-04", ["2017-05"]), ["batch"], ["x1"], "y", max_iter=5)
+    assert out.where("y_ is not null").count() == 10 and "_gbt_features" not in out.columns
+
+
+def test_an_oversized_batch_is_named(spark):
+    with pytest.raises(Exception, match="too many for one task"):
+        M.python_model_forecast(labelled(spark, line_data(1, 3.0, 0.5)), ["batch"], ["x1"], "y", max_batch_rows=3).collect()
 
 
 def test_one_feature_exact_and_constant_regressor(spark):
@@ -117,6 +163,10 @@ def test_scores_miss_pad_and_total_error(spark):
     assert miss == pytest.approx(2 / 4) and pad == pytest.approx(3 / 4)
     err = Me.total_error(df, "y").first().total_error
     assert err == pytest.approx(abs(10.0 - 37.0) / 10.0)
+    missing = df.unionAll(spark.createDataFrame([("train", 1, "05", 1.0, None)], df.schema))
+    assert Me.total_error(missing, "y").first().total_error is None
+    size = Me.hit_rate(df, "y", abs_denominator=True).first().hit_rate
+    assert size == pytest.approx(1 / 4)   # -10 against 5 is a miss by its size
     zero = spark.createDataFrame([("test", 0.0, 1.0)], "split string, y double, y_ double")
     assert Me.total_error(zero, "y").first().total_error == math.inf
 

@@ -8,7 +8,8 @@ from skuflow.operators import forecast as M
 from skuflow.plans import registry as R
 from skuflow.plans.pipelines import forecast_pipeline, run_feature_pipeline
 from skuflow.sources import fixtures as fx
-from skuflow.sources.tsv import list_files, read_feature_dir
+from skuflow.session import materialize
+from skuflow.sources.tsv import list_tables, read_feature_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,14 +32,14 @@ def test_feature_pipeline_writes_hand_over_files(spark, inputs, tmp_path):
     tables = read_feature_dir(spark, f"{out}/features_monthly",
                               {"tm_key": "string", "item_third_cate_cd": "int"})
     assert len(tables) == 19
-    assert {p.split("/")[-2] for p in list_files(spark, out) if "/features_" not in p} == {
+    assert {p.split("/")[-1] for p in list_tables(spark, out) if "/features_" not in p} == {
         "price_elasticity", "sales_monthly", "top_selling_monthly"}
 
 
 @pytest.mark.parametrize("method,fill", [("linear_regression", "batch"), ("ridge", "global"),
                                          ("python", "none")])
 def test_forecast_pipeline_scores_both_splits(spark, inputs, method, fill):
-    monthly = R.stored_monthly(spark, SF)
+    monthly = materialize(R.facts(spark, SF).monthly, "monthly")
     wide = R.D.discount_features(R.discount_input(spark, SF, monthly))
     spec = M.ForecastSpec(method=method, **R.FORECAST)
     run = forecast_pipeline(R.target(spark, SF, monthly), [inputs.time_features()], [wide], spec,
@@ -52,11 +53,38 @@ def test_forecast_pipeline_scores_both_splits(spark, inputs, method, fill):
     assert 0 < eligible < 25
 
 
-def test_forced_split_matches_single_window_on_real_facts(spark, inputs):
+def test_sliced_marks_match_a_plain_window_on_real_facts(spark, inputs):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
     from skuflow.operators import topsell as T
-    monthly = R.stored_monthly(spark, SF)
-    single = T.top_selling(monthly, "monthly", split_hot_groups=False)
-    split = T.top_selling(monthly, "monthly", max_group_rows=5)   # every group counts as hot
-    a = sorted(map(tuple, single.collect()))
-    b = sorted(map(tuple, split.collect()))
+    monthly = materialize(R.facts(spark, SF).monthly, "monthly")
+    got = T.top_selling(monthly, "monthly")
+    trailing = T.trailing_sales(monthly, "monthly").where(F.col(T.CATE3).isNotNull())
+    group = Window.partitionBy("month", T.CATE3)
+    plain = T.pareto_marks(trailing.withColumn(T.CATE_TOTAL, F.sum(T.TRAILING).over(group)).withColumn(
+        T.CUMULATED, F.sum(T.TRAILING).over(group.orderBy(F.col(T.TRAILING).desc(), T.SKU).rowsBetween(
+            Window.unboundedPreceding, 0)))).select(*got.columns)
+    a, b = sorted(map(tuple, got.collect())), sorted(map(tuple, plain.collect()))
     assert len(a) == len(b) > 1000 and a == b
+
+
+@pytest.mark.parametrize("name", ["discount_features_wide", "eligible_batches", "top_selling_monthly",
+                                  "fill_missing_global", "forecast_hit_rate_pad", "split_train"])
+def test_no_job_runs_while_a_plan_is_built(spark, inputs, name):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"build-{name}", name)
+    R.QUERIES[name](spark, SF)
+    jobs = tracker.getJobIdsForGroup(f"build-{name}")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # reading a parquet footer for its schema is a job of one task; nothing else may run
+    assert all(len(tracker.getJobInfo(j).stageIds) == 1 and tracker.getStageInfo(s).numTasks == 1
+               for j in jobs for s in tracker.getJobInfo(j).stageIds)
+    assert len(jobs) <= 12
+
+
+def test_global_fill_has_no_single_partition_of_rows(spark, inputs):
+    plan = R.q_fill_missing_global(spark, SF)._jdf.queryExecution().sparkPlan().toString()
+    for line in plan.split("\n"):
+        if "Window" in line and "_level" in line and "_ahead_" in line:
+            assert "[]" not in line.split("], [")[1]

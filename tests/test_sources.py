@@ -2,7 +2,9 @@
 
 import math
 
-from skuflow.sources.tsv import (PANDAS_NA_TOKENS, preview, read_feature_dir, read_tsv,
+import pytest
+
+from skuflow.sources.tsv import (PANDAS_NA_TOKENS, list_tables, preview, read_feature_dir, read_tsv,
                                  write_numbered_features, write_tsv)
 from skuflow.sources.warehouse import rebuild_table
 
@@ -72,3 +74,37 @@ def test_feature_dir_column_types(spark, tmp_path):
     (table,) = read_feature_dir(spark, str(tmp_path / "feats"), {"tm_key": "string"},
                                 column_types={"n": "bigint"})
     assert dict(table.dtypes) == {"tm_key": "string", "n": "bigint", "x": "double"}
+
+
+def test_whole_numbers_written_with_a_fraction_of_zero(spark, tmp_path):
+    path = tmp_path / "t.tsv"
+    path.write_text("k\tv\n672.0\t1\nNA\t2\n9007199254740993\t3\n")
+    got = read_tsv(spark, str(path), {"k": "bigint", "v": "int"})
+    assert sorted(map(tuple, got.collect()), key=str) == [(672, 1), (9007199254740993, 3), (None, 2)]
+    path.write_text("k\n1.5\n")
+    with pytest.raises(Exception, match="not a whole number"):
+        read_tsv(spark, str(path), {"k": "int"}).collect()
+
+
+def test_quotes_are_doubled_as_pandas_does(spark, tmp_path):
+    path = tmp_path / "t.tsv"
+    path.write_text('a\tb\n"say ""x""\ty"\t1\n')
+    assert read_tsv(spark, str(path), {"a": "string", "b": "int"}).collect() == [('say "x"\ty', 1)]
+    df = spark.createDataFrame([('q"uote\ttab', 2)], "a string, b int")
+    assert read_tsv(spark, write_tsv(df, str(tmp_path / "w")), {"a": "string", "b": "int"}).collect() == df.collect()
+
+
+def test_many_parts_are_one_table(spark, tmp_path):
+    write_tsv(spark.range(200).repartition(40), str(tmp_path / "f" / "t0"))
+    (tmp_path / "f" / "single.tsv").write_text("id\n1\n")
+    assert [p.rsplit("/", 1)[-1] for p in list_tables(spark, str(tmp_path / "f"))] == ["single.tsv", "t0"]
+
+
+def test_ratio_features_may_be_missing_instead_of_infinite(spark):
+    from skuflow.operators import discounts as D
+    row = [("2017-01", 7, 1, 5.0, 0.0, 5.0, 0.0, False, 0.0, 0.0)]
+    df = spark.createDataFrame(row, "tm_key string, item_third_cate_cd int, item_sku_id bigint, "
+                               "total_synthetic_give_away double, total_synthetic_gross_sales double, total_net_sales double, "
+                               "pe double, true_top_saling_mark boolean, sales_share_recent_three_months double, discount double")
+    assert D.discount_features(df).first().long_tail_discount == math.inf
+    assert D.discount_features(df, inf_as_null=True).first().long_tail_discount is None
