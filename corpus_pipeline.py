@@ -23,8 +23,7 @@ SHARDS = 24
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     chain = toxicity.fit_chain(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score_toxicity(docs, chain, carry=docs.columns)
-    return scored.where("not toxic").select(*docs.columns)
+    return toxicity.clean_documents(docs, chain)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ Categories are predicted one after another by linear models over the words of
 a text; each later model also sees the earlier categories' probabilities.  For
 training these are out-of-fold predictions, so that a later model learns from
 probabilities as uncertain as those it will meet.  Features are chosen inside
-each fold as well.
+each fold as well.  A text is toxic from the probability on that has the best
+F1 on out-of-fold rows.
 
 A feature is a word or its beginning (``PREFIXES`` letters, for inflected and
 made-up forms), hashed to ``HASHED`` places; its value is log2(1 + count).  Of
@@ -46,8 +47,9 @@ LEAST_TOXIC = 3
 MAX_TOXIC = 2500
 MAX_CLEAN = 5000
 FOLDS = 3
-PENALTY = 1.0
-THRESHOLD = 0.5
+PENALTY = 0.5       # of a fit on FULL_ROWS rows or more; less on fewer
+FULL_ROWS = 3000
+LEAST_CUT = 0.3     # the threshold comes from out-of-fold rows, but is never lower
 SEED = 88
 CACHED = 400_000
 CATEGORIES = ("severe", "frequent", "toxic")
@@ -85,14 +87,28 @@ def choose(hot: np.ndarray, cold: np.ndarray, toxic: int, clean: int, features:
     return np.sort(best[apart[best] > 0])
 
 
+def best_cut(p: np.ndarray, y: np.ndarray) -> float:
+    """The threshold with the best F1, in the middle of the gap that it may lie
+    in, but not above 0.5."""
+    order = np.argsort(-p, kind="stable")
+    p, hits = p[order], np.cumsum(y[order])
+    f1 = 2 * hits / (np.arange(1, len(p) + 1) + y.sum())
+    f1[:-1][p[1:] == p[:-1]] = -1  # equal probabilities cannot be parted
+    k = len(f1) - 1 - int(np.argmax(f1[::-1]))
+    below = p[k + 1] if k + 1 < len(p) else 0.0
+    return float(min(0.5, (p[k] + below) / 2))
+
+
 class Chain:
     """Linear links in the order of ``categories`` over the features ``chosen``.
 
     Each link's weights are those of the features, of the earlier
     probabilities, and the intercept."""
 
-    def __init__(self, categories: Sequence[str], chosen: Sequence[int], links: Sequence[np.ndarray]):
+    def __init__(self, categories: Sequence[str], chosen: Sequence[int], links: Sequence[np.ndarray],
+                 threshold: float):
         self.categories, self.chosen, self.links = tuple(categories), list(chosen), list(links)
+        self.threshold = threshold
 
     @staticmethod
     def fit_link(x: np.ndarray, before: np.ndarray, y: np.ndarray, penalty: float) -> np.ndarray:
@@ -101,7 +117,8 @@ class Chain:
             w = np.zeros(width)
             w[-1] = 20.0 if y[0] > 0 else -20.0
             return w
-        return logistic_fit(np.hstack([x, before, np.ones((len(x), 1))]), y, penalty, steps=10)
+        return logistic_fit(np.hstack([x, before, np.ones((len(x), 1))]), y,
+                            penalty * min(1.0, (len(x) / FULL_ROWS) ** 0.5), steps=10)
 
     @staticmethod
     def predict(w: np.ndarray, x: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -119,15 +136,14 @@ class Chain:
         for c in range(len(categories)):
             y = labels[:, c]
             links.append(cls.fit_link(x[:, chosen], before, y, penalty))
-            if c + 1 < len(categories):
-                out = np.zeros(len(x))
-                for f in np.unique(folds):
-                    away, use = folds == f, by_fold[int(f)]
-                    rest = ~away if not away.all() else away
-                    w = cls.fit_link(x[rest][:, use], before[rest], y[rest], penalty)
-                    out[away] = cls.predict(w, x[away][:, use], before[away])
-                before = np.hstack([before, out[:, None]])
-        return cls(categories, [places_of[k] for k in chosen], links)
+            out = np.zeros(len(x))
+            for f in np.unique(folds):
+                away, use = folds == f, by_fold[int(f)]
+                rest = ~away if not away.all() else away
+                w = cls.fit_link(x[rest][:, use], before[rest], y[rest], penalty)
+                out[away] = cls.predict(w, x[away][:, use], before[away])
+            before = np.hstack([before, out[:, None]])
+        return cls(categories, [places_of[k] for k in chosen], links, best_cut(before[:, -1], labels[:, -1]))
 
     def scorer(self):
         """text -> probabilities.  The chosen features of words are kept in a
@@ -237,15 +253,14 @@ def fit_chain(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, ma
                      {f: np.searchsorted(union, c) for f, c in fold_choice.items()}, names)
 
 
-def score_toxicity(docs: DataFrame, chain: Chain | None, threshold: float = THRESHOLD,
-                   carry: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``carry`` columns of ``docs``, p_severe, p_frequent, p_toxic and toxic."""
+def _scored(docs: DataFrame, chain: Chain | None, carry: Sequence[str]) -> DataFrame:
+    """``row`` (a struct of the ``carry`` columns, so that no name can clash)
+    and a probability per category."""
     kinds = [f"p_{c}" for c in CATEGORIES]
-    if chain is None:
-        none = [F.lit(0.0).alias(n) for n in kinds]
-        return docs.select(*carry, *none, F.lit(False).alias("toxic"))
     inside = "text" in carry  # then it need not travel twice
     row = docs.select(F.struct(*carry).alias("row"), *([] if inside else [F.col("text").cast("string")]))
+    if chain is None:
+        return row.select("row", *[F.lit(0.0).alias(n) for n in kinds])
     schema = StructType([row.schema["row"], *[StructField(n, DoubleType()) for n in kinds]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,5 +271,19 @@ def score_toxicity(docs: DataFrame, chain: Chain | None, threshold: float = THRE
             p = np.array([score(t.as_py()) for t in texts], dtype=float).reshape(-1, len(kinds))
             yield pa.RecordBatch.from_arrays([rows, *[pa.array(x) for x in p.T]], ["row", *kinds])
 
-    return (row.mapInArrow(run, schema)
-            .select("row.*", *kinds, (F.col("p_toxic") >= threshold).alias("toxic")))
+    return row.mapInArrow(run, schema)
+
+
+def _is_toxic(chain: Chain | None) -> Column:
+    return F.lit(False) if chain is None else F.col("p_toxic") >= max(chain.threshold, LEAST_CUT)
+
+
+def score_toxicity(docs: DataFrame, chain: Chain | None, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``carry`` columns of ``docs``, p_severe, p_frequent, p_toxic and toxic."""
+    return _scored(docs, chain, carry).select(
+        "row.*", *[f"p_{c}" for c in CATEGORIES], _is_toxic(chain).alias("toxic"))
+
+
+def clean_documents(docs: DataFrame, chain: Chain | None) -> DataFrame:
+    """The rows of ``docs`` that are not toxic, with their own columns."""
+    return _scored(docs, chain, docs.columns).where(~_is_toxic(chain)).select("row.*")
