@@ -109,3 +109,9 @@ def test_every_operator_has_one_query():
 def test_queries_equal_their_sql(spark, name):
     res = compare(spark, duck_connection(SF), name, registry.QUERIES[name], registry.ORACLE[name], SF)
     assert str(res["status"]).startswith("ok"), res
+
+
+@pytest.mark.parametrize("name", ["op2_feistel_sharding", "op6_url_rules", "op7_template_windows"])
+def test_native_queries_plan_no_python_and_no_cross_join(spark, name):
+    plan = registry.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop") if x in plan]
