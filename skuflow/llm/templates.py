@@ -1,10 +1,12 @@
 """Benchmark decontamination by template windows (op 7).
 
-Names inside a sentence, numbers and units after numbers become typed
-placeholders, letters are lower-cased and punctuation goes, so that a question
-and its re-parameterised twin have the same template words.  Windows of five
-template words of the benchmark items are joined by hash with those of the
-documents.  Where document and item windows line up (the same difference of
+Letters are lower-cased and punctuation goes; numbers and units after numbers
+become typed placeholders, so that a question and its re-parameterised twin
+have the same template words.  A window has up to three templates: without
+names, which any copy shares whatever its case, punctuation and line wrapping;
+with every capital word as a name, also one that opens a sentence; and with
+the capital words inside a sentence only.  Windows of five template words of the
+benchmark items are joined by hash with those of the documents.  Where document and item windows line up (the same difference of
 positions), the placeholders' values must map one to one; a line-up that gives
 one value two partners is dropped.  An item is found in a document if at least
 0.8 of its windows are matched in consistent line-ups.
@@ -34,49 +36,77 @@ UNITS = ("km", "m", "cm", "mm", "mi", "miles", "ft", "feet", "inch", "inches", "
          "pounds", "oz", "l", "ml", "liters", "litres", "gallons", "s", "sec", "seconds", "min", "minutes", "h",
          "hours", "days", "weeks", "months", "years", "mph", "kmh", "dollars", "euros", "cents", "percent",
          "degrees", "kb", "mb", "gb", "watts", "volts")
-WHITE = r"[\x20\x09-\x0D]+"
+SPACE = r"\s\p{Z}"
+WHITE = rf"[{SPACE}]+"
+# a capital word after a lower-case letter, ',' or ';'; on text without punctuation, any capital word
+INSIDE = rf"(?<=[\p{{Ll}},;][{SPACE}]{{1,2}})\p{{Lu}}\p{{Ll}}[\p{{L}}'-]*"
+CAPITAL = r"(?<![\p{L}\p{N}])\p{Lu}[\p{L}\p{N}]*\p{Ll}[\p{L}\p{N}]*"
+
+
+def _strip(text: Column) -> Column:
+    return F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}{NAME}-{UNIT}{SPACE}]+", "")
+
+
+def _lower(text: Column) -> Column:
+    return F.replace(F.lower(text), F.lit("\u00df"), F.lit("ss"))  # capitals of it are SS
+
+
+def _typed(text: Column) -> Column:
+    """Numbers and units of text without capitals and punctuation as placeholders."""
+    t = F.regexp_replace(text, r"\d+", NUMBER)
+    return F.regexp_replace(
+        t, rf"(?<={NUMBER})([{SPACE}]*)(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"$1{UNIT}")
 
 
 def template_text(text: Column) -> Column:
     """The text with placeholders, as many white-space words as ``plain_text``."""
-    t = F.regexp_replace(text, r"(?<=[\p{Ll},;] )\p{Lu}\p{Ll}[\p{L}'-]*", NAME)
-    t = F.regexp_replace(t, r"\d+(?:[.,:]\d+)*", NUMBER)
-    t = F.lower(t)
-    t = F.regexp_replace(t, rf"(?<={NUMBER})([\x20\x09-\x0D]?)(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"$1{UNIT}")
-    return F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{NAME}-{UNIT}\x20\x09-\x0D]+", "")
+    return _typed(_lower(_strip(F.regexp_replace(text, INSIDE, NAME))))
 
 
 def plain_text(text: Column) -> Column:
-    return F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}\x20\x09-\x0D]+", ""))
+    return _lower(_strip(text))
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(text, WHITE), lambda w: w != "")
+    return F.array_remove(F.split(text, WHITE), "")
 
 
 def windows(df: DataFrame, keep: list[str], width: int = WINDOW) -> DataFrame:
-    """``keep``, pos, hash of every template window; template and plain words of
-    the windows that hold placeholders (null for others)."""
-    slotted = F.col("template").rlike(f"[{NAME}-{UNIT}]")
-    texts = df.select(*keep, template_text(F.col("text")).alias("template"), "text")
+    """``keep``, pos, hash of every window in each of its templates; template and
+    plain words of those that hold placeholders (null for others)."""
+    bare = df.select(*keep, "text", _strip(F.col("text")).alias("bare"))
+    texts = bare.select(*keep, "text", "bare", _lower(F.col("bare")).alias("plain"))
     # one element, so that the words are made once and not for every window
     held = F.array(F.struct(
-        _words(F.col("template")).alias("t"),
-        F.when(slotted, _words(plain_text(F.col("text")))).alias("p")))
+        _words(F.col("plain")).alias("p"),
+        _words(_typed(F.col("plain"))).alias("t"),
+        F.when(F.col("bare").rlike(CAPITAL), _words(_typed(_lower(F.regexp_replace(F.col("bare"), CAPITAL, NAME)))))
+        .alias("any"),
+        F.when(F.col("text").rlike(INSIDE), _words(template_text(F.col("text")))).alias("inside")))
 
     def cut(w: Column) -> Column:
-        def at(i: Column) -> Column:
-            piece = F.slice(w["t"], i, width)
-            slots = F.exists(piece, lambda x: x.rlike(f"[{NAME}-{UNIT}]"))
-            return F.struct(
-                F.xxhash64(piece).alias("hash"),
-                F.when(w["p"].isNotNull() & (F.size(w["p"]) == F.size(w["t"])), F.when(slots, F.struct(
-                    piece.alias("t"), F.slice(w["p"], i, width).alias("p")))).alias("slots"))
-        count = F.size(w["t"]) - width + 1
-        return F.when(count > 0, F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), at))
-
-    return (texts.select(*keep, F.posexplode(F.transform(held, cut)[0]).alias("pos", "w"))
-            .select(*keep, "pos", F.col("w.hash").alias("hash"), F.col("w.slots").alias("slots")))
+        count = F.size(w["p"]) - width + 1
+
+        def of(words: Column, *others: Column) -> Column:
+            def at(i: Column) -> Column:
+                piece, plain = F.slice(words, i, width), F.slice(w["p"], i, width)
+                made = F.struct(i.alias("pos"), F.xxhash64(piece).alias("hash"), F.when(
+                    piece != plain, F.struct(piece.alias("t"), plain.alias("p"))).alias("slots"))
+                for other in others:  # once, if templates are equal there
+                    made = F.when(F.coalesce(piece != F.slice(other, i, width), F.lit(True)), made)
+                return made
+            cuts = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), at)
+            if others:
+                cuts = F.filter(cuts, lambda c: c.isNotNull())
+            return F.when((count > 0) & (F.size(words) == F.size(w["p"])), cuts)
+
+        none = F.expr("cast(array() as array<struct<pos:int,hash:bigint,"
+                      "slots:struct<t:array<string>,p:array<string>>>>)")
+        return F.concat(*(F.coalesce(c, none) for c in (
+            of(w["t"]), of(w["any"], w["t"]), of(w["inside"], w["t"], w["any"]))))
+
+    return (texts.select(*keep, F.explode(F.transform(held, cut)[0]).alias("w"))
+            .select(*keep, F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"), F.col("w.slots").alias("slots")))
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: float = SHARE) -> DataFrame:
@@ -84,7 +114,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share
     (placeholder values compared), a row per document and item found in it."""
     known = benchmark.select("item_id", "text", F.xxhash64("text").alias("item_key")).distinct()
     items = windows(known, ["item_id", "item_key"], width)
-    sizes = items.groupBy("item_id", "item_key").agg(F.count(F.lit(1)).alias("item_windows"))
+    sizes = items.groupBy("item_id", "item_key").agg(F.countDistinct("pos").alias("item_windows"))
     sought = items.select("item_id", "item_key", F.col("pos").alias("item_pos"), "hash",
                           F.col("slots").alias("item_slots"))
     if sought.count() <= MAX_BROADCAST:

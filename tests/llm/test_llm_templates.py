@@ -93,3 +93,25 @@ def test_equals_brute_force_on_the_tables(spark):
         want |= {(r["doc_id"], i) for i, w in items.items() if f" {' '.join(w)} " in text}
     got = {(r["doc_id"], r["item_id"]) for r in T.find_items(docs, bench).collect()}
     assert want and want <= got and len(got) <= 1.1 * len(want)
+
+
+def test_copies_in_other_case_punctuation_and_wrapping_are_found(spark, make_docs):
+    item = ("Near Riga, Anna Berg sold the Golden Ship to Boris; then Carl, her uncle, left for Oslo. "
+            "There Dora met Emil, and Frida paid Gustav.")
+    bench = spark.createDataFrame([(1, item), (2, "Die Straße nach Ulm, sagte Hans, ist für große Wagen zu eng.")],
+                                  "item_id long, text string")
+    bare = re.sub(r"[.,;]", "", item)
+    forms = [item, item.lower(), item.upper(), item.title(), bare, bare.lower(), bare.title(),
+             item.replace(" ", "\n"), item.replace(" ", "  \r\n"), item.replace(" ", " ")]
+    rows = [(k, FILL + f + " " + FILL) for k, f in enumerate(forms)]
+    rows.append((99, "DIE STRASSE NACH ULM SAGTE HANS IST FÜR GROSSE WAGEN ZU ENG"))
+    assert found(make_docs, bench, rows) == [*((k, 1) for k in range(len(forms))), (99, 2)]
+
+
+def test_every_item_of_the_tables_is_found_in_any_form(spark, make_docs):
+    bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    forms = [lambda t: t, str.lower, str.title, lambda t: re.sub(r"[.,;]", "", t), lambda t: t.replace(" ", "\n")]
+    items = bench.collect()
+    rows = [(1000 * k + r["item_id"], form(r["text"])) for k, form in enumerate(forms) for r in items]
+    got = set(found(make_docs, bench, rows))
+    assert {(1000 * k + r["item_id"], r["item_id"]) for k in range(len(forms)) for r in items} <= got
