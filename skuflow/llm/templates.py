@@ -1,7 +1,7 @@
 """Benchmark decontamination by template windows (op 7).
 
 Letters are lower-cased and punctuation goes; numbers and units after numbers
-become typed placeholders, so that a question and its re-parameterised twin
+(in singular or plural) become typed placeholders, so that a question and its re-parameterised twin
 have the same template words.  A window has up to three templates: without
 names, which any copy shares whatever its case, punctuation and line wrapping;
 with every capital word as a name, also one that opens a sentence; and with
@@ -32,10 +32,14 @@ MAX_BROADCAST = 2_000_000
 
 # Placeholders are private-use letters, which prose does not hold.
 NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002"
-UNITS = ("km", "m", "cm", "mm", "mi", "miles", "ft", "feet", "inch", "inches", "kg", "g", "mg", "lb", "lbs",
-         "pounds", "oz", "l", "ml", "liters", "litres", "gallons", "s", "sec", "seconds", "min", "minutes", "h",
-         "hours", "days", "weeks", "months", "years", "mph", "kmh", "dollars", "euros", "cents", "percent",
-         "degrees", "kb", "mb", "gb", "watts", "volts")
+UNITS = ("km", "m", "cm", "mm", "mi", "ft", "in", "yd", "kg", "g", "mg", "lb", "oz", "t", "l", "ml", "cl", "s", "sec",
+         "min", "h", "hr", "mph", "kmh", "kb", "mb", "gb", "tb", "kw", "kwh", "hz", "mile", "foot", "feet", "inch",
+         "inches", "yard", "meter", "metre", "kilometer", "kilometre", "centimeter", "centimetre", "millimeter",
+         "millimetre", "gram", "kilogram", "milligram", "pound", "ounce", "ton", "tonne", "liter", "litre",
+         "milliliter", "millilitre", "gallon", "quart", "pint", "cup", "acre", "hectare", "second", "minute", "hour",
+         "day", "week", "month", "year", "decade", "century", "centuries", "dollar", "euro", "cent", "penny",
+         "pennies", "pence", "percent", "degree", "byte", "watt", "kilowatt", "volt", "amp", "joule", "calorie")
+ONE_OF = {"feet": "foot", "inches": "inch", "centuries": "century", "pennies": "penny", "pence": "penny"}
 SPACE = r"\s\p{Z}"
 WHITE = rf"[{SPACE}]+"
 # a capital word after a lower-case letter, ',' or ';'; on text without punctuation, any capital word
@@ -55,7 +59,7 @@ def _typed(text: Column) -> Column:
     """Numbers and units of text without capitals and punctuation as placeholders."""
     t = F.regexp_replace(text, r"\d+", NUMBER)
     return F.regexp_replace(
-        t, rf"(?<={NUMBER})([{SPACE}]*)(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"$1{UNIT}")
+        t, rf"(?<={NUMBER})([{SPACE}]*)(?:{'|'.join(UNITS)})s?(?![\p{{L}}\p{{N}}])", f"$1{UNIT}")
 
 
 def template_text(text: Column) -> Column:
@@ -67,6 +71,13 @@ def plain_text(text: Column) -> Column:
     return _lower(_strip(text))
 
 
+def _singular(word: Column) -> Column:
+    """The plain word of a unit, with or without its number, in the singular."""
+    for many, one in ONE_OF.items():
+        word = F.regexp_replace(word, rf"(?<!\p{{L}}){many}$", one)
+    return F.regexp_replace(word, r"(?<=\p{L}{2})s$", "")
+
+
 def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, WHITE), "")
 
@@ -123,10 +134,13 @@ def find_items(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share
     cut = windows(thin, ["doc_id", "text_key"], width)
     met = cut.join(sought, "hash").withColumn("shift", F.col("pos") - F.col("item_pos"))
 
+    def value(t: Column, word: Column) -> Column:
+        return F.when(t.contains(UNIT), _singular(word)).otherwise(word)
+
     # values of placeholders, item's and document's; template words are equal
     values = F.filter(F.zip_with(
         F.arrays_zip(F.col("item_slots.t").alias("t"), F.col("item_slots.p").alias("a")), F.col("slots.p"),
-        lambda x, b: F.struct(x["t"].alias("t"), x["a"].alias("a"), b.alias("b"))),
+        lambda x, b: F.struct(x["t"].alias("t"), value(x["t"], x["a"]).alias("a"), value(x["t"], b).alias("b"))),
         lambda x: x["t"].rlike(f"[{NAME}-{UNIT}]"))
     pair = ["doc_id", "text_key", "item_id", "item_key"]
     line = [*pair, "shift"]

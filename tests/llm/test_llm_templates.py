@@ -115,3 +115,15 @@ def test_every_item_of_the_tables_is_found_in_any_form(spark, make_docs):
     rows = [(1000 * k + r["item_id"], form(r["text"])) for k, form in enumerate(forms) for r in items]
     got = set(found(make_docs, bench, rows))
     assert {(1000 * k + r["item_id"], r["item_id"]) for k in range(len(forms)) for r in items} <= got
+
+
+def test_twins_with_names_at_sentence_starts_and_units_in_the_singular_are_found(spark, make_docs):
+    items = ["Anna has 5 apples. Boris has 3 apples. How many apples do Anna and Boris have together?",
+             "A pump runs for 1 hour at 5 liters per minute and then for 2 hours at 1 liter per minute until done",
+             "Anna paid. Boris left?\nAnna stayed for 2 feet of rope. Boris came."]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    twins = ["Carla has 9 apples. Dmitri has 4 apples. How many apples do Carla and Dmitri have together?",
+             "A pump runs for 3 hours at 7 liters per minute and then for 1 hour at 3 liters per minute until done",
+             "Carla paid. Dmitri left?\nCarla stayed for 1 foot of rope. Dmitri came."]
+    torn = "Carla has 9 apples. Dmitri has 4 apples. How many apples do Eve and Fred have together?"
+    assert found(make_docs, bench, [*enumerate(twins), (7, torn)]) == [(0, 0), (1, 1), (2, 2)]
