@@ -1,15 +1,17 @@
 """Benchmark decontamination by template windows (op 7).
 
 Letters are lower-cased and punctuation goes; numbers and units after numbers
-(in singular or plural) become typed placeholders, so that a question and its re-parameterised twin
-have the same template words.  A window has up to three templates: without
+(in singular or plural) become typed placeholders, so that a question and its
+re-parameterised twin have the same template words.  A window has up to three templates: without
 names, which any copy shares whatever its case, punctuation and line wrapping;
 with every capital word as a name, also one that opens a sentence; and with
 the capital words inside a sentence only.  Windows of five template words of the
-benchmark items are joined by hash with those of the documents.  Where document and item windows line up (the same difference of
-positions), the placeholders' values must map one to one; a line-up that gives
-one value two partners is dropped.  An item is found in a document if at least
-0.8 of its windows are matched in consistent line-ups.
+benchmark items are joined by hash with those of the documents.  Where document
+and item windows line up (the same difference of positions), each placeholder value of the item has one partner in the document,
+the commonest; windows with another value are dropped, unless it is the item's
+own.  Two item values may share a partner, but not one that is unchanged for
+the other.  An item is found in a document if at least 0.8 of its windows are
+left in its line-ups.
 
 Only windows that match leave the scan: the benchmark's window hashes are
 broadcast if they number at most ``MAX_BROADCAST``, which is counted first;
@@ -120,6 +122,25 @@ def windows(df: DataFrame, keep: list[str], width: int = WINDOW) -> DataFrame:
             .select(*keep, F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"), F.col("w.slots").alias("slots")))
 
 
+def _partners(values: Column) -> Column:
+    """The document's value (b) that each item value (t, a) has at most positions of
+    a line-up, at equal counts the same one.  A changed value does not take one that
+    the line-up also leaves unchanged: the document then holds one parameter where
+    the item holds two."""
+    by_key = F.array_distinct(F.transform(values, lambda x: F.struct(x["t"].alias("t"), x["a"].alias("a"))))
+
+    def most(key: Column) -> Column:
+        own = F.filter(values, lambda x: (x["t"] == key["t"]) & (x["a"] == key["a"]))
+        at = F.array_max(F.transform(own, lambda x: F.struct(
+            F.size(F.array_distinct(F.transform(F.filter(own, lambda y: y["b"] == x["b"]), lambda y: y["at"])))
+            .alias("n"), (x["a"] == x["b"]).alias("same"), x["b"].alias("b"))))
+        return F.struct(key["t"].alias("t"), key["a"].alias("a"), at["b"].alias("b"))
+    # one element, so that the partners are made once
+    chosen = F.array(F.transform(by_key, most))
+    return F.transform(chosen, lambda c: F.filter(c, lambda x: (x["a"] == x["b"]) | ~F.exists(
+        c, lambda y: (y["t"] == x["t"]) & (y["a"] == y["b"]) & (y["b"] == x["b"]))))[0]
+
+
 def find_items(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: float = SHARE) -> DataFrame:
     """doc_id, text_key, item_id, windows (matched), item_windows and slots
     (placeholder values compared), a row per document and item found in it."""
@@ -139,19 +160,25 @@ def find_items(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share
 
     # values of placeholders, item's and document's; template words are equal
     values = F.filter(F.zip_with(
-        F.arrays_zip(F.col("item_slots.t").alias("t"), F.col("item_slots.p").alias("a")), F.col("slots.p"),
-        lambda x, b: F.struct(x["t"].alias("t"), value(x["t"], x["a"]).alias("a"), value(x["t"], b).alias("b"))),
+        F.arrays_zip(F.col("item_slots.t").alias("t"), F.col("item_slots.p").alias("a"),
+                     F.sequence(F.lit(0), F.size("item_slots.t") - 1).alias("k")), F.col("slots.p"),
+        lambda x, b: F.struct(x["t"].alias("t"), value(x["t"], x["a"]).alias("a"), value(x["t"], b).alias("b"),
+                              x["k"].alias("k"))),
         lambda x: x["t"].rlike(f"[{NAME}-{UNIT}]"))
+    # with the item's position of each
+    placed = F.transform(values, lambda x: x.withField("at", F.col("item_pos") + x["k"]))
     pair = ["doc_id", "text_key", "item_id", "item_key"]
     line = [*pair, "shift"]
-    lined = (met.select(*line, "item_pos", F.coalesce(values, F.expr(
-        "cast(array() as array<struct<t:string,a:string,b:string>>)")).alias("values"))
-        .groupBy(*line).agg(F.collect_set("item_pos").alias("found"),
-                            F.array_distinct(F.flatten(F.collect_set("values"))).alias("values")))
-    pairs = F.size("values")
-    one = (F.size(F.array_distinct(F.transform("values", lambda x: F.struct(x["t"], x["a"])))) == pairs) & (
-        F.size(F.array_distinct(F.transform("values", lambda x: F.struct(x["t"], x["b"])))) == pairs)
-    found = (lined.where(one).select(*pair, F.explode("found").alias("item_pos"), pairs.alias("slots"))
+    lined = (met.select(*line, F.struct("item_pos", F.coalesce(placed, F.expr(
+        "cast(array() as array<struct<t:string,a:string,b:string,k:int,at:int>>)")).alias("values")).alias("window"))
+        .groupBy(*line).agg(F.collect_set("window").alias("windows"))
+        .withColumn("partners", _partners(F.array_distinct(F.flatten("windows.values")))))
+    agreed = F.filter("windows", lambda w: F.forall(w["values"], lambda x: (x["a"] == x["b"]) | F.exists(
+        "partners", lambda y: (y["t"] == x["t"]) & (y["a"] == x["a"]) & (y["b"] == x["b"]))))
+    kept = lined.select(*pair, agreed.alias("windows"))
+    pairs = F.size(F.array_distinct(F.transform(
+        F.flatten("windows.values"), lambda x: F.struct(x["t"], x["a"], x["b"]))))
+    found = (kept.select(*pair, F.explode("windows.item_pos").alias("item_pos"), pairs.alias("slots"))
              .groupBy(*pair, "item_pos").agg(F.max("slots").alias("slots"))
              .groupBy(*pair).agg(F.count(F.lit(1)).alias("windows"), F.max("slots").alias("slots")))
     enough = F.col("windows") >= share * F.col("item_windows")

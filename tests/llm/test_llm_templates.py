@@ -127,3 +127,15 @@ def test_twins_with_names_at_sentence_starts_and_units_in_the_singular_are_found
              "Carla paid. Dmitri left?\nCarla stayed for 1 foot of rope. Dmitri came."]
     torn = "Carla has 9 apples. Dmitri has 4 apples. How many apples do Eve and Fred have together?"
     assert found(make_docs, bench, [*enumerate(twins), (7, torn)]) == [(0, 0), (1, 1), (2, 2)]
+
+
+def test_one_altered_value_costs_its_own_windows_only(spark, make_docs):
+    long = ("In 2010 the town of Riga built a bridge over the wide river and in 2010 it also opened two schools "
+            "for the children of the harbour while the old mill that had burned down was left as it stood until "
+            "the winter of 2010 when a storm carried the last of its walls away and nobody asked for them again")
+    item = "take 5 apples and 3 pears from the basket and give 5 apples to one and 3 pears to the other child"
+    bench = spark.createDataFrame([(1, long), (2, item)], "item_id long, text string")
+    rows = [(1, long.replace("2010 it", "2011 it")), (2, long.replace("Riga", "Rome").replace("2010 when", "1999 when")),
+            (3, item.replace("5", "4").replace("3", "4")), (4, item.replace("5", "8").replace("3", "9")),
+            (5, "take 5 apples and 6 pears from the basket and give 7 apples to one and 8 pears to the other child")]
+    assert found(make_docs, bench, rows) == [(1, 1), (2, 1), (3, 2), (4, 2)]
