@@ -17,14 +17,19 @@ Only windows that match leave the scan: the benchmark's window hashes are
 broadcast if they number at most ``MAX_BROADCAST``, which is counted first;
 beyond it the join is shuffled.
 
-Defined results: items with fewer than five template words are not searched
-for; null and empty texts match nothing; benchmark rows that repeat an id and
+Items with fewer than five words are one window of plain words, as long as the
+item; its words must be in the document in this order, without placeholders.
+In scripts without spaces each letter is a word.
+
+Defined results: items without a letter or digit, null and empty texts match nothing; benchmark rows that repeat an id and
 text are one item, an id with two texts is two; rows that repeat an id and text are one document;
 a null doc_id is kept apart by its text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +49,9 @@ UNITS = ("km", "m", "cm", "mm", "mi", "ft", "in", "yd", "kg", "g", "mg", "lb", "
 ONE_OF = {"feet": "foot", "inches": "inch", "centuries": "century", "pennies": "penny", "pence": "penny"}
 SPACE = r"\s\p{Z}"
 WHITE = rf"[{SPACE}]+"
+# Thai, Lao, Myanmar, Khmer, kana, Han
+UNSPACED = (r"[\u0E01-\u0EFF\u1000-\u109F\u1780-\u17FF\u3005-\u3007\u3040-\u30FF\u31F0-\u31FF\u3400-\u4DBF"
+            r"\u4E00-\u9FFF\uA9E0-\uA9FE\uAA60-\uAA7F\uF900-\uFAFF\uFF66-\uFF9F\x{1AFF0}-\x{1B16F}\x{20000}-\x{3FFFF}]")
 # a capital word after a lower-case letter, ',' or ';'; on text without punctuation, any capital word
 INSIDE = rf"(?<=[\p{{Ll}},;][{SPACE}]{{1,2}})\p{{Lu}}\p{{Ll}}[\p{{L}}'-]*"
 CAPITAL = r"(?<![\p{L}\p{N}])\p{Lu}[\p{L}\p{N}]*\p{Ll}[\p{L}\p{N}]*"
@@ -84,10 +92,17 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, WHITE), "")
 
 
-def windows(df: DataFrame, keep: list[str], width: int = WINDOW) -> DataFrame:
+def _spaced(text: Column) -> Column:
+    """Letters of scripts without spaces as words of their own."""
+    return F.when(text.rlike(UNSPACED), F.regexp_replace(text, UNSPACED, " $0 ")).otherwise(text)
+
+
+def windows(df: DataFrame, keep: list[str], width: int = WINDOW, short: Iterable[int] | None = None) -> DataFrame:
     """``keep``, pos, hash of every window in each of its templates; template and
-    plain words of those that hold placeholders (null for others)."""
-    bare = df.select(*keep, "text", _strip(F.col("text")).alias("bare"))
+    plain words of those that hold placeholders (null for others).  Also windows of
+    ``short`` plain words; with None, texts of fewer than ``width`` words are one."""
+    spaced = df.select(*keep, _spaced(F.col("text")).alias("text"))
+    bare = spaced.select(*keep, "text", _strip(F.col("text")).alias("bare"))
     texts = bare.select(*keep, "text", "bare", _lower(F.col("bare")).alias("plain"))
     # one element, so that the words are made once and not for every window
     held = F.array(F.struct(
@@ -113,10 +128,19 @@ def windows(df: DataFrame, keep: list[str], width: int = WINDOW) -> DataFrame:
                 cuts = F.filter(cuts, lambda c: c.isNotNull())
             return F.when((count > 0) & (F.size(words) == F.size(w["p"])), cuts)
 
+        def plain(size: Column, wanted: Column) -> Column:
+            return F.when(wanted, F.transform(
+                F.sequence(F.lit(1), F.greatest(F.size(w["p"]) - size + 1, F.lit(1))), lambda i: F.struct(
+                    i.alias("pos"), F.xxhash64(F.slice(w["p"], i, size)).alias("hash"), F.lit(None).alias("slots"))))
+
+        if short is None:
+            small = [plain(F.greatest(F.size(w["p"]), F.lit(1)), F.size(w["p"]).between(1, width - 1))]
+        else:
+            small = [plain(F.lit(n), F.size(w["p"]) >= n) for n in short]
         none = F.expr("cast(array() as array<struct<pos:int,hash:bigint,"
                       "slots:struct<t:array<string>,p:array<string>>>>)")
         return F.concat(*(F.coalesce(c, none) for c in (
-            of(w["t"]), of(w["any"], w["t"]), of(w["inside"], w["t"], w["any"]))))
+            of(w["t"]), of(w["any"], w["t"]), of(w["inside"], w["t"], w["any"]), *small)))
 
     return (texts.select(*keep, F.explode(F.transform(held, cut)[0]).alias("w"))
             .select(*keep, F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"), F.col("w.slots").alias("slots")))
@@ -152,7 +176,10 @@ def find_items(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share
     if sought.count() <= MAX_BROADCAST:
         sought = F.broadcast(sought)
     thin = docs.select("doc_id", F.col("text"), F.xxhash64("text").alias("text_key"))
-    cut = windows(thin, ["doc_id", "text_key"], width)
+    size = F.size(_words(plain_text(_spaced(F.col("text")))))
+    short = sorted(r["n"] for r in known.select(size.alias("n")).where(F.col("n").between(1, width - 1))
+                   .distinct().collect())  # width - 1 rows at most
+    cut = windows(thin, ["doc_id", "text_key"], width, short)
     met = cut.join(sought, "hash").withColumn("shift", F.col("pos") - F.col("item_pos"))
 
     def value(t: Column, word: Column) -> Column:

@@ -139,3 +139,14 @@ def test_one_altered_value_costs_its_own_windows_only(spark, make_docs):
             (3, item.replace("5", "4").replace("3", "4")), (4, item.replace("5", "8").replace("3", "9")),
             (5, "take 5 apples and 6 pears from the basket and give 7 apples to one and 8 pears to the other child")]
     assert found(make_docs, bench, rows) == [(1, 1), (2, 1), (3, 2), (4, 2)]
+
+
+def test_short_items_and_scripts_without_spaces_are_searched(spark, make_docs):
+    items = ["Who wrote Hamlet?", "Define osmosis briefly.", "Photosynthesis", "中国的首都是哪座城市?", "東京", "ใครเป็นผู้เขียน",
+             "What is 2 + 2?", "...", "小明有5个苹果,小红有3个苹果,他们一共有几个苹果?"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [(k, FILL + t + " " + FILL) for k, t in enumerate(items)]
+    rows += [(20, FILL + "who wrote\nhamlet"), (21, "Who wrote Faust? Define it briefly."), (22, "问题中国的首都是哪座城市呢"),
+             (23, "what is 2 3"), (24, "小明有8个苹果,小红有9个苹果,他们一共有几个苹果"), (25, "who"), (26, "")]
+    want = [(k, k) for k in range(len(items)) if k != 7]
+    assert found(make_docs, bench, rows) == sorted([*want, (20, 0), (22, 3), (24, 8)], key=str)
