@@ -14,8 +14,3 @@ def spark():
     session = get_session("local[*]", app_name="skuflow-tests", shuffle_partitions=8)
     checkpoint_dir(session)  # a local folder only when the session names none
     yield session
-
-
-def rows(df, *cols):
-    """Collected rows as plain tuples, sorted, for the given columns."""
-    return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())

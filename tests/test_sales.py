@@ -2,7 +2,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from skuflow.operators import sales as S
 from skuflow.plans.pipelines import build_sales_facts
 
