@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skuflow.llm import (mixing, quality, sharding, simhash, templates, tokencount, toxicity,
+from skuflow.llm import (mixing, quality, repair, sharding, simhash, templates, tokencount, toxicity,
                          urlrules, vectors, warc)
 from skuflow.session import scratch_path
 
@@ -86,6 +86,11 @@ def op10_simhash_anchors(spark, sf_dir):
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_lightest_repair(spark, sf_dir):
+    return repair.repaired_digests(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["op1_warc_transactions"] = """

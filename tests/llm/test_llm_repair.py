@@ -1,0 +1,167 @@
+"""Conversation repair against enumeration and a left-to-right table."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from skuflow.llm import registry
+from skuflow.llm import repair as R
+
+CONV = "conv_id long, turn long, role string, text string"
+
+
+def by_enumeration(codes, inserts=2):
+    """Every edit of every row with up to ``inserts`` insertions at each place."""
+    best = None
+    options = []
+    for c in codes:
+        gap = [(5 * len(i), "I" * len(i), "".join(i)) for n in range(inserts + 1) for i in itertools.product("ua", repeat=n)]
+        extra = 5 if c.isupper() else 0
+        row = [(2, "D", "")] + ([] if c == "x" else [(extra, "K", c.lower())] + [(1 + extra, "R", r) for r in "ua"])
+        options += [gap, row]
+    options.append([(5 * len(i), "I" * len(i), "".join(i)) for n in range(inserts + 1) for i in itertools.product("ua", repeat=n)])
+    for chosen in itertools.product(*options):
+        if re.fullmatch("(s?(ua)+)?", "".join(x[2] for x in chosen)):
+            found = sum(x[0] for x in chosen), "".join(x[1] for x in chosen)
+            best = min(best or found, found)
+    return best
+
+
+def by_table(codes):
+    """Least (cost, audit) of each prefix and state of the pattern, left to right."""
+    step = {("0", "s"): "1", ("0", "u"): "2", ("1", "u"): "2", ("3", "u"): "2", ("2", "a"): "3"}
+    def gaps(now):
+        for _ in range(3):
+            new = dict(now)
+            for (p, r), q in step.items():
+                if r != "s" and p in now:
+                    new[q] = min(new.get(q, (10 ** 9, "")), (now[p][0] + 5, now[p][1] + "I"))
+            now = new
+        return now
+    now = gaps({"0": (0, "")})
+    for c in codes:
+        new = {}
+        def offer(q, cost, audit):
+            new[q] = min(new.get(q, (10 ** 9, "")), (cost, audit))
+        for p, (cost, audit) in now.items():
+            offer(p, cost + 2, audit + "D")
+            if c != "x":
+                cost += 5 if c.isupper() else 0
+                for r, edit, more in ((c.lower(), "K", 0), ("u", "R", 1), ("a", "R", 1)):
+                    if (p, r) in step:
+                        offer(step[p, r], cost + more, audit + edit)
+        now = gaps(new)
+    return min(now[q] for q in "03" if q in now)
+
+
+def test_every_short_conversation_equals_enumeration():
+    for n in range(3):
+        for codes in itertools.product("xsuaoSUAO", repeat=n):
+            assert R.repair("".join(codes)) == by_enumeration(codes), codes
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("xsuaoSUAO", max_size=40))
+def test_longer_conversations_equal_the_table(codes):
+    assert R.repair(codes) == by_table(codes)
+
+
+def test_a_long_conversation():
+    codes = "".join(random.Random(7).choices("xsuaoUA", k=3_000))
+    assert R.repair(codes) == by_table(codes)
+
+
+# ---- the whole operator in plain Python ------------------------------------------
+
+def plain(rows, damage=True):
+    out = {}
+    for conv, turn, role, text in rows:
+        role, text = (" " if v is None else v for v in (role, text))
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20 if damage else 9
+        kept = out.setdefault(conv, [])
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub("[.!?]", "", text)
+        if kind == 4:
+            role = "user"
+        kept += [(turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    return {conv: plain_repair(sorted(kept, key=lambda r: (r[0] is not None, r[0] or 0))) for conv, kept in out.items()}
+
+
+def plain_repair(rows):
+    white, seen, codes = " \t\n\v\f\r", set(), ""
+    count = dict.fromkeys(("blank", "duplicate", "truncated"), 0)
+    for _, role, text in rows:
+        bare = text.strip(white)
+        fault = "blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else None
+        seen.add((role, text))
+        code = role[:1] if role[:1] and role[:1] in "sua" else "o"
+        codes += "x" if fault in ("blank", "duplicate") else code.upper() if fault else code
+        if fault:
+            count[fault] += 1
+    cost, audit = by_table(codes)
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in itertools.pairwise(rows))
+    left, done, user = iter(rows), [], True
+    for e in audit:
+        _, role, text = (None, None, "") if e == "I" else next(left)
+        if e == "D":
+            continue
+        if e != "K":
+            role = "user" if user else "assistant"
+        user = role[:1] != "u"
+        done.append(f"{role}:{text}")
+    return gaps, *count.values(), illegal, cost, audit, hashlib.sha256("\n".join(done).encode()).hexdigest()
+
+
+def got(df):
+    return {r["conv_id"]: tuple(r[c] for c in (*R.STATS, "audit", "repaired_sha256")) for r in df.collect()}
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_the_query_equals_the_plain_version(spark, sf):
+    path = f"/root/testdata/{sf}"
+    rows = [tuple(r) for r in spark.read.parquet(f"{path}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert got(registry.QUERIES["op11_lightest_repair"](spark, path)) == plain(rows)
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, None, None), (1, 3, "user", "a."), (1, None, "system", "b!"), (2, 0, "", ""), (2, 0, "tool", "x \n"),
+            (2, 9, "assistant", "y."), (None, 1, "user", "z?"), (None, 2, "assistant", "w."), (3, 1, "user", "é " * 200_000),
+            (3, 2, "assistant", "?"), (4, 1, "user", "no end"), (4, 1, "user", "no end")]
+    rows += [(5, t, ("user", "assistant")[t % 2], f"turn {t}.") for t in range(500)]
+    df = spark.createDataFrame(rows, CONV)
+    for name in ("live", "hash", "kind", "audit", "cost", "times", "blank"):
+        df = df.withColumn(name, F.lit("x"))
+    turns = R.damaged(df)
+    assert got(R.repaired_digests(turns)) == plain(rows)
+    undamaged = df.select("conv_id", "turn", "role", "text")
+    assert got(R.repaired_digests(undamaged)) == plain(rows, damage=False)
+    assert R.repaired_digests(R.damaged(df.limit(0))).count() == 0
+
+
+def test_a_conversation_that_the_damage_empties_stays(spark):
+    conv = next(c for c in range(1_000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)
+    df = spark.createDataFrame([(conv, 0, "user", "hello.")], CONV)
+    assert got(R.repaired_digests(R.damaged(df))) == {conv: (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())}
+
+
+def test_repaired_turns_follow_the_pattern(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").withColumn("conv_id", F.col("conv_id").cast("string"))
+    turns = R.damaged(df)
+    rows = R.repaired_turns(turns).orderBy("conv_id", "position").collect()
+    hashes = got(R.repaired_digests(turns))
+    for conv, part in itertools.groupby(rows, key=lambda r: r["conv_id"]):
+        part = list(part)
+        assert re.fullmatch("(s?(ua)+)?", "".join(r["role"][0] for r in part))
+        text = "\n".join(f"{r['role']}:{r['text']}" for r in part)
+        assert hashes[conv][-1] == hashlib.sha256(text.encode()).hexdigest()
