@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skuflow.llm import (mixing, quality, repair, sharding, simhash, templates, tokencount, toxicity,
+from skuflow.llm import (mixing, prefixtrie, quality, repair, sharding, simhash, templates, tokencount, toxicity,
                          urlrules, vectors, warc)
 from skuflow.session import scratch_path
 
@@ -91,6 +91,11 @@ def op11_lightest_repair(spark, sf_dir):
     return repair.repaired_digests(repair.damaged(table(spark, sf_dir, "conversations")))
 
 
+@query
+def op13_burst_trie(spark, sf_dir):
+    return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["op1_warc_transactions"] = """
@@ -139,3 +144,52 @@ SELECT page_id, host, path, rule,
             WHEN rule IS NOT NULL OR word IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
        CASE WHEN rule IS NULL THEN word END AS word_rule
 FROM named"""
+
+# CRC-32, bit by bit, as DuckDB has no function for it.
+_CRC32 = """xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda c: ord(c)::BIGINT)),
+        lambda s, b: list_reduce(list_prepend(xor(s, b), range(8)),
+          lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)))"""
+
+ORACLE["op13_burst_trie"] = f"""
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+taken AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base,
+         {_CRC32.format("CAST(conv_id AS VARCHAR)")} % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM own)),
+turns AS (
+  SELECT taken.conv_id, o.place, o.role, o.text FROM taken JOIN own o ON o.conv_id = base AND o.place <= h
+  UNION ALL
+  SELECT taken.conv_id, o.place + 100, o.role, o.text FROM taken JOIN own o ON o.conv_id = taken.conv_id AND o.place > h),
+rebuilt AS (
+  SELECT taken.conv_id, coalesce(list({{'r': role, 't': text}} ORDER BY place) FILTER (place IS NOT NULL), []) AS turns
+  FROM taken LEFT JOIN turns USING (conv_id) GROUP BY taken.conv_id),
+prefixes AS (
+  SELECT conv_id, unnest(range(len(turns) + 1)) AS depth, turns FROM rebuilt),
+member AS (
+  SELECT conv_id, depth, len(turns) = depth AS ends, list_slice(turns, 1, depth) AS prefix FROM prefixes),
+node AS (
+  SELECT prefix, depth, min(conv_id) AS id, count(*) AS n_convs,
+         (count(*) - 1) * CASE WHEN depth = 0 THEN 0 ELSE octet_length(encode(prefix[depth].t)) END AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM member GROUP BY prefix, depth),
+named AS (SELECT m.conv_id, m.depth, n.id FROM member m JOIN node n USING (prefix, depth)),
+below AS (
+  SELECT DISTINCT up.id AS id, up.depth AS depth, down.id AS down_id, down.depth AS down_depth
+  FROM named up JOIN named down ON up.conv_id = down.conv_id AND up.depth <= down.depth),
+children AS (
+  SELECT id, depth, count(*) AS n FROM below WHERE down_depth = depth + 1 GROUP BY id, depth),
+total AS (
+  SELECT b.id, b.depth, count(*) FILTER (c.n IS NULL) AS n_leaves, sum(n.saved) AS saved
+  FROM below b JOIN node n ON n.id = b.down_id AND n.depth = b.down_depth
+  LEFT JOIN children c ON c.id = b.down_id AND c.depth = b.down_depth GROUP BY b.id, b.depth)
+SELECT node.id AS conv_id, CAST(node.depth AS BIGINT) AS depth,
+       CASE WHEN node.depth > 0 THEN (SELECT id FROM below u WHERE u.down_id = node.id AND u.down_depth = node.depth
+                                      AND u.depth = node.depth - 1) END AS parent_conv_id,
+       node.n_convs, coalesce(c.n, 0) AS n_children, t.n_leaves,
+       CAST(t.saved AS BIGINT) AS saved_tokens, node.ends_sha256
+FROM node JOIN total t ON t.id = node.id AND t.depth = node.depth
+LEFT JOIN children c ON c.id = node.id AND c.depth = node.depth"""
