@@ -11,8 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skuflow.llm import (mixing, prefixtrie, quality, repair, sharding, simhash, templates, tokencount, toxicity,
-                         urlrules, vectors, warc)
+from skuflow.llm import (mixing, prefixtrie, quality, repair, secretscan, sharding, simhash, templates,
+                         tokencount, toxicity, urlrules, vectors, warc)
 from skuflow.session import scratch_path
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -91,6 +91,11 @@ def op11_lightest_repair(spark, sf_dir):
     return repair.repaired_digests(repair.damaged(table(spark, sf_dir, "conversations")))
 
 
+@query
+def op12_assignment_secrets(spark, sf_dir):
+    return secretscan.scan_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_burst_trie(spark, sf_dir):
     return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"))

@@ -102,7 +102,7 @@ def test_toxicity_without_labels_keeps_all(spark, make_docs):
 
 def test_every_operator_has_one_query():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
