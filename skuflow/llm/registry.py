@@ -198,3 +198,67 @@ SELECT node.id AS conv_id, CAST(node.depth AS BIGINT) AS depth,
        CAST(t.saved AS BIGINT) AS saved_tokens, node.ends_sha256
 FROM node JOIN total t ON t.id = node.id AND t.depth = node.depth
 LEFT JOIN children c ON c.id = node.id AND c.depth = node.depth"""
+
+ORACLE["op11_lightest_repair"] = f"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_CRC32.format("concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS kind
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM raw, range(CASE WHEN kind = 3 THEN 2 ELSE 1 END) WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role) AS place,
+         rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM damaged),
+faulty AS (
+  SELECT *, left(role, 1) AS initial,
+         CASE WHEN bare = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'duplicate'
+              WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'sound' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY place) AS before
+  FROM placed),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM faulty GROUP BY conv_id),
+step(p, r, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+gap(p, q, cost, letters, roles) AS (
+  VALUES (0, 0, 0, '', []::VARCHAR[]), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+         (0, 2, 5, 'I', ['u']), (1, 2, 5, 'I', ['u']), (3, 2, 5, 'I', ['u']), (2, 3, 5, 'I', ['a']),
+         (0, 3, 10, 'II', ['u', 'a']), (1, 3, 10, 'II', ['u', 'a'])),
+edit AS (
+  SELECT f.conv_id, f.place, s.p, s.p AS q, 2 AS cost, 'D' AS letter, NULL AS line
+  FROM faulty f, (SELECT DISTINCT q AS p FROM gap) s
+  UNION ALL
+  SELECT f.conv_id, f.place, s.p, s.q, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, 'K', f.role || ':' || f.text
+  FROM faulty f JOIN step s ON s.r = f.initial WHERE fault IN ('sound', 'truncated')
+  UNION ALL
+  SELECT f.conv_id, f.place, s.p, s.q, CASE fault WHEN 'truncated' THEN 6 ELSE 1 END, 'R',
+         CASE s.r WHEN 'u' THEN 'user:' ELSE 'assistant:' END || f.text
+  FROM faulty f JOIN step s ON s.r IN ('u', 'a') WHERE fault IN ('sound', 'truncated')),
+best AS (
+  SELECT conv_id, 0 AS place, 0 AS q, 0 AS cost, '' AS audit, []::VARCHAR[] AS lines FROM counted
+  UNION ALL
+  SELECT conv_id, place, q, w.cost, w.audit, w.lines FROM (
+    SELECT b.conv_id, e.place, e.q, min({{'cost': b.cost + g.cost + e.cost, 'audit': b.audit || g.letters || e.letter,
+           'lines': b.lines || list_transform(g.roles, lambda r: CASE r WHEN 'u' THEN 'user:' ELSE 'assistant:' END)
+                    || CASE WHEN e.line IS NULL THEN []::VARCHAR[] ELSE [e.line] END}}) AS w
+    FROM best b JOIN gap g ON g.p = b.q
+    JOIN edit e ON e.conv_id IS NOT DISTINCT FROM b.conv_id AND e.place = b.place + 1 AND e.p = g.q
+    GROUP BY b.conv_id, e.place, e.q)),
+finished AS (
+  SELECT b.conv_id, min({{'cost': b.cost + g.cost, 'audit': b.audit || g.letters,
+         'lines': b.lines || list_transform(g.roles, lambda r: CASE r WHEN 'u' THEN 'user:' ELSE 'assistant:' END)}}) AS w
+  FROM best b JOIN counted c ON c.conv_id IS NOT DISTINCT FROM b.conv_id AND b.place = c.n
+  JOIN gap g ON g.p = b.q AND g.q IN (0, 3) GROUP BY b.conv_id)
+SELECT o.conv_id, CAST(coalesce(c.gaps, 0) AS BIGINT) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+       coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal,
+       CAST(coalesce(f.w.cost, 0) AS BIGINT) AS cost, coalesce(f.w.audit, '') AS audit,
+       sha256(coalesce(array_to_string(f.w.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN finished f ON f.conv_id IS NOT DISTINCT FROM o.conv_id"""
