@@ -7,22 +7,22 @@ Gap filling has two forms:
   order, features only.  A batch holds one row per period, so a window
   partition is bounded by the calendar.
 * ``fill_missing_global``: the reference's whole-table fill in one row order
-  (Q5: it crosses batch borders and reaches the target).  The order columns are
-  a hierarchy: rows are filled inside the values of all but the last; what is
-  still missing comes from a summary with one row per such value (its first and
-  last value of each column), which is filled the same way one level up.  Whole
-  numbers get a level of their thousands.  Only the topmost level, one row per
-  value of the first order column, is in one task.
+  (Q5: it crosses batch borders and reaches the target), over slices of that
+  order (``ordered.in_slices``): the input is read once, and no task holds more
+  than a slice and one row for each other slice.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
+from skuflow.operators.ordered import (AFTER, BEFORE, KIND, ROW, SLICE, SOURCE, Summary, in_slices,
+                                       one_row)
 
 
 def as_list(keys) -> list[str]:
@@ -95,77 +95,51 @@ def fill_missing(df: DataFrame, order_cols, partition_cols, columns: list[str])
                            for c in df.columns])
 
 
-_COARSE = 10  # bits: the level above a whole-number order column
+class _Ends(Summary):
+    """First and last non-missing value of each column in a slice."""
 
+    def __init__(self, columns: list[str], backward: bool):
+        self.columns, self.backward = columns, backward
+        self.first: dict[str, pa.Scalar] = {}
+        self.last: dict[str, pa.Scalar] = {}
+        self.schema: pa.Schema | None = None
 
-def _levels(df: DataFrame, order: list[str]) -> list[tuple[str, Column]]:
-    """Order keys from coarse to fine; a whole number is preceded by its part
-    without the lowest bits, which sorts alike."""
-    whole = (ByteType, ShortType, IntegerType, LongType)
-    out = []
-    for i, c in enumerate(order):
-        if isinstance(df.schema[c].dataType, whole):
-            out.append((f"_level_{i}_coarse", F.shiftright(F.col(c).cast("long"), _COARSE)))
-        out.append((f"_level_{i}", F.col(c)))
-    return out
-
+    def add(self, batch: pa.RecordBatch) -> None:
+        self.schema = batch.schema
+        for c in self.columns:
+            column = batch.column(batch.schema.get_field_index(c))
+            known = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
+            if len(known):
+                self.first.setdefault(c, column[int(known[0])])
+                self.last[c] = column[int(known[-1])]
 
-def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
-def _summary(df: DataFrame, keys: list[str], last_key: str, firsts: dict[str, str],
-             lasts: dict[str, str]) -> DataFrame:
-    """Per value of ``keys`` the first and last non-missing value of each
-    column in the order of ``last_key``."""
-    def at(c: str) -> Column:
-        return F.when(F.col(c).isNotNull(), F.struct(last_key))
-    return df.groupBy(*keys).agg(*[
-        agg for c in firsts for agg in (F.min_by(firsts[c], at(firsts[c])).alias(f"_first_{c}"),
-                                        F.max_by(lasts[c], at(lasts[c])).alias(f"_last_{c}"))])
-
-
-def _around(summary: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Per row of ``summary`` the nearest value of each column before and after
-    it in the order of ``keys``."""
-    prefix, last_key = keys[:-1], keys[-1]
-    w = (Window.partitionBy(*prefix) if prefix else Window.partitionBy()).orderBy(last_key)
-    before, after = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
-    near = summary.select(*keys, *[
-        v for c in columns for v in (
-            F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_prev_{c}"),
-            F.first(f"_first_{c}", ignorenulls=True).over(after).alias(f"_next_{c}"))])
-    if not prefix:
-        return near
-    up = _around(_summary(summary, prefix, last_key, {c: f"_first_{c}" for c in columns},
-                          {c: f"_last_{c}" for c in columns}), prefix, columns)
-    return near.join(up, _same(near, up, prefix), "left").select(
-        *[near[k] for k in keys],
-        *[F.coalesce(near[f"{side}_{c}"], up[f"{side}_{c}"]).alias(f"{side}_{c}")
-          for c in columns for side in ("_prev", "_next")])
+    def rows(self):
+        if self.last:
+            yield BEFORE, one_row(self.schema, self.last)
+            if self.backward:
+                yield AFTER, one_row(self.schema, self.first)
 
 
 def fill_missing_global(df: DataFrame, order_cols, columns: list[str], backward: bool = True) -> DataFrame:
     """W8+W9 over the whole table in one total row order, by any number of tasks.
 
+    Order keys may be of any type.  Rows that agree in all of them follow a hash
+    of the row.  Each slice of the order is told the last known values of the
+    slices before it.  A row that is still empty stands before the first known
+    value of the whole table and takes that one, from the slices after it.
     ``backward=False`` gives the forward fill alone (pad)."""
-    levels = _levels(df, as_list(order_cols))
-    keys = [k for k, _ in levels]
-    prefix, last_key = keys[:-1], keys[-1]
-    rows = df.withColumns(dict(levels))
-    w = (Window.partitionBy(*prefix) if prefix else Window.partitionBy()).orderBy(last_key)
-    ahead = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    behind = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    local = rows.withColumns({f"_ahead_{c}": F.last(c, ignorenulls=True).over(ahead) for c in columns}
-                             | {f"_behind_{c}": F.first(c, ignorenulls=True).over(behind) for c in columns})
-    if prefix:
-        own = {c: c for c in columns}
-        near = _around(_summary(rows, prefix, last_key, own, own), prefix, columns)
-        local = local.join(near, _same(local, near, prefix), "left")
-
-    def filled(c: str) -> Column:
-        options = [f"_ahead_{c}"] + ([f"_prev_{c}"] if prefix else [])
+    order = [F.col(c) for c in as_list(order_cols)]
+    tie = "_os_tie"
+    keyed = df.withColumn(tie, F.xxhash64(*df.columns))
+    rows = in_slices(keyed, [*order, F.col(tie)], partial(_Ends, list(columns), backward))
+    ahead = (f"PARTITION BY {SLICE} ORDER BY {KIND} % {AFTER}, {KIND}, {SOURCE}, "
+             f"{', '.join(as_list(order_cols))}, {tie} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
+
+    def filled(c: str) -> str:
+        own = f"last(CASE WHEN {KIND} < {AFTER} THEN {c} END) IGNORE NULLS OVER ({ahead})"
         if backward:
-            options += [f"_behind_{c}"] + ([f"_next_{c}"] if prefix else [])
-        return F.coalesce(*options).alias(c)
-    return local.select(*[filled(c) if c in columns else F.col(c) for c in df.columns])
+            own = f"coalesce({own}, first(CASE WHEN {KIND} = {AFTER} THEN {c} END) IGNORE NULLS OVER ({ahead}))"
+        return f"{own} AS {c}"
+    wanted = set(columns)
+    return (rows.selectExpr(KIND, *[filled(c) if c in wanted else c for c in df.columns])
+            .where(F.col(KIND) == ROW).drop(KIND))
