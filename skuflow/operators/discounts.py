@@ -73,13 +73,13 @@ def prepare_discount_input(sales: DataFrame, elasticity: DataFrame,
     the reference does.  Without it the marks are computed on ``sales`` itself
     (same rows, one window pass instead of a second join).  The elasticity is
     joined first: a shuffle join on SKU leaves the rows partitioned by SKU,
-    which the per-SKU trailing window reuses; the feature aggregate then reuses
-    the (period, category) partitioning of the Pareto window.
+    which the per-SKU trailing window reuses.
     """
     period, _ = mode_spec(mode)
     pe = elasticity.select(SKU, "pe")
     if top is None:
-        with_pe = sales.join(pe, SKU, "left")
+        unused = [c for c in sales.columns if c.startswith("total_") and c not in (NET, GA, SG)]
+        with_pe = sales.drop(*unused).join(pe, SKU, "left")  # top_selling hands whole rows to Python workers
         df = top_selling(with_pe, mode, keep_columns=True)
     else:
         df = sales.join(pe, SKU, "left")

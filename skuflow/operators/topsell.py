@@ -100,6 +100,8 @@ def top_selling(facts: DataFrame, mode: str = "monthly", keep_columns: bool = Fa
     """
     period, _ = mode_spec(mode)
     trailing = trailing_sales(facts, mode).where(F.col(CATE3).isNotNull())
+    if not keep_columns:  # slicing hands whole rows to Python workers: no column too many
+        trailing = trailing.select(CATE3, SKU, period, TRAILING)
     ranked = running_sum_by_group(trailing, [period, CATE3], TRAILING, SKU, CUMULATED, CATE_TOTAL)
     marked = pareto_marks(ranked)
     if keep_columns:
