@@ -1,25 +1,23 @@
 """Per-batch forecasting.
 
-Linear models are fitted from grouped sums of centred products: the means of
-each batch first, then one ``groupBy(batch).agg(sum((x_i - m_i) * (x_j -
-m_j)), ...)``.  Both aggregates combine map-side, so a batch holding a third of
-all rows costs no more than any other, and centring keeps columns with a large
-mean from cancelling.  Only the k x k sums of each batch reach Python, one row
-per batch, where a small least-squares solve gives the coefficients.
+Linear models are fitted from orthogonal summaries of the rows that merge in a
+tree (``states``): pieces of a batch are factored before any shuffle, so that a
+batch holding a third of all rows costs no more than any other, and nearly
+collinear features keep their digits.  One row per batch reaches the solver;
+prediction is a column expression.
 
 Infinite feature values are missing values.  A missing feature is 0 in fit and
 prediction by default (``missing="zero"``, for parity) or keeps its row out of
 the fit and its prediction NULL (``missing="drop"``).  Every eligible batch
 stays in the result; ``fit_status`` says why one has no prediction.
 
-A user model (X1, ``python_model``) runs per batch with ``applyInPandas``,
-which needs a batch in one task.  That is bounded where time keys and batch
-keys are the table key (one row per period); ``max_batch_rows`` makes a larger
-batch an error that names it instead of a lost executor.
+A user model (X1, ``python_model``) that can be merged is fitted in parts, too.
+One that is a plain function runs per batch with ``applyInPandas``, which needs a
+batch in one task; ``max_batch_rows`` makes a larger batch an error that names it
+instead of a lost executor.
 
-``gbt`` is re-aimed: one pooled ``GBTRegressor`` with the batch keys as
-categorical features, not one tree model per batch (the reference's model
-settings are not in the repository).
+Gradient-boosted trees (M3) are one model per batch (``boosting``); the pooled
+``GBTRegressor`` with the batch keys as categories is kept as ``gbt_forecast``.
 """
 
 from __future__ import annotations
@@ -35,7 +33,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, ByteType, DoubleType, IntegerType, LongType, ShortType,
                                StringType, StructField, StructType)
 
+from skuflow.operators import states
+from skuflow.operators.boosting import boosted_trees
 from skuflow.operators.features import as_list
+from skuflow.operators.states import FITTED, NO_TARGET, NOT_SOLVED
 from skuflow.session import materialize
 
 SPLIT, PRED, STATUS = "split", "y_", "fit_status"
@@ -104,7 +105,6 @@ def keep_eligible(split_df: DataFrame, keys_batch) -> DataFrame:
 # ---- linear models from centred sums ----------------------------------------
 
 MISSING = ("zero", "drop")
-FITTED, NO_TARGET, NOT_SOLVED = "fitted", "no usable train row", "not solved"
 
 
 def _feature_value(name: str, missing: str) -> Column:
@@ -158,29 +158,45 @@ def solve_centred(means: np.ndarray, xx: np.ndarray, xy: np.ndarray, alpha: floa
 
 
 def fit_linear(train: DataFrame, keys_batch, features: list[str], target: str,
-               alpha: float = 0.0, missing: str = "zero") -> DataFrame:
-    """M1/M2: ``keys..., _b0, _beta, _status`` per batch with a usable train row."""
+               alpha: float = 0.0, missing: str = "zero", summary: str = "factors") -> DataFrame:
+    """M1/M2: ``keys..., _b0, _beta, _status`` per batch with a usable train row.
+
+    ``summary="factors"`` merges orthogonal factors of the rows (``states``),
+    which keeps the digits of nearly collinear features; ``"products"`` sums
+    centred products in the JVM, which squares the condition number."""
     keys = as_list(keys_batch)
+    fields = [StructField("_b0", DoubleType()), StructField("_beta", ArrayType(DoubleType())),
+              StructField("_status", StringType())]
+
+    def checked(solve: Callable) -> tuple:
+        try:
+            b0, beta = solve()
+            if np.isfinite([b0, *beta]).all():
+                return b0, beta.tolist(), FITTED
+        except np.linalg.LinAlgError:
+            pass
+        return None, None, NOT_SOLVED
+
+    if summary == "factors":
+        model = states.LeastSquares(alpha)
+        fitted = states.fit_states(train, keys, [_feature_value(c, missing) for c in features],
+                                   _feature_value(target, "drop"), model)
+        return states.map_states(fitted, keys, fields, lambda state: checked(lambda: model.solve(state)))
+    if summary != "products":
+        raise ValueError("summary must be 'factors' or 'products'")
     stats = centred_sums(train, keys, features, target, missing)
     key_fields = [f for f in stats.schema.fields if f.name in keys]
-    out_schema = StructType([*key_fields, StructField("_b0", DoubleType()),
-                             StructField("_beta", ArrayType(DoubleType())), StructField("_status", StringType())])
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = []
-            for m, xx, xy in zip(pdf["_means"], pdf["_xx"], pdf["_xy"]):
-                try:
-                    b0, beta = solve_centred(*(np.asarray(v, dtype=float) for v in (m, xx, xy)), alpha)
-                    found.append((b0, beta.tolist(), FITTED) if np.isfinite([b0, *beta]).all()
-                                 else (None, None, NOT_SOLVED))
-                except np.linalg.LinAlgError:
-                    found.append((None, None, NOT_SOLVED))
+            found = [checked(lambda v=v: solve_centred(*(np.asarray(x, dtype=float) for x in v), alpha))
+                     for v in zip(pdf["_means"], pdf["_xx"], pdf["_xy"])]
             out = pdf[keys].copy()
-            out["_b0"], out["_beta"], out["_status"] = ([f[i] for f in found] for i in range(3))
+            for i, f in enumerate(fields):
+                out[f.name] = [x[i] for x in found]
             yield out
 
-    return stats.mapInPandas(solve, out_schema)
+    return stats.mapInPandas(solve, StructType([*key_fields, *fields]))
 
 
 def predict_linear(rows: DataFrame, coefficients: DataFrame, keys_batch, features: list[str],
@@ -195,8 +211,8 @@ def predict_linear(rows: DataFrame, coefficients: DataFrame, keys_batch, feature
 
 
 def linear_forecast(labeled: DataFrame, keys_batch, features, target, alpha=0.0,
-                    missing: str = "zero") -> DataFrame:
-    coefs = fit_linear(labeled.where(F.col(SPLIT) == TRAIN), keys_batch, features, target, alpha, missing)
+                    missing: str = "zero", summary: str = "factors") -> DataFrame:
+    coefs = fit_linear(labeled.where(F.col(SPLIT) == TRAIN), keys_batch, features, target, alpha, missing, summary)
     return predict_linear(labeled, coefs, keys_batch, features, missing)
 
 
@@ -244,7 +260,13 @@ def ols_one_feature(labeled: DataFrame, keys_batch, x: str, y: str,
     return joined.withColumn(PRED, pred).drop("_slope", "_intercept")
 
 
-# ---- pooled gradient-boosted trees (re-aimed M3) ----------------------------
+# ---- gradient-boosted trees (M3): one model per batch, or one for all ---------
+
+def boosted_forecast(labeled: DataFrame, keys_batch, features: list[str], target: str, **settings) -> DataFrame:
+    """M3: boosted trees per batch (``boosting.boosted_trees``)."""
+    return boosted_trees(labeled, keys_batch, [_feature_value(c, "zero") for c in features],
+                         _feature_value(target, "drop"), F.col(SPLIT) == TRAIN, PRED, **settings)
+
 
 def gbt_forecast(labeled: DataFrame, keys_batch, features: list[str], target: str,
                  max_iter: int = 20, max_depth: int = 4, seed: int = 42) -> DataFrame:
@@ -293,12 +315,20 @@ def least_squares_model(x_train: pd.DataFrame, y_train: pd.Series, x_test: pd.Da
 
 
 def python_model_forecast(labeled: DataFrame, keys_batch, features: list[str], target: str,
-                          model: ModelFn = least_squares_model,
+                          model: ModelFn | states.Mergeable = least_squares_model,
                           max_batch_rows: int = MAX_BATCH_ROWS) -> DataFrame:
-    """``model(X_train, y_train, X_test) -> (pred_train, pred_test)`` per
-    batch.  A batch of more than ``max_batch_rows`` rows is an error: its rows
-    are counted by an aggregate before any is gathered."""
+    """A user model per batch.
+
+    A ``states.Mergeable`` one (``partial_fit``, ``merge``, ``predict``) is fitted
+    in parts, for batches of any size.  A function ``model(X_train, y_train,
+    X_test) -> (pred_train, pred_test)`` needs its batch in one task: a batch of
+    more than ``max_batch_rows`` rows is an error; its rows are counted by an
+    aggregate before any is gathered."""
     keys = as_list(keys_batch)
+    if states.is_mergeable(model):
+        x = [_feature_value(c, "zero") for c in features]
+        fitted = states.fit_states(labeled.where(F.col(SPLIT) == TRAIN), keys, x, _feature_value(target, "drop"), model)
+        return states.predict_states(labeled, keys, x, fitted, model, PRED, STATUS)
     sizes = labeled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     too_many = F.concat(F.lit(f"a batch has more than {max_batch_rows} rows, too many for one task: "),
                         F.to_json(F.struct(*keys)))
@@ -325,7 +355,8 @@ MODELS = {
         linear_forecast(df, keys, feats, target, 0.0, spec.missing),
     "ridge": lambda df, keys, feats, target, spec:
         linear_forecast(df, keys, feats, target, spec.alpha, spec.missing),
-    "xgb": lambda df, keys, feats, target, spec: gbt_forecast(df, keys, feats, target),
+    "xgb": lambda df, keys, feats, target, spec: boosted_forecast(df, keys, feats, target),
+    "xgb_pooled": lambda df, keys, feats, target, spec: gbt_forecast(df, keys, feats, target),
     "python": lambda df, keys, feats, target, spec: python_model_forecast(df, keys, feats, target),
 }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skuflow.plans.registry import FIXTURE_SLICE, feature_query_name
+from skuflow.plans.registry import FIXTURE_SLICE, ROLLING_ORIGINS, ROLLING_SPAN, feature_query_name
 from skuflow.plans.sqlparts import (MEASURES, as_double_list, define_slice, feature_names,
                                     feature_sql, filled_sql, pdiv, with_ctes)
 from skuflow.sources.fixtures import HISTORY_START, SKU_SNAPSHOT_DT
@@ -208,6 +208,39 @@ ORACLE["forecast_gbt"] = with_ctes("""
 SELECT split, count(*) AS n_rows, count(*) AS n_predicted,
        CASE WHEN split = 'train' THEN true END AS train_beats_mean
 FROM labeled GROUP BY split""", "labeled")
+ORACLE["forecast_mergeable_model"] = ORACLE["forecast_ols"]
+
+# ---- all features: residuals at right angles to the regressors ------------------
+_REGRESSORS = "\nUNION ALL\n".join(
+    f"SELECT item_third_cate_cd, '{c}' AS regressor, "
+    f"count(*) FILTER (isfinite(CAST({c} AS DOUBLE)) AND {c} <> 0) AS nz, count(*) AS n FROM fitted GROUP BY item_third_cate_cd"
+    for c in feature_names())
+ORACLE["forecast_ols_normal_equations"] = with_ctes(f"""
+SELECT item_third_cate_cd, regressor, CAST(n AS BIGINT) AS n_train, CAST(nz AS BIGINT) AS n_not_zero,
+       CAST(0 AS DOUBLE) AS cosine
+FROM (WITH fitted AS (SELECT * FROM labeled WHERE split = 'train')
+{_REGRESSORS}
+UNION ALL
+SELECT item_third_cate_cd, 'intercept', count(*), count(*) FROM fitted GROUP BY item_third_cate_cd) r""", "labeled")
+
+# ---- D1: every origin fitted anew -------------------------------------------------
+_ORIGINS = ", ".join(f"('{o}')" for o in ROLLING_ORIGINS)
+ORACLE["rolling_origin_scores"] = with_ctes(f"""
+SELECT m AS origin, count(DISTINCT item_third_cate_cd) AS n_batches, count(*) AS n_rows,
+       round(avg(CASE WHEN gmv <> 0 AND abs(gmv - p) / gmv <= 0.15 THEN 1.0 ELSE 0.0 END), 6) AS hit_rate,
+       round({pdiv('abs(sum(gmv) - sum(p))', 'sum(gmv)')}, 6) AS total_error
+FROM (
+  SELECT m, t.item_third_cate_cd, t.gmv, greatest(f.b0 + f.b1 * t.x, 0.0) AS p
+  FROM (
+    SELECT m, item_third_cate_cd, coalesce(regr_slope(gmv, x), 0.0) AS b1,
+           avg(gmv) - coalesce(regr_slope(gmv, x), 0.0) * avg(x) AS b0
+    FROM origins JOIN dated ON period <= m GROUP BY m, item_third_cate_cd) f
+  JOIN dated t ON t.item_third_cate_cd = f.item_third_cate_cd AND t.period > m AND t.period <= m + {ROLLING_SPAN}) s
+GROUP BY m""".replace("origins JOIN", f"(SELECT CAST(left(o, 4) AS BIGINT) * 12 + CAST(right(o, 2) AS BIGINT) AS m "
+                      f"FROM (VALUES {_ORIGINS}) v(o)) origins JOIN").replace(" dated", """ (
+      SELECT item_third_cate_cd, CAST(gmv AS DOUBLE) AS gmv, coalesce(CAST(n_orders AS DOUBLE), 0.0) AS x,
+             CAST(left(tm_key, 4) AS BIGINT) * 12 + CAST(right(tm_key, 2) AS BIGINT) AS period
+      FROM filled) dated""").replace(") dated t ON", ") t ON"), "filled")
 ORACLE["forecast_pipeline_metrics"] = with_ctes(f"""
 SELECT split, avg(CASE WHEN abs(e) <> CAST('inf' AS DOUBLE) AND e <= 0.15 THEN 1.0 ELSE 0.0 END) AS hit_rate,
        round({pdiv('abs(sum(gmv) - sum(p))', 'sum(gmv)')}, 6) AS total_error

@@ -17,7 +17,10 @@ from skuflow.operators import features as Fe
 from skuflow.operators import forecast as M
 from skuflow.operators import metrics as Me
 from skuflow.operators import sales as S
+from skuflow.functions.numeric import month_index
 from skuflow.operators import topsell as T
+from skuflow.operators.rolling import rolling_forecast, rolling_scores
+from skuflow.operators.states import LeastSquares
 from skuflow.plans.outputs import decimals_to_double, rounded
 from skuflow.plans.pipelines import (SalesFacts, build_sales_facts, feature_matrix,
                                      forecast_pipeline, read_forecast_inputs,
@@ -357,6 +360,67 @@ def q_forecast_gbt(spark, sf_dir):
         F.when(F.col("split") == "train", own <= plain).alias("train_beats_mean"))
 
 
+# ---- all 21 features, as the reference fits them; models fitted in parts --------
+
+def stored_matrix(spark, sf_dir) -> tuple[DataFrame, list[str]]:
+    """The filled matrix of all features, written once."""
+    df, feats = filled(spark, sf_dir)
+    return materialize(df, "feature-matrix"), feats
+
+
+def _all_features_query(method: str) -> QueryFn:
+    def run(spark, sf_dir):
+        stored, feats = stored_matrix(spark, sf_dir)
+        return decimals_to_double(M.forecast(stored, spec(method), feats).select(*OUT))
+    return run
+
+
+QUERIES["forecast_ols_all_features"] = _all_features_query("linear_regression")
+QUERIES["forecast_ridge_all_features"] = _all_features_query("ridge")
+QUERIES["forecast_python_model_all_features"] = _all_features_query("python")
+QUERIES["forecast_gbt_all_features"] = _all_features_query("xgb")
+
+
+@query("forecast_ols_normal_equations")
+def q_forecast_ols_normal_equations(spark, sf_dir):
+    # Least squares leaves residuals at right angles to every regressor: per
+    # category and regressor the cosine between the two, which SQL knows to be 0.
+    stored, feats = stored_matrix(spark, sf_dir)
+    fitted = M.forecast(stored, spec(), feats).where("split = 'train'")
+    xs = F.array(*[F.struct(F.lit(c).alias("regressor"), M._feature_value(c, "zero").alias("x")) for c in feats],
+                 F.struct(F.lit("intercept").alias("regressor"), F.lit(1.0).alias("x")))
+    y = F.col("gmv").cast("double")
+    long = fitted.select(T.CATE3, y.alias("y"), (y - F.col("y_")).alias("e"), F.explode(xs).alias("v")).select(
+        T.CATE3, "y", "e", "v.*")
+    size = F.sqrt(F.sum(F.col("x") * F.col("x")) * F.sum(F.col("y") * F.col("y")))
+    return long.groupBy(T.CATE3, "regressor").agg(
+        F.count(F.lit(1)).alias("n_train"), F.count_if(F.col("x") != 0).alias("n_not_zero"),
+        F.abs(F.round(F.when(size > 0, F.sum(F.col("x") * F.col("e")) / size).otherwise(0.0), 9)).alias("cosine"))
+
+
+@query("forecast_mergeable_model")
+def q_forecast_mergeable_model(spark, sf_dir):
+    # X1 with a model that is fitted in parts and merged: least squares on two regressors.
+    stored = materialize(time_matrix(spark, sf_dir), "time-matrix")
+    rows = M.keep_eligible(split(stored), [T.CATE3])
+    out = M.python_model_forecast(rows, [T.CATE3], REGRESSORS, "gmv", LeastSquares())
+    return rounded(decimals_to_double(out.select(*OUT)), ["y_"], 1)
+
+
+# Six origins and the span of the reference's weekly settings, as months.
+ROLLING_ORIGINS = ("1997-06", "1998-02", "1998-10", "1999-06", "2000-02", "2000-10")
+ROLLING_SPAN = 4
+
+
+@query("rolling_origin_scores")
+def q_rolling_origin_scores(spark, sf_dir):
+    # Six origins, each scored on the four months after it.
+    months = [int(o[:4]) * 12 + int(o[5:]) for o in ROLLING_ORIGINS]
+    stored = materialize(time_matrix(spark, sf_dir), "time-matrix")
+    out = rolling_forecast(stored, [T.CATE3], month_index("tm_key"), ["n_orders"], "gmv", months, ROLLING_SPAN)
+    return rounded(rolling_scores(out, "gmv", [T.CATE3]), ["hit_rate", "total_error"], 6)
+
+
 @query("clip_predictions")
 def q_clip_predictions(spark, sf_dir):
     return decimals_to_double(Me.clip_predictions(one_feature_forecast(spark, sf_dir))

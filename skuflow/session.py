@@ -83,4 +83,4 @@ def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").format(fmt).save(path)
-    return spark.read.format(fmt).load(path)
+    return spark.read.format(fmt).schema(df.schema).load(path)  # known: no job reads a footer
