@@ -13,9 +13,12 @@ own.  Two item values may share a partner, but not one that is unchanged for
 the other.  An item is found in a document if at least 0.8 of its windows are
 left in its line-ups.
 
-Only windows that match leave the scan: the benchmark's window hashes are
-broadcast if they number at most ``MAX_BROADCAST``, which is counted first;
-beyond it the join is shuffled.
+A first pass hashes each word once and windows from their words' hashes, and keeps
+the texts that share enough window hashes with one item.  The benchmark's hashes
+(with id and place, about 40 bytes each) are broadcast if they number at most
+``MAX_BROADCAST``, which is counted first, and shuffled beyond it.  Line-ups and
+placeholder values are worked out for these texts alone, in joins whose sizes
+adaptive execution measures.
 
 Items with fewer than five words are one window of plain words, as long as the
 item; its words must be in the document in this order, without placeholders.
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 5
 SHARE = 0.8
-MAX_BROADCAST = 2_000_000
+MAX_BROADCAST = 1_000_000
 
 # Placeholders are private-use letters, which prose does not hold.
 NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002"
@@ -53,8 +56,9 @@ WHITE = rf"[{SPACE}]+"
 UNSPACED = (r"[\u0E01-\u0EFF\u1000-\u109F\u1780-\u17FF\u3005-\u3007\u3040-\u30FF\u31F0-\u31FF\u3400-\u4DBF"
             r"\u4E00-\u9FFF\uA9E0-\uA9FE\uAA60-\uAA7F\uF900-\uFAFF\uFF66-\uFF9F\x{1AFF0}-\x{1B16F}\x{20000}-\x{3FFFF}]")
 # a capital word after a lower-case letter, ',' or ';'; on text without punctuation, any capital word
-INSIDE = rf"(?<=[\p{{Ll}},;][{SPACE}]{{1,2}})\p{{Lu}}\p{{Ll}}[\p{{L}}'-]*"
-CAPITAL = r"(?<![\p{L}\p{N}])\p{Lu}[\p{L}\p{N}]*\p{Ll}[\p{L}\p{N}]*"
+# (the capital is looked at first, as most places have none)
+INSIDE = rf"(?=\p{{Lu}})(?<=[\p{{Ll}},;][{SPACE}]{{1,2}})\p{{Lu}}\p{{Ll}}[\p{{L}}'-]*"
+CAPITAL = r"(?=\p{Lu})(?<![\p{L}\p{N}])\p{Lu}[\p{L}\p{N}]*\p{Ll}[\p{L}\p{N}]*"
 
 
 def _strip(text: Column) -> Column:
@@ -68,8 +72,8 @@ def _lower(text: Column) -> Column:
 def _typed(text: Column) -> Column:
     """Numbers and units of text without capitals and punctuation as placeholders."""
     t = F.regexp_replace(text, r"\d+", NUMBER)
-    return F.regexp_replace(
-        t, rf"(?<={NUMBER})([{SPACE}]*)(?:{'|'.join(UNITS)})s?(?![\p{{L}}\p{{N}}])", f"$1{UNIT}")
+    unit = rf"{NUMBER}([{SPACE}]*)(?:{'|'.join(UNITS)})s?(?![\p{{L}}\p{{N}}])"
+    return F.when(text.rlike(r"\d"), F.regexp_replace(t, unit, f"{NUMBER}$1{UNIT}")).otherwise(text)
 
 
 def template_text(text: Column) -> Column:
@@ -94,24 +98,62 @@ def _words(text: Column) -> Column:
 
 def _spaced(text: Column) -> Column:
     """Letters of scripts without spaces as words of their own."""
-    return F.when(text.rlike(UNSPACED), F.regexp_replace(text, UNSPACED, " $0 ")).otherwise(text)
+    far = text.rlike(r"[\u0E01-\x{3FFFF}]")  # one range, which most texts are below
+    return F.when(far & text.rlike(UNSPACED), F.regexp_replace(text, UNSPACED, " $0 ")).otherwise(text)
 
 
-def windows(df: DataFrame, keep: list[str], width: int = WINDOW, short: Iterable[int] | None = None) -> DataFrame:
-    """``keep``, pos, hash of every window in each of its templates; template and
-    plain words of those that hold placeholders (null for others).  Also windows of
-    ``short`` plain words; with None, texts of fewer than ``width`` words are one."""
+def _forms(df: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and ``w``, one struct in an array, so that its words are made once
+    and not for every window: plain words, and template words without names, with
+    every capital word, and with those inside a sentence as names."""
     spaced = df.select(*keep, _spaced(F.col("text")).alias("text"))
     bare = spaced.select(*keep, "text", _strip(F.col("text")).alias("bare"))
     texts = bare.select(*keep, "text", "bare", _lower(F.col("bare")).alias("plain"))
-    # one element, so that the words are made once and not for every window
-    held = F.array(F.struct(
+    return texts.select(*keep, F.array(F.struct(
         _words(F.col("plain")).alias("p"),
         _words(_typed(F.col("plain"))).alias("t"),
         F.when(F.col("bare").rlike(CAPITAL), _words(_typed(_lower(F.regexp_replace(F.col("bare"), CAPITAL, NAME)))))
         .alias("any"),
-        F.when(F.col("text").rlike(INSIDE), _words(template_text(F.col("text")))).alias("inside")))
+        F.when(F.col("text").rlike(INSIDE), _words(template_text(F.col("text")))).alias("inside"))).alias("w"))
+
+
+def window_hashes(df: DataFrame, keep: list[str], width: int = WINDOW, short: Iterable[int] | None = None,
+                  placed: bool = False) -> DataFrame:
+    """``keep``, pos and hash of the windows that ``windows`` cuts, from hashes of
+    single words: no window is written out.  Without ``placed`` each hash once,
+    and no pos."""
+    def numbered(words: Column) -> Column:
+        return F.transform(words, lambda x: F.xxhash64(x))
+
+    def cut(w: Column) -> Column:
+        # word hashes of each form, once; plain ones also for short items
+        held = F.array(F.struct(*[numbered(w[f]).alias(f) for f in ("p", "t", "any", "inside")]))
+
+        def hashes(h: Column) -> Column:
+            size = F.size(h["p"])
 
+            def of(words: Column, n: int, wanted: Column) -> Column:
+                def at(i: Column) -> Column:
+                    made = F.xxhash64(F.lit(n), *[F.get(words, i + k) for k in range(n)])
+                    return F.struct((i + 1).alias("pos"), made.alias("hash")) if placed else made
+                made = F.transform(F.sequence(F.lit(0), F.greatest(size - n, F.lit(0))), at)
+                none = "array<struct<pos:int,hash:bigint>>" if placed else "array<bigint>"
+                return F.coalesce(F.when(wanted, made), F.expr(f"cast(array() as {none})"))
+
+            forms = [of(h[f], width, (size >= width) & (F.size(h[f]) == size)) for f in ("t", "any", "inside")]
+            small = range(1, width) if short is None else short
+            less = [of(h["p"], n, (size == n) if short is None else (size >= n)) for n in small]
+            return F.array_distinct(F.concat(*forms, *less))
+        return F.transform(held, hashes)[0]
+
+    found = _forms(df, keep).select(*keep, F.explode(F.transform("w", cut)[0]).alias("hash"))
+    return found.select(*keep, "hash.*") if placed else found
+
+
+def windows(df: DataFrame, keep: list[str], width: int = WINDOW, short: Iterable[int] | None = None) -> DataFrame:
+    """``keep``, pos, hash of every window in each of its templates; template and
+    plain words of those that hold placeholders (null for others).  Also windows of
+    ``short`` plain words; with None, texts of fewer than ``width`` words are one."""
     def cut(w: Column) -> Column:
         count = F.size(w["p"]) - width + 1
 
@@ -142,7 +184,7 @@ def windows(df: DataFrame, keep: list[str], width: int = WINDOW, short: Iterable
         return F.concat(*(F.coalesce(c, none) for c in (
             of(w["t"]), of(w["any"], w["t"]), of(w["inside"], w["t"], w["any"]), *small)))
 
-    return (texts.select(*keep, F.explode(F.transform(held, cut)[0]).alias("w"))
+    return (_forms(df, keep).select(*keep, F.explode(F.transform("w", cut)[0]).alias("w"))
             .select(*keep, F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"), F.col("w.slots").alias("slots")))
 
 
@@ -173,13 +215,21 @@ def find_items(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share
     sizes = items.groupBy("item_id", "item_key").agg(F.countDistinct("pos").alias("item_windows"))
     sought = items.select("item_id", "item_key", F.col("pos").alias("item_pos"), "hash",
                           F.col("slots").alias("item_slots"))
-    if sought.count() <= MAX_BROADCAST:
-        sought = F.broadcast(sought)
     thin = docs.select("doc_id", F.col("text"), F.xxhash64("text").alias("text_key"))
     size = F.size(_words(plain_text(_spaced(F.col("text")))))
     short = sorted(r["n"] for r in known.select(size.alias("n")).where(F.col("n").between(1, width - 1))
                    .distinct().collect())  # width - 1 rows at most
-    cut = windows(thin, ["doc_id", "text_key"], width, short)
+    # first the texts that share enough windows with one item, by hashes alone
+    marks = window_hashes(known, ["item_id", "item_key"], width, placed=True)
+    if marks.count() <= MAX_BROADCAST:
+        marks = F.broadcast(marks)
+    shared = window_hashes(thin, ["text_key"], width, short).join(marks, "hash").groupBy(
+        "text_key", "item_id", "item_key").agg(F.countDistinct("pos").alias("windows"))
+    alike = shared["item_id"].eqNullSafe(sizes["item_id"]) & (shared["item_key"] == sizes["item_key"])
+    hit = (shared.join(sizes, alike).where(F.col("windows") >= share * F.col("item_windows"))
+           .select("text_key").distinct())
+    # then the slots, for those texts alone
+    cut = windows(thin.join(hit, "text_key", "left_semi"), ["doc_id", "text_key"], width, short)
     met = cut.join(sought, "hash").withColumn("shift", F.col("pos") - F.col("item_pos"))
 
     def value(t: Column, word: Column) -> Column:
