@@ -8,12 +8,16 @@ the seed alone (``permuted``).
 
 Row numbers do not need a global sort: rows are hashed into a fixed number of
 buckets, bucket counts give each bucket's first number (a table of at most
-``buckets`` rows), and rows are numbered inside their bucket.
+``buckets`` rows), and rows are numbered inside their bucket.  Documents that
+repeat in all that the result shows are counted first and numbered as one, so
+that one document in any number of copies is no hot bucket; ``assign_shards``,
+which carries whole rows, numbers equal rows in one bucket.
 
 Defined results: null ids and null texts are values like any other; repeated
-rows each get a position of their own; an empty table gives an empty result;
-other columns are carried along, whatever their names, except that the
-operator's own output columns replace columns of the same names.
+rows each get a position of their own; texts of any length are hashed whole; an
+empty table gives an empty result; ``assign_shards`` carries all other columns
+along, whatever their names (only ``shard`` and ``slot`` are replaced), and
+``shard_documents`` ignores them.
 """
 
 from __future__ import annotations
@@ -23,31 +27,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 4096
+BUCKETS = 65_536
 ROUNDS = 4
 SEED = 20_17
 WALK_STEPS = 16
 
 
-def row_numbers(df: DataFrame, keys: Sequence[str], buckets: int = BUCKETS,
-                number: str = "row_number", total: str = "row_total") -> DataFrame:
+def row_numbers(df: DataFrame, keys: Sequence[str], buckets: int = BUCKETS, number: str = "row_number",
+                total: str = "row_total", weight: str | None = None) -> DataFrame:
     """Dense numbers 0..N-1 in an order fixed by the values of ``keys``; rows
-    that agree in all keys are numbered in any order.  ``total`` is N."""
-    bucket, first = "__bucket", "__first"
-    keyed = df.withColumn(bucket, F.pmod(F.xxhash64(*keys), F.lit(buckets)))
-    counts = keyed.groupBy(bucket).agg(F.count(F.lit(1)).alias("__n"))
+    that agree in all keys are numbered in any order.  ``total`` is N.  With
+    ``weight`` a row stands for so many and gets the first of their numbers."""
+    row = F.struct(*df.columns).alias("row")  # the caller's names are kept apart from the ones here
+    size = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    keyed = df.select(row, F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("bucket"), size.alias("size"))
+    counts = keyed.groupBy("bucket").agg(F.sum("size").alias("n"))
     # at most `buckets` rows, so one task and a broadcast are bounded
     whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
-        bucket,
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(first),
-        F.sum("__n").over(whole).alias(total))
-    inside = Window.partitionBy(bucket).orderBy(*[F.col(k) for k in keys])
-    return (keyed.withColumn("__in", F.row_number().over(inside) - 1)
-            .join(F.broadcast(starts), bucket)
-            .withColumn(number, (F.col(first) + F.col("__in")).cast("long"))
-            .drop(bucket, first, "__in"))
+        "bucket",
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"),
+        F.sum("n").over(whole).alias("total"))
+    inside = (Window.partitionBy("bucket").orderBy(*[F.col("row")[k] for k in keys])
+              .rowsBetween(Window.unboundedPreceding, -1))
+    return (keyed.withColumn("at", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+            .join(F.broadcast(starts), "bucket")
+            .select("row.*", F.col("total").alias(total), (F.col("first") + F.col("at")).cast("long").alias(number)))
 
 
 def _root(n: Column) -> Column:
@@ -86,15 +92,18 @@ def permuted(number: Column, total: Column, seed: int = SEED, rounds: int = ROUN
             .otherwise(onward(walked, F.greatest(a * a - total, F.lit(1)).cast("long"))))
 
 
+def _places(number: Column, total: Column, shards: int, seed: int) -> list[Column]:
+    at = permuted(number, total, seed)
+    return [(at % shards).cast("int").alias("shard"), F.floor(at / shards).cast("long").alias("slot")]
+
+
 def assign_shards(df: DataFrame, keys: Sequence[str], shards: int, seed: int = SEED,
                   buckets: int = BUCKETS) -> DataFrame:
     """``df`` with ``shard`` (0..shards-1) and ``slot`` (gapless from 0)."""
-    own = df.drop("shard", "slot")
-    numbered = row_numbers(own, keys, buckets, "__number", "__total")
-    return (numbered.withColumn("__at", permuted(F.col("__number"), F.col("__total"), seed))
-            .withColumn("shard", (F.col("__at") % shards).cast("int"))
-            .withColumn("slot", F.floor(F.col("__at") / shards).cast("long"))
-            .drop("__number", "__total", "__at"))
+    own = [c for c in df.columns if c not in ("shard", "slot")]
+    packed = df.select(F.struct(*own).alias("row"), *[F.col(k).alias(f"key{i}") for i, k in enumerate(keys)])
+    numbered = row_numbers(packed, [f"key{i}" for i in range(len(keys))], buckets, "number", "total")
+    return numbered.select("row", *_places(F.col("number"), F.col("total"), shards, seed)).select("row.*", "shard", "slot")
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, seed: int = SEED) -> DataFrame:
@@ -108,7 +117,10 @@ def shard_documents(docs: DataFrame, shards: int = 24, seed: int = SEED) -> Data
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
         F.crc32(octets).cast("long").alias("text_crc32"),
-        F.xxhash64("text").alias("__text"))
-    return (assign_shards(thin, ["doc_id", "__text", "size"], shards, seed)
-            .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
-                    F.lit(None).cast("int").alias("grown_shard")))
+        F.xxhash64("text").alias("text_key"))
+    counted = thin.groupBy(*thin.columns).agg(F.count(F.lit(1)).alias("copies"))
+    numbered = row_numbers(counted, ["doc_id", "text_key", "size", "text_crc32"], BUCKETS, "first", "total", "copies")
+    each = numbered.withColumn("number", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("copies") - 1)))
+    return each.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"),
+                       *_places(F.col("number"), F.col("total"), shards, seed),
+                       F.lit(None).cast("int").alias("grown_shard"))

@@ -17,7 +17,10 @@ local components as stars (at most one edge per row), never all pairs.
 
 Defined results: null and empty texts have fingerprint zero, which links like
 any other; a null doc_id is never the smallest unless its whole group has
-none; repeated rows give repeated rows; an empty table gives an empty result.
+none; ids may be of any type that sorts; repeated rows give repeated rows
+(``one_per_group`` keeps one of them); texts of any length are read whole; an
+empty table gives an empty result; other columns are ignored or, by
+``one_per_group``, carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -74,9 +77,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = HASH_SEED)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(fp)], ["doc_id", "text_key", "fp"])
 
-    thin = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"),
-                       F.col("text").cast("string"))
-    return thin.mapInArrow(run, "doc_id long, text_key long, fp long")
+    thin = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").cast("string"))
+    return thin.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, fp long")
 
 
 def anchor_masks() -> tuple[np.ndarray, np.ndarray]:
@@ -223,8 +225,14 @@ def one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_B
     doc_id of their group (null last); of rows equal in id and text one stays."""
     by_doc, roots = _groups(docs, shingle, max_bits, seed, block)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    kept = (by_doc.join(roots.select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("k"))
-            .select(F.xxhash64("k.doc_id", "k.text_key").alias("__key")))
-    keyed = docs.select(F.struct(*docs.columns).alias("row"),
-                        F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("__key"))
-    return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).select("row.*")
+    counted = by_doc.groupBy("doc_id", "text_key", "fp").agg(F.count(F.lit(1)).alias("copies"))
+    kept = materialize(
+        counted.join(roots.select("fp", "root"), "fp").groupBy("root").agg(
+            F.min(order).alias("k"), F.min_by("copies", order).alias("copies"))
+        .select(F.col("k.doc_id").alias("id"), F.col("k.text_key").alias("key"), "copies"), "simhash-kept")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own_id"),
+                        F.xxhash64("text").alias("own_key"))
+    found = keyed.join(kept, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_key") == F.col("key")))
+    # texts are shuffled only for rows that repeat an id and text
+    repeated = found.where("copies > 1").groupBy("own_id", "own_key").agg(F.first("row").alias("row"))
+    return found.where("copies = 1").select("row.*").unionByName(repeated.select("row.*"))

@@ -64,3 +64,58 @@ def test_whole_rows_are_carried(make_docs):
     assert got.columns == [*docs.columns, "shard", "slot"]
     assert sorted(got.drop("shard", "slot").collect(), key=str) == sorted(docs.collect(), key=str)
     assert math.ceil(len(ROWS) / 4) == max(r["slot"] for r in got.collect()) + 1
+
+
+def test_columns_with_inner_names_are_carried(make_docs):
+    docs = make_docs(ROWS)
+    for name in ("__first", "__total", "__bucket", "__in", "__number", "__at", "__n", "row", "bucket", "first", "total", "number",
+                 "at", "size", "key0", "copies", "slot"):
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    got = S.assign_shards(docs, ["doc_id", "text"], 4)
+    assert got.columns == [*[c for c in docs.columns if c != "slot"], "shard", "slot"]
+    assert sorted(map(str, got.drop("shard", "slot").collect())) == sorted(map(str, docs.drop("slot").collect()))
+    numbered = S.row_numbers(docs, ["doc_id", "text"])
+    assert sorted(r["row_number"] for r in numbered.collect()) == list(range(len(ROWS)))
+    assert S.shard_documents(docs).count() == len(ROWS)
+
+
+def spark_hash(*values):
+    """Spark's xxhash64 of longs and ints (as ("int", value)), by the public hash."""
+    import xxhash
+    h = 42
+    for v in values:
+        data = v[1].to_bytes(4, "little", signed=True) if isinstance(v, tuple) else v.to_bytes(8, "little", signed=True)
+        h = xxhash.xxh64_intdigest(data, h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def plain_position(number, total, seed):
+    """The Feistel walk of one row number."""
+    a = math.isqrt(total - 1) + 1 if total > 1 else 1
+    at = number
+    while True:
+        left, right = divmod(at, a)
+        for k in range(S.ROUNDS):
+            left, right = right, (left + spark_hash(right, ("int", seed), ("int", k)) % a) % a
+        at = left * a + right
+        if at < total:
+            return at
+
+
+def test_shard_and_slot_follow_from_the_row_number_alone(spark, make_docs):
+    docs = make_docs([(k % 70, f"text {k % 50}") for k in range(211)])
+    thin = docs.select("doc_id", F.xxhash64("text").alias("t"), (F.octet_length("text") + 8).cast("long").alias("size"),
+                       F.crc32(F.encode("text", "UTF-8")).cast("long").alias("crc"))
+    rows = [tuple(r) for r in thin.collect()]
+    order = sorted(rows, key=lambda r: (spark_hash(*r) % S.BUCKETS, r))
+    want = sorted((r[0], r[3], (at := plain_position(n, len(rows), S.SEED)) % 24, at // 24) for n, r in enumerate(order))
+    got = sorted((r["doc_id"], r["text_crc32"], r["shard"], r["slot"]) for r in S.shard_documents(docs).collect())
+    assert got == want
+
+
+def test_one_document_in_many_copies_is_one_row_to_number(make_docs):
+    docs = make_docs([(1, "same")] * 400 + [(2, "other")])
+    got = S.shard_documents(docs).collect()
+    assert len({(r["shard"], r["slot"]) for r in got}) == 401
+    sizes = [sum(r["shard"] == s for r in got) for s in range(24)]
+    assert max(sizes) - min(sizes) <= 1
