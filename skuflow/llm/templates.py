@@ -36,6 +36,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skuflow.session import materialize
+
 WINDOW = 5
 SHARE = 0.8
 MAX_BROADCAST = 1_000_000
@@ -52,6 +54,7 @@ UNITS = ("km", "m", "cm", "mm", "mi", "ft", "in", "yd", "kg", "g", "mg", "lb", "
 ONE_OF = {"feet": "foot", "inches": "inch", "centuries": "century", "pennies": "penny", "pence": "penny"}
 SPACE = r"\s\p{Z}"
 WHITE = rf"[{SPACE}]+"
+OTHER_SPACE = r"[\t\x0B\f\r\u00A0\u1680-\u3000]"  # holds all of SPACE but blanks and newlines; quick ranges
 # Thai, Lao, Myanmar, Khmer, kana, Han
 UNSPACED = (r"[\u0E01-\u0EFF\u1000-\u109F\u1780-\u17FF\u3005-\u3007\u3040-\u30FF\u31F0-\u31FF\u3400-\u4DBF"
             r"\u4E00-\u9FFF\uA9E0-\uA9FE\uAA60-\uAA7F\uF900-\uFAFF\uFF66-\uFF9F\x{1AFF0}-\x{1B16F}\x{20000}-\x{3FFFF}]")
@@ -73,12 +76,16 @@ def _typed(text: Column) -> Column:
     """Numbers and units of text without capitals and punctuation as placeholders."""
     t = F.regexp_replace(text, r"\d+", NUMBER)
     unit = rf"{NUMBER}([{SPACE}]*)(?:{'|'.join(UNITS)})s?(?![\p{{L}}\p{{N}}])"
-    return F.when(text.rlike(r"\d"), F.regexp_replace(t, unit, f"{NUMBER}$1{UNIT}")).otherwise(text)
+    return F.regexp_replace(t, unit, f"{NUMBER}$1{UNIT}")
+
+
+def _named_inside(text: Column) -> Column:
+    return _lower(_strip(F.regexp_replace(text, INSIDE, NAME)))
 
 
 def template_text(text: Column) -> Column:
     """The text with placeholders, as many white-space words as ``plain_text``."""
-    return _typed(_lower(_strip(F.regexp_replace(text, INSIDE, NAME))))
+    return _typed(_named_inside(text))
 
 
 def plain_text(text: Column) -> Column:
@@ -102,19 +109,34 @@ def _spaced(text: Column) -> Column:
     return F.when(far & text.rlike(UNSPACED), F.regexp_replace(text, UNSPACED, " $0 ")).otherwise(text)
 
 
+def _split(text: Column) -> Column:
+    """Words of a text whose white space is all single blanks."""
+    return F.array_remove(F.split(text, " "), "")
+
+
 def _forms(df: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` and ``w``, one struct in an array, so that its words are made once
     and not for every window: plain words, and template words without names, with
     every capital word, and with those inside a sentence as names."""
-    spaced = df.select(*keep, _spaced(F.col("text")).alias("text"))
-    bare = spaced.select(*keep, "text", _strip(F.col("text")).alias("bare"))
-    texts = bare.select(*keep, "text", "bare", _lower(F.col("bare")).alias("plain"))
-    return texts.select(*keep, F.array(F.struct(
-        _words(F.col("plain")).alias("p"),
-        _words(_typed(F.col("plain"))).alias("t"),
-        F.when(F.col("bare").rlike(CAPITAL), _words(_typed(_lower(F.regexp_replace(F.col("bare"), CAPITAL, NAME)))))
-        .alias("any"),
-        F.when(F.col("text").rlike(INSIDE), _words(template_text(F.col("text")))).alias("inside"))).alias("w"))
+    def step(now: DataFrame, left: list[str], **made: Column) -> DataFrame:
+        # one step a projection: each text is made once, not once for every use
+        return now.select(*keep, *left, *[c.alias(name) for name, c in made.items()])
+
+    text, bare = F.col("text"), F.col("bare")
+    now = step(df, [], text=_spaced(text))
+    now = step(now, [], text=F.replace(text, F.lit("\n"), F.lit(" ")))
+    now = step(now, [], text=F.when(text.rlike(OTHER_SPACE), F.regexp_replace(text, f"[{SPACE}]", " ")).otherwise(text))
+    now = step(now, ["text"], bare=_strip(text))
+    now = step(now, [], plain=_lower(bare), inside=F.when(text.rlike(INSIDE), _named_inside(text)),
+               any=F.when(bare.rlike(CAPITAL), _lower(F.regexp_replace(bare, CAPITAL, NAME))))
+
+    def words(c: str) -> Column:
+        return _split(F.when(F.col(c).rlike(r"\d"), _typed(F.col(c))).otherwise(F.col(c)))
+    return step(now, [], w=F.array(F.struct(
+        _split(F.col("plain")).alias("p"),
+        # null without a number: the plain words
+        F.when(F.col("plain").rlike(r"\d"), _split(_typed(F.col("plain")))).alias("t"),
+        words("any").alias("any"), words("inside").alias("inside"))))
 
 
 def window_hashes(df: DataFrame, keep: list[str], width: int = WINDOW, short: Iterable[int] | None = None,
@@ -140,7 +162,8 @@ def window_hashes(df: DataFrame, keep: list[str], width: int = WINDOW, short: It
                 none = "array<struct<pos:int,hash:bigint>>" if placed else "array<bigint>"
                 return F.coalesce(F.when(wanted, made), F.expr(f"cast(array() as {none})"))
 
-            forms = [of(h[f], width, (size >= width) & (F.size(h[f]) == size)) for f in ("t", "any", "inside")]
+            typed = F.coalesce(h["t"], h["p"])
+            forms = [of(words, width, (size >= width) & (F.size(words) == size)) for words in (typed, h["any"], h["inside"])]
             small = range(1, width) if short is None else short
             less = [of(h["p"], n, (size == n) if short is None else (size >= n)) for n in small]
             return F.array_distinct(F.concat(*forms, *less))
@@ -156,6 +179,7 @@ def windows(df: DataFrame, keep: list[str], width: int = WINDOW, short: Iterable
     ``short`` plain words; with None, texts of fewer than ``width`` words are one."""
     def cut(w: Column) -> Column:
         count = F.size(w["p"]) - width + 1
+        typed = F.coalesce(w["t"], w["p"])
 
         def of(words: Column, *others: Column) -> Column:
             def at(i: Column) -> Column:
@@ -182,7 +206,7 @@ def windows(df: DataFrame, keep: list[str], width: int = WINDOW, short: Iterable
         none = F.expr("cast(array() as array<struct<pos:int,hash:bigint,"
                       "slots:struct<t:array<string>,p:array<string>>>>)")
         return F.concat(*(F.coalesce(c, none) for c in (
-            of(w["t"]), of(w["any"], w["t"]), of(w["inside"], w["t"], w["any"]), *small)))
+            of(typed), of(w["any"], typed), of(w["inside"], typed, w["any"]), *small)))
 
     return (_forms(df, keep).select(*keep, F.explode(F.transform("w", cut)[0]).alias("w"))
             .select(*keep, F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"), F.col("w.slots").alias("slots")))
@@ -226,8 +250,9 @@ def find_items(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share
     shared = window_hashes(thin, ["text_key"], width, short).join(marks, "hash").groupBy(
         "text_key", "item_id", "item_key").agg(F.countDistinct("pos").alias("windows"))
     alike = shared["item_id"].eqNullSafe(sizes["item_id"]) & (shared["item_key"] == sizes["item_key"])
-    hit = (shared.join(sizes, alike).where(F.col("windows") >= share * F.col("item_windows"))
-           .select("text_key").distinct())
+    # written, so that its size is known and the texts are not shuffled to meet it
+    hit = materialize(shared.join(sizes, alike).where(F.col("windows") >= share * F.col("item_windows"))
+                      .select("text_key").distinct(), "template-texts")
     # then the slots, for those texts alone
     cut = windows(thin.join(hit, "text_key", "left_semi"), ["doc_id", "text_key"], width, short)
     met = cut.join(sought, "hash").withColumn("shift", F.col("pos") - F.col("item_pos"))
