@@ -59,6 +59,16 @@ def sales_daily(order_detail: DataFrame,
         sql_div("gross_sales", "unit_volume").alias("gross_price"))
 
 
+def lines_of_days(order_detail: DataFrame, days: DataFrame) -> DataFrame:
+    """The order lines of the days in ``days`` (column ``date``).
+
+    On lines stored by day (``rebuild_table(..., partition_by=["dt"])``) a filter
+    on the calendar, such as its weeks, prunes the lines' partitions when the
+    query runs (dynamic partition pruning): other days are not read."""
+    wanted = days.select(F.col("date").alias("dt")).distinct()
+    return order_detail.join(wanted, "dt").select(*order_detail.columns)
+
+
 def synthetic_price(source: DataFrame) -> DataFrame:
     """``date, item_sku_id, synthetic_gross_price`` from the raw price table."""
     return source.select("date", F.col("productkey").alias("item_sku_id"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skuflow.plans.registry import FIXTURE_SLICE, ROLLING_ORIGINS, ROLLING_SPAN, feature_query_name
+from skuflow.plans.registry import FIXTURE_SLICE, PRUNED_WEEKS, ROLLING_ORIGINS, ROLLING_SPAN, feature_query_name
 from skuflow.plans.sqlparts import (MEASURES, as_double_list, define_slice, feature_names,
                                     feature_sql, filled_sql, pdiv, with_ctes)
 from skuflow.sources.fixtures import HISTORY_START, SKU_SNAPSHOT_DT
@@ -160,6 +160,17 @@ ORACLE["numbered_feature_files"] = with_ctes("\nUNION ALL\n".join(
     f"{'round(' + name + ', 9)' if name == 'overall_discount' else name} AS value FROM ({sql}) t"
     for name, sql in _FEATURES.items()), "discount_keyed")
 
+ORACLE["sales_daily_of_weeks"] = with_ctes(f"""
+SELECT sale_ord_dt, item_sku_id, CAST(net_sales AS DOUBLE) AS net_sales,
+       CAST(gross_sales AS DOUBLE) AS gross_sales, CAST(unit_volume AS DOUBLE) AS unit_volume,
+       net_price, gross_price
+FROM sales_daily JOIN dim_date ON sale_ord_dt = date
+WHERE sequentialweek BETWEEN {PRUNED_WEEKS[0]} AND {PRUNED_WEEKS[1]}""", "sales_daily", "dim_date")
+ORACLE["tsv_bad_rows"] = with_ctes("""
+SELECT CASE item_sku_id % 50 WHEN 0 THEN 'wrong number of cells' WHEN 1 THEN 'total_net_sales is not double'
+       ELSE 'good' END AS reason, count(*) AS n_rows
+FROM sales_monthly GROUP BY 1""", "sales_monthly")
+
 # ---- weekly mode, the L6 batch, more fixtures ------------------------------------
 define_slice(FIXTURE_SLICE["third"], FIXTURE_SLICE["first"], FIXTURE_SLICE["second"])
 _WIDE_COLS = "tm_key, item_third_cate_cd, " + ", ".join(
@@ -247,3 +258,5 @@ SELECT split, avg(CASE WHEN abs(e) <> CAST('inf' AS DOUBLE) AND e <= 0.15 THEN 1
 FROM (SELECT split, gmv, p, {pdiv('abs(gmv - p)', 'gmv')} AS e
       FROM (SELECT split, gmv, CASE WHEN y_ < 0 THEN 0.0 ELSE y_ END AS p FROM ols2) c) t
 GROUP BY split""", "ols2")
+
+ORACLE["forecast_metrics_while_writing"] = ORACLE["forecast_pipeline_metrics"]

@@ -27,7 +27,8 @@ from skuflow.plans.pipelines import (SalesFacts, build_sales_facts, feature_matr
                                      run_feature_pipeline)
 from skuflow.session import materialize, scratch_path
 from skuflow.sources import fixtures as fx
-from skuflow.sources.tsv import preview, read_feature_dir, read_tsv, write_numbered_features, write_tsv
+from skuflow.sources.tsv import (headed_lines, preview, read_feature_dir, read_tsv, read_tsv_checked,
+                                 write_numbered_features, write_tsv)
 from skuflow.sources.warehouse import rebuild_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -505,6 +506,54 @@ def q_numbered_feature_files(spark, sf_dir):
     return out
 
 
+# Weeks of the calendar whose order lines are read.
+PRUNED_WEEKS = (40, 47)
+
+
+def lines_by_day(spark, sf_dir) -> DataFrame:
+    """Order lines stored by day, one file a day."""
+    lines = inputs(spark, sf_dir).order_detail()
+    return rebuild_table(lines.repartition("dt"), path=scratch_path(spark, "order_lines"), partition_by=["dt"])
+
+
+def pruned_daily(spark, sf_dir) -> DataFrame:
+    days = materialize(inputs(spark, sf_dir).dim_date(), "dim_date")
+    weeks = days.where(F.col("sequentialweek").between(*PRUNED_WEEKS))
+    return S.sales_daily(S.lines_of_days(lines_by_day(spark, sf_dir), weeks), fx.HISTORY_START)
+
+
+@query("sales_daily_of_weeks")
+def q_sales_daily_of_weeks(spark, sf_dir):
+    # S4 on order lines: stored by day, pruned by a filter on the calendar.
+    return decimals_to_double(pruned_daily(spark, sf_dir))
+
+
+@query("tsv_bad_rows")
+def q_tsv_bad_rows(spark, sf_dir):
+    # Facts as text lines, some cut short and some with a cell of another
+    # type; good and bad rows are counted apart, by reason.
+    folder = scratch_path(spark, "sales_monthly_damaged")
+    cells = [*MONTHLY_KEYS, "total_net_sales", "total_gross_sales"]
+    sku = F.col("item_sku_id") % 50
+    line = [F.when((sku == 1) & (F.lit(c) == "total_net_sales"), F.lit("12,5")).otherwise(
+        F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in cells]
+    rows = facts(spark, sf_dir).monthly.select(F.when(sku == 0, F.concat_ws("\t", *line[:4])).otherwise(
+        F.concat_ws("\t", *line)).alias("value"))
+    rows.mapInArrow(headed_lines("\t".join(cells)), "value string").write.mode("overwrite").text(folder)
+    good, bad = read_tsv_checked(spark, folder, {c: MONTHLY_TYPES[c] for c in cells})
+    return (good.select(F.lit("good").alias("reason")).unionAll(bad.select("reason"))
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@query("forecast_metrics_while_writing")
+def q_forecast_metrics_while_writing(spark, sf_dir):
+    # M6 observed while the predictions are written; the same numbers as L7's metrics.
+    stored = materialize(time_matrix(spark, sf_dir), "time-matrix")
+    out = M.forecast(stored, spec(), REGRESSORS)
+    metrics = Me.write_and_score(out, "gmv", scratch_path(spark, "predictions"))
+    return rounded(metrics, ["total_error"], 6)
+
+
 # ---- weekly mode, the L6 batch, more fixtures ------------------------------------
 
 @query("discount_features_wide_weekly")

@@ -10,10 +10,17 @@ a header line), never one file through one task.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DataType, DoubleType, IntegerType, LongType, ShortType,
-                               StructType, _parse_datatype_string)
+                               StringType, StructField, StructType, _parse_datatype_string)
 
 # The strings pandas' table reader treats as missing by default.
 PANDAS_NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -108,16 +115,107 @@ def write_numbered_features(features: DataFrame, directory: str, keys: list[str]
 
     ``row_counts`` maps a feature to a column counting its qualifying rows: a
     group without one is left out of that file, as a separate group-by would.
-    Store ``features`` first when it is expensive: it is read once per file.
+    All files come out of one job without a shuffle: a row becomes one line per
+    feature, lines are sorted by feature inside each task, and each task writes
+    its part of every folder, header first.  The folders then get their names.
     """
-    n = first
-    for name in names:
-        part = features
-        if row_counts and name in row_counts:
-            part = part.where(F.col(row_counts[name]) > 0)
-        write_tsv(part.select(*keys, name), f"{directory.rstrip('/')}/f{n}")
-        n += 1
-    return n
+    def line(n: int, name: str) -> Column:
+        cells = [F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate([*keys, name])]
+        made = F.struct(F.lit(n).alias("n"), *cells)
+        return F.when(F.col(row_counts[name]) > 0, made) if row_counts and name in row_counts else made
+
+    headers = {first + i: [*keys, name] for i, name in enumerate(names)}
+    lines = features.select(F.explode(F.filter(
+        F.array(*[line(first + i, name) for i, name in enumerate(names)]), lambda x: x.isNotNull())).alias("x")).select("x.*")
+    spark = features.sparkSession
+    base = directory.rstrip("/")
+    # a table without rows is a folder with a header, too
+    empty = spark.createDataFrame([(n,) for n in headers], "n int")
+    for i in range(len(keys) + 1):
+        empty = empty.withColumn(f"c{i}", F.lit(None).cast("string"))
+    marked = (lines.withColumn("kind", F.lit(1)).unionByName(empty.withColumn("kind", F.lit(0)))
+              .sortWithinPartitions("n").select("n", "kind", *[f"c{i}" for i in range(len(keys) + 1)]))
+    staged = f"{base}/_numbered-{uuid.uuid4().hex[:12]}"
+    headed = marked.mapInArrow(partial(_with_headers, headers), marked.schema).drop("kind")
+    (headed.write.mode("overwrite").partitionBy("n").option("sep", "\t").option("header", "false").option("quote", '"')
+     .option("escape", '"').option("nullValue", "").option("emptyValue", "").csv(staged))
+    _rename_folders(spark, {f"{staged}/n={n}": f"{base}/f{n}" for n in headers}, staged)
+    return first + len(names)
+
+
+def _with_headers(headers: dict[int, list[str]], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by their first column, the header row of each of its values
+    put before them; rows of kind 0 only ask for the header."""
+    now = None
+    for batch in batches:
+        n = batch.column(0).to_numpy()
+        starts = np.flatnonzero(np.r_[True, n[1:] != n[:-1]]) if len(n) else []
+        for at, end in zip(starts, [*starts[1:], len(n)]):
+            if n[at] != now:
+                now = int(n[at])
+                cells = [pa.array([c], pa.string()) for c in headers[now]]
+                yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([1], pa.int32()), *cells],
+                                                 schema=batch.schema)
+            part = batch.slice(int(at), int(end - at))
+            yield part.filter(pc.equal(part.column(1), 1))
+
+
+def headed_lines(header: str) -> Callable:
+    """For ``mapInArrow``: a task's lines of text after a header line."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([header], pa.string())], ["value"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(batch.columns, ["value"])
+    return run
+
+
+def _rename_folders(spark: SparkSession, moves: dict[str, str], staged: str) -> None:
+    """Give written folders their final names, in the file system they are on."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for source, target in moves.items():
+        old, new = hadoop.Path(source), hadoop.Path(target)
+        fs = old.getFileSystem(conf)
+        if fs.exists(new):
+            fs.delete(new, True)
+        if not fs.rename(old, new):
+            raise OSError(f"cannot rename {source} to {target}")
+    left = hadoop.Path(staged)
+    left.getFileSystem(conf).delete(left, True)
+
+
+CORRUPT = "_corrupt_line"
+
+
+def read_tsv_checked(spark: SparkSession, path: str, schema, na_tokens=PANDAS_NA_TOKENS) -> tuple[DataFrame, DataFrame]:
+    """S1 with bad rows kept apart: the rows that fit ``schema``, and a side table
+    ``path, line, reason`` of those that do not: too few or too many cells, or a
+    cell that is not of its column's type.  Neither aborts the read."""
+    types = {c: _types(f"c {t}")["c"] if isinstance(t, str) else t for c, t in _types(schema).items()}
+    header = _raw_tsv(spark, path).columns
+    missing = [c for c in types if c not in header]
+    if missing:
+        raise ValueError(f"{path}: columns {missing} not in the header {header}")
+    cells = StructType([StructField(c, StringType()) for c in [*header, CORRUPT]])
+    raw = (spark.read.schema(cells).option("sep", "\t").option("header", "true").option("quote", '"').option("escape", '"')
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", "true").csv(path)
+           .select("*", F.col("_metadata.file_path").alias("_path")))
+    tokens = list(na_tokens)
+    values, wrong = [], []
+    for name, dtype in types.items():
+        cell = F.when(F.col(name).isin(tokens), F.lit(None)).otherwise(F.col(name))
+        value = cell.try_cast(dtype)
+        if isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):  # 672.0 is a whole number
+            number = cell.try_cast("decimal(38,9)")
+            value = F.when(number == F.floor(number), number.try_cast(dtype))
+        values.append(value.alias(name))
+        wrong.append(F.when(cell.isNotNull() & value.isNull(), F.lit(f"{name} is not {dtype.simpleString()}")))
+    reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("wrong number of cells")).otherwise(F.coalesce(*wrong))
+    read = raw.withColumn("_reason", reason)
+    line = F.coalesce(CORRUPT, F.concat_ws("\t", *[F.coalesce(c, F.lit("")) for c in header]))
+    bad = read.where(F.col("_reason").isNotNull()).select(F.col("_path").alias("path"), line.alias("line"),
+                                                          F.col("_reason").alias("reason"))
+    return read.where(F.col("_reason").isNull()).select(*values), bad
 
 
 def preview(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> DataFrame:
