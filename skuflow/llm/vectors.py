@@ -14,14 +14,20 @@
    whose cosine is near the threshold.  Pairs found are verified in double
    precision and counted in the first shard that both share; a shard emits
    counts and stars of its components, never its pairs.
-6. The links found for ``AUDIT`` sampled nodes are compared with a scan of all
-   vectors.  With a recall below ``TARGET`` the work is redone with twice the
-   overlap, up to three times; the last recall is a column of the result.
+6. Sampled nodes, drawn from all, from those with few and from those with no
+   links found, are compared with a scan of all vectors.  The recall is the mean
+   over nodes, the least of the three draws, so that one group of near copies
+   hides no losses elsewhere.  Below ``TARGET`` the work is redone with twice
+   the overlap, then four times; if that is not enough, all pairs of blocks are
+   compared exactly.  The recall is a column of the result.
+
+Vectors of different lengths never link; centroids, shards and audits are kept
+by length, and a length that the sample does not hold is one cluster.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
-components, vectors of another length than most, and rows without a vec_id
-link with nothing and are their own component; equal rows are copies of one
-another; an empty table gives an empty result.
+components, and rows without a vec_id link with nothing and are their own
+component; equal rows are copies of one another; an empty table gives an empty
+result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -260,28 +266,42 @@ def _nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
         & ~F.exists(e, lambda v: v.isNull() | F.isnan(v) | (F.abs(v.cast("double")) == math.inf))
         & F.exists(e, lambda v: v != 0), F.lit(False))
     rows = vectors.select("vec_id", e.alias("embedding"), sound.alias("ok"))
-    lengths = rows.where("ok").groupBy(F.size("embedding").alias("n")).count()
-    most = lengths.orderBy(F.desc("count"), "n").first()
-    rows = rows.withColumn("ok", F.col("ok") & (F.size("embedding") == (most["n"] if most else 0)))
     nodes = (rows.where("ok").groupBy("embedding")
              .agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
              .withColumn("node", F.monotonically_increasing_id()))
     return rows, materialize(nodes, "vectors")  # written once, so that node numbers stay
 
 
-def assign_clusters(nodes: DataFrame, centres: np.ndarray, overlap: int) -> DataFrame:
-    """node, embedding, copies, member (the nearest clusters, ascending)."""
-    take = min(overlap, len(centres))
+def fit_by_length(sample: pd.Series, count: int, wide: int, shard_rows: int, seed: int) -> dict[int, tuple[int, np.ndarray]]:
+    """Length -> (number of its first cluster, centroids), from sampled vectors."""
+    out, first = {}, 0
+    for length, own in sample.groupby(sample.str.len()):
+        wanted = math.ceil(count * len(own) / len(sample) * wide / shard_rows)
+        centres = fit_centroids(matrix(own), wanted, seed)
+        out[int(length)] = first, centres
+        first += len(centres)
+    return out
+
+
+def assign_clusters(nodes: DataFrame, centres: dict[int, tuple[int, np.ndarray]], overlap: int) -> DataFrame:
+    """node, embedding, copies, member (the nearest clusters, ascending; one
+    negative cluster for a length without centroids)."""
+    def members(embedding: pd.Series, length: int) -> np.ndarray:
+        if length not in centres:
+            return np.full((len(embedding), 1), -length, dtype=np.int32)
+        first, own = centres[length]
+        take = min(overlap, len(own))
+        found, x = np.zeros((len(embedding), take), dtype=np.int32), matrix(embedding)
+        for at in range(0, len(x), 1024):
+            found[at:at + 1024] = np.argpartition(-(x[at:at + 1024] @ own.T), take - 1, axis=1)[:, :take]
+        found.sort(axis=1)
+        return found + first
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            member = np.zeros((len(batch), take), dtype=np.int32)
-            x = matrix(batch["embedding"])
-            for at in range(0, len(x), 1024):
-                sim = x[at:at + 1024] @ centres.T
-                member[at:at + 1024] = np.argpartition(-sim, take - 1, axis=1)[:, :take]
-            member.sort(axis=1)
-            yield batch[["node", "embedding", "copies"]].assign(member=list(member))
+            for length, part in batch.groupby(batch["embedding"].str.len()):
+                found = pd.Series(members(part["embedding"], int(length)).tolist(), index=part.index, dtype=object)
+                yield part.assign(member=found)
 
     kind = nodes.schema["embedding"].dataType.simpleString()
     return nodes.select("node", "embedding", "copies").mapInPandas(
@@ -309,26 +329,38 @@ def shard_edges(shards: DataFrame, seed: int) -> DataFrame:
         ids = shard["node"].to_numpy()
         a, b = build_graph(matrix(shard["embedding"]), seed)
         lists = np.split(ids[b], np.flatnonzero(np.diff(a)) + 1) if len(a) else []
-        return pd.DataFrame({"node": ids[np.unique(a)], "near": lists})
+        return pd.DataFrame({"node": ids[np.unique(a)], "near": pd.Series([x.tolist() for x in lists], dtype=object)})
 
     return (shards.select("cluster", "lo", "hi", "node", "embedding").groupBy("cluster", "lo", "hi")
             .applyInPandas(build, "node long, near array<long>"))
 
 
-def search_shards(shards: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
+def all_pairs(x: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Every pair of rows with a cosine >= threshold."""
+    found = [np.nonzero(np.triu(x[at:at + 512] @ x.T >= threshold, at + 1)) for at in range(0, len(x), 512)]
+    a = [r + 512 * k for k, (r, _) in enumerate(found)]
+    return np.concatenate(a), np.concatenate([c for _, c in found])
+
+
+def search_shards(shards: DataFrame, lists: DataFrame | None, threshold: float) -> DataFrame:
     """node, links (rows linked, found in this shard), root (smallest node of
-    its component there)."""
+    its component there).  Without ``lists`` all pairs of a shard are compared."""
+    without_lists = lists is None
+
     def search(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values("node", ignore_index=True)
         ids, n = shard["node"].to_numpy(), len(shard)
         lo, hi, cluster = int(shard["lo"][0]), int(shard["hi"][0]), int(shard["cluster"][0])
-        near = [np.asarray(x if x is not None else [], dtype=np.int64) for x in shard["near"]]
-        a = np.repeat(np.arange(n), [len(x) for x in near])
-        to = np.concatenate(near) if near else np.zeros(0, np.int64)
-        at = np.minimum(np.searchsorted(ids, to), n - 1)
-        here = ids[at] == to  # the united lists also name nodes of other shards
         x = matrix(shard["embedding"])
-        a, b = range_search(x, padded(a[here], at[here], n), threshold)
+        if without_lists:
+            a, b = all_pairs(x, threshold)
+        else:
+            near = [np.asarray(v if v is not None else [], dtype=np.int64) for v in shard["near"]]
+            a = np.repeat(np.arange(n), [len(v) for v in near])
+            to = np.concatenate(near) if near else np.zeros(0, np.int64)
+            at = np.minimum(np.searchsorted(ids, to), n - 1)
+            here = ids[at] == to  # the united lists also name nodes of other shards
+            a, b = range_search(x, padded(a[here], at[here], n), threshold)
         block = shard["block"].to_numpy()
         if lo != hi:  # pairs within a block belong to the block's own shard
             between = block[a] != block[b]
@@ -343,33 +375,51 @@ def search_shards(shards: DataFrame, lists: DataFrame, threshold: float) -> Data
         some = np.flatnonzero(links)
         return pd.DataFrame({"node": ids[some], "links": links[some], "root": ids[root[some]]})
 
-    return (shards.join(lists, "node", "left").groupBy("cluster", "lo", "hi")
+    listed = shards if without_lists else shards.join(lists, "node", "left")
+    return (listed.groupBy("cluster", "lo", "hi")
             .applyInPandas(search, "node long, links long, root long"))
 
 
+FEW = 8  # links
+
+
 def audit_recall(nodes: DataFrame, links: DataFrame, threshold: float, queries: int, seed: int) -> float:
-    """Share of the links of sampled nodes that were found: ``queries`` nodes
-    are compared with all vectors, in blocks."""
-    picked = (nodes.orderBy(F.xxhash64(F.lit(seed), "embedding"), "node").limit(queries)
-              .join(links, "node", "left").select("node", "embedding", F.coalesce("links", F.lit(0)).alias("links")))
-    picked = picked.toPandas().sort_values("node")
+    """Share of a node's links that were found, as the mean over sampled nodes
+    that have any: the least of three draws of ``queries`` nodes each, from all
+    nodes, those with up to ``FEW`` links found, and those with none.  The drawn
+    nodes are compared with all vectors, in blocks."""
+    found = nodes.join(links, "node", "left").select("node", "embedding", F.coalesce("links", F.lit(0)).alias("links"))
+    draws = [found.where(which).orderBy(F.xxhash64(F.lit(seed), "embedding"), "node").limit(queries)
+             .withColumn("draw", F.lit(k)).toPandas() for k, which in enumerate(("true", f"links <= {FEW}", "links = 0"))]
+    picked = pd.concat(draws, ignore_index=True)
     if not len(picked):
         return 1.0
-    ids, q = picked["node"].to_numpy(), matrix(picked["embedding"])
+    once = picked.drop_duplicates("node").sort_values("node", ignore_index=True)
+    asked = {int(n): (own["node"].to_numpy(), matrix(own["embedding"]))
+             for n, own in once.groupby(once["embedding"].str.len())}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(len(ids), dtype=np.int64)
+        total = {n: np.zeros(len(ids), dtype=np.int64) for n, (ids, _) in asked.items()}
         for batch in batches:
-            hit = matrix(batch["embedding"]) @ q.T >= threshold
-            hit &= batch["node"].to_numpy()[:, None] != ids[None, :]
-            total += (hit * batch["copies"].to_numpy()[:, None]).sum(axis=0)
-        yield pd.DataFrame({"node": ids, "true_links": total})
+            for n, part in batch.groupby(batch["embedding"].str.len()):
+                if n in asked:
+                    ids, q = asked[n]
+                    hit = matrix(part["embedding"]) @ q.T >= threshold
+                    hit &= part["node"].to_numpy()[:, None] != ids[None, :]
+                    total[n] += (hit * part["copies"].to_numpy()[:, None]).sum(axis=0)
+        for n, (ids, _) in asked.items():
+            yield pd.DataFrame({"node": ids, "true_links": total[n]})
 
     true = (nodes.select("node", "embedding", "copies").mapInPandas(run, "node long, true_links long")
             .groupBy("node").agg(F.sum("true_links").alias("n")).toPandas().set_index("node")["n"])
-    wanted = int(true.sum())
-    found = np.minimum(picked["links"].to_numpy(), true.reindex(ids).to_numpy()).sum()
-    return 1.0 if not wanted else float(found) / wanted
+    picked["true"] = true.reindex(picked["node"]).to_numpy()
+    linked = picked[picked["true"] > 0]
+    shares = np.minimum(linked["links"], linked["true"]) / linked["true"]
+    # a draw of nodes without links found counts those that should have some among all its nodes
+    means = [shares[linked["draw"] == 0].mean(), shares[linked["draw"] == 1].mean()]
+    nothing = picked["draw"] == 2
+    means.append(1 - (picked.loc[nothing, "true"] > 0).mean() if nothing.any() else 1.0)
+    return float(min([m for m in means if not math.isnan(m)], default=1.0))
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, overlap: int = OVERLAP,
@@ -381,10 +431,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, overlap: i
     count = nodes.count()
     links, recall = None, 1.0
     if count:
-        fitted = matrix(nodes.orderBy(F.xxhash64(F.lit(seed), "embedding"), "node").limit(sample)
-                        .select("embedding").toPandas()["embedding"])
+        fitted = (nodes.orderBy(F.xxhash64(F.lit(seed), "embedding"), "node").limit(sample)
+                  .select("embedding").toPandas()["embedding"])
         for wide in (overlap, 2 * overlap, 4 * overlap):
-            centres = fit_centroids(fitted, math.ceil(count * wide / shard_rows), seed)
+            centres = fit_by_length(fitted, count, wide, shard_rows, seed)
             shards = materialize(to_shards(assign_clusters(nodes, centres, wide), shard_rows), "vector-shards")
             lists = shard_edges(shards, seed).groupBy("node").agg(
                 F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
@@ -393,6 +443,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, overlap: i
             recall = audit_recall(nodes, summed, threshold, AUDIT, seed)
             if recall >= target:
                 break
+        else:  # one cluster a length, all pairs of its blocks
+            shards = materialize(to_shards(assign_clusters(nodes, {}, 1), shard_rows), "vector-shards")
+            links, recall = materialize(search_shards(shards, None, threshold), "vector-links"), 1.0
     if links is None:
         links = nodes.select("node", F.lit(0).cast("long").alias("links"), F.col("node").alias("root")).limit(0)
     summed = links.groupBy("node").agg(F.sum("links").alias("links"))

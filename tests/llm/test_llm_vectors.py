@@ -61,7 +61,7 @@ def test_odd_vectors(spark):
     got, _ = run(spark, rows)
     assert got == brute(rows)
     other, _ = run(spark, [*rows, (12, [1.0, 0.0]), (13, [1.0, 0.0])])
-    assert (12, 0, 12, True) in other and (13, 0, 13, True) in other
+    assert (12, 1, 12, True) in other and (13, 1, 12, False) in other  # lengths are apart, none is set aside
 
 
 def test_empty_table(spark):
@@ -88,3 +88,31 @@ def test_audit_sees_lost_links(spark):
     _, nodes = V._nodes(spark.createDataFrame([(i, e, 0) for i, e in rows], SCHEMA))
     none = nodes.select("node", F.lit(0).cast("long").alias("links"))
     assert V.audit_recall(nodes, none, 0.95, 100, 1) == 0.0
+
+
+def test_vectors_of_two_lengths_equal_brute_force_each(spark):
+    long, short = clustered(300, 3), [(1000 + i, e) for i, e in clustered(120, 4, dim=5, groups=4)]
+    got, recall = run(spark, [*long, *short], shard_rows=100, sample=150)
+    want = sorted([*brute(long), *brute(short)], key=str)
+    assert recall >= 0.95 and sum(r[1] for r in got) >= 0.95 * sum(r[1] for r in want)
+    alone, _ = run(spark, [*long[:40], (5000, [1.0, 2.0]), (5001, [2.0, 4.0])], sample=30)
+    assert (5001, 1, 5000, False) in alone
+
+
+def test_a_hot_group_does_not_hide_losses(spark):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=12)
+    hot = [(k, [float(v) for v in np.float32(base + 0.01 * rng.normal(size=12))]) for k in range(150)]
+    pairs = []
+    for k in range(40):
+        v = rng.normal(size=12)
+        pairs += [(1000 + 2 * k + j, [float(x) for x in np.float32(v + 0.01 * j)]) for j in (0, 1)]
+    _, nodes = V._nodes(spark.createDataFrame([(i, e, 0) for i, e in [*hot, *pairs]], SCHEMA))
+    only_hot = nodes.select("node", F.when(F.col("first_id") < 1000, F.lit(149)).otherwise(0).cast("long").alias("links"))
+    assert V.audit_recall(nodes, only_hot, 0.95, 200, 1) < 0.5
+
+
+def test_below_the_target_all_pairs_are_compared(spark):
+    rows = clustered(260, 6)
+    got, recall = run(spark, rows, shard_rows=60, target=1.1)
+    assert got == brute(rows) and recall == 1.0
