@@ -27,20 +27,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 65_536
+BUCKETS = 4096  # a bucket is sorted by one task: give more of them to tables above some TB
 ROUNDS = 4
 SEED = 20_17
 WALK_STEPS = 16
 
 
-def row_numbers(df: DataFrame, keys: Sequence[str], buckets: int = BUCKETS, number: str = "row_number",
-                total: str = "row_total", weight: str | None = None) -> DataFrame:
-    """Dense numbers 0..N-1 in an order fixed by the values of ``keys``; rows
-    that agree in all keys are numbered in any order.  ``total`` is N.  With
-    ``weight`` a row stands for so many and gets the first of their numbers."""
-    row = F.struct(*df.columns).alias("row")  # the caller's names are kept apart from the ones here
+def _numbered(df: DataFrame, keys: Sequence[str], buckets: int, weight: str | None = None) -> DataFrame:
+    """``row`` (the caller's columns, kept apart from the names here), ``number``
+    and ``total``."""
     size = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    keyed = df.select(row, F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("bucket"), size.alias("size"))
+    keyed = df.select(F.struct(*df.columns).alias("row"),
+                      F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("bucket"), size.alias("size"))
     counts = keyed.groupBy("bucket").agg(F.sum("size").alias("n"))
     # at most `buckets` rows, so one task and a broadcast are bounded
     whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -53,7 +51,15 @@ def row_numbers(df: DataFrame, keys: Sequence[str], buckets: int = BUCKETS, numb
               .rowsBetween(Window.unboundedPreceding, -1))
     return (keyed.withColumn("at", F.coalesce(F.sum("size").over(inside), F.lit(0)))
             .join(F.broadcast(starts), "bucket")
-            .select("row.*", F.col("total").alias(total), (F.col("first") + F.col("at")).cast("long").alias(number)))
+            .select("row", "total", (F.col("first") + F.col("at")).cast("long").alias("number")))
+
+
+def row_numbers(df: DataFrame, keys: Sequence[str], buckets: int = BUCKETS, number: str = "row_number",
+                total: str = "row_total") -> DataFrame:
+    """Dense numbers 0..N-1 in an order fixed by the values of ``keys``; rows
+    that agree in all keys are numbered in any order.  ``total`` is N."""
+    return _numbered(df, keys, buckets).select(
+        "row.*", F.col("total").alias(total), F.col("number").alias(number))
 
 
 def _root(n: Column) -> Column:
@@ -100,10 +106,9 @@ def _places(number: Column, total: Column, shards: int, seed: int) -> list[Colum
 def assign_shards(df: DataFrame, keys: Sequence[str], shards: int, seed: int = SEED,
                   buckets: int = BUCKETS) -> DataFrame:
     """``df`` with ``shard`` (0..shards-1) and ``slot`` (gapless from 0)."""
-    own = [c for c in df.columns if c not in ("shard", "slot")]
-    packed = df.select(F.struct(*own).alias("row"), *[F.col(k).alias(f"key{i}") for i, k in enumerate(keys)])
-    numbered = row_numbers(packed, [f"key{i}" for i in range(len(keys))], buckets, "number", "total")
-    return numbered.select("row", *_places(F.col("number"), F.col("total"), shards, seed)).select("row.*", "shard", "slot")
+    own = df.select([c for c in df.columns if c not in ("shard", "slot")])
+    return (_numbered(own, keys, buckets).select("row", *_places(F.col("number"), F.col("total"), shards, seed))
+            .select("row.*", "shard", "slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, seed: int = SEED) -> DataFrame:
@@ -119,8 +124,9 @@ def shard_documents(docs: DataFrame, shards: int = 24, seed: int = SEED) -> Data
         F.crc32(octets).cast("long").alias("text_crc32"),
         F.xxhash64("text").alias("text_key"))
     counted = thin.groupBy(*thin.columns).agg(F.count(F.lit(1)).alias("copies"))
-    numbered = row_numbers(counted, ["doc_id", "text_key", "size", "text_crc32"], BUCKETS, "first", "total", "copies")
-    each = numbered.withColumn("number", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("copies") - 1)))
+    numbered = _numbered(counted, ["doc_id", "text_key", "size", "text_crc32"], BUCKETS, "copies")
+    each = numbered.select("row.*", "total", F.explode(F.sequence(
+        F.col("number"), F.col("number") + F.col("row.copies") - 1)).alias("number"))
     return each.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"),
                        *_places(F.col("number"), F.col("total"), shards, seed),
                        F.lit(None).cast("int").alias("grown_shard"))
