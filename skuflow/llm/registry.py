@@ -55,7 +55,7 @@ def op4_pruned_graph(spark, sf_dir):
 @query
 def op5_bradley_terry(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return quality.score_documents(docs, quality.fit_ranking(docs, table(spark, sf_dir, "labels")))
+    return quality.rank_documents(docs, table(spark, sf_dir, "labels"))
 
 
 @query

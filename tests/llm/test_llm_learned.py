@@ -118,3 +118,38 @@ def test_word_table_may_be_emptied(tables, monkeypatch):
     monkeypatch.setattr(toxicity, "CACHED", 5)
     score = chain.scorer()
     assert [score(t) for t in texts] == one
+
+
+def labelled_rows(spark, rng, n):
+    x = rng.normal(size=(n, quality.NARROW))
+    y = (x[:, 0] + 0.5 * rng.normal(size=n) > 0.3).astype(float)
+    rows = spark.createDataFrame([(row.tolist(), float(v)) for row, v in zip(x, y)], "x array<double>, y double")
+    return x, y, rows
+
+
+def test_quality_weights_have_the_least_loss_of_all_pairs(spark):
+    x, y, rows = labelled_rows(spark, np.random.default_rng(5), 120)
+    model = quality.Ranking(x.mean(axis=0), x.std(axis=0), None)
+    got = quality._fit_weights(rows, model, 500, 1.0)
+    wide = model.wide(x)
+    gap = (wide[y > 0][:, None] - wide[y <= 0][None]).reshape(-1, 2 * quality.NARROW)
+    slope = -500 * (quality.sigmoid(-gap @ got)[:, None] * gap).mean(axis=0) + got
+    assert np.abs(got).max() > 0.5 and np.abs(slope).max() < 0.02
+
+
+def test_quality_learns_from_all_labelled_rows(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    x = F.array(*[F.col("doc_id") % 2 + F.when(F.col("doc_id") == 777, 1e6).otherwise(0) + F.lit(0.0)] * quality.NARROW)
+    features = docs.select("doc_id", x.alias("x"))
+    used = labels.where(~quality.is_held_out(F.col("doc_id"))).count()
+    assert used > 14_000  # formerly 12,000 of them
+    model = quality.fit_features(features, labels, penalty=1e5)
+    want = features.join(labels, "doc_id").where(~quality.is_held_out(F.col("doc_id"))).agg(F.avg(F.col("x")[0])).first()[0]
+    assert model.mean[0] == pytest.approx(want, rel=1e-9) and model.weights is not None
+
+
+def test_ranked_value_is_exact(spark):
+    values = np.sort(np.r_[np.random.default_rng(2).normal(size=500), [0.25] * 300, 1e9, -1e9])
+    scores = spark.createDataFrame([(float(v),) for v in values], "s double")
+    assert [quality.ranked_value(scores, k) for k in (0, 1, 400, 499, 800, 801)] == [values[k] for k in (0, 1, 400, 499, 800, 801)]
