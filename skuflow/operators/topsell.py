@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from skuflow.functions.numeric import clamp_negative, month_index, pdiv_sql
 from skuflow.operators.ranking import running_sum_by_group
+from skuflow.session import materialize
 
 # Fixed values of the reference: period column and lookback per mode, Pareto share.
 MODES = {"weekly": ("sequentialweek", 12), "monthly": ("month", 3)}
@@ -90,18 +91,23 @@ def pareto_marks(ranked: DataFrame, share: float = PARETO_SHARE) -> DataFrame:
     return ranked.withColumn(MARK, F.expr(mark)).withColumn(SHARE, F.expr(own))
 
 
-def top_selling(facts: DataFrame, mode: str = "monthly", keep_columns: bool = False) -> DataFrame:
+def top_selling(facts: DataFrame, mode: str = "monthly", keep_columns: bool = False,
+                stored: bool = False) -> DataFrame:
     """L4: ``item_third_cate_cd, item_sku_id, <period>, true_top_saling_mark,
     sales_share_recent_three_months`` for every row with non-NULL keys.
 
     Ties in trailing sales are broken by ascending SKU (Q6).  With
     ``keep_columns`` all input columns are kept as well, which lets the
-    discount features use the marks without joining them back.
+    discount features use the marks without joining them back.  With ``stored``
+    the rows with their trailing sales are written first: slicing reads them
+    twice, once for a sample of their order, and would compute them twice.
     """
     period, _ = mode_spec(mode)
     trailing = trailing_sales(facts, mode).where(F.col(CATE3).isNotNull())
     if not keep_columns:  # slicing hands whole rows to Python workers: no column too many
         trailing = trailing.select(CATE3, SKU, period, TRAILING)
+    if stored:
+        trailing = materialize(trailing, "trailing")
     ranked = running_sum_by_group(trailing, [period, CATE3], TRAILING, SKU, CUMULATED, CATE_TOTAL)
     marked = pareto_marks(ranked)
     if keep_columns:

@@ -185,9 +185,14 @@ def q_sku_snapshot_partition(spark, sf_dir):
 
 # ---- L5: discount features --------------------------------------------------
 
-def discount_input(spark, sf_dir, monthly: DataFrame | None = None) -> DataFrame:
+def discount_input(spark, sf_dir, monthly: DataFrame | None = None, stored: bool = False) -> DataFrame:
     monthly = facts(spark, sf_dir).monthly if monthly is None else monthly
-    return D.prepare_discount_input(monthly, elasticity(spark, sf_dir))
+    return D.prepare_discount_input(monthly, elasticity(spark, sf_dir), stored=stored)
+
+
+def stored_monthly(spark, sf_dir) -> DataFrame:
+    """The monthly facts that target and features read, computed and written once."""
+    return materialize(facts(spark, sf_dir).monthly.select("month", T.SKU, T.CATE3, D.NET, D.GA, D.SG), "monthly")
 
 
 def _feature_query(name: str) -> QueryFn:
@@ -235,10 +240,10 @@ def target(spark, sf_dir, monthly: DataFrame | None = None) -> DataFrame:
 
 def matrix(spark, sf_dir) -> tuple[DataFrame, list[str]]:
     """J8 + J9 + P9: target with time and category features, and the feature list."""
-    monthly = facts(spark, sf_dir).monthly
+    monthly = stored_monthly(spark, sf_dir)
     t = Fe.join_time_features(target(spark, sf_dir, monthly),
                               [inputs(spark, sf_dir).time_features()], ["tm_key"])
-    wide = D.discount_features(discount_input(spark, sf_dir, monthly))
+    wide = D.discount_features(discount_input(spark, sf_dir, monthly, stored=True))
     m = Fe.join_category_features(t, [wide], [T.CATE3], ["tm_key"])
     feats = Fe.feature_columns(m.columns, ["tm_key"], [T.CATE3], "gmv")
     return m.select(*KEYS, "gmv", *feats), feats
@@ -279,8 +284,8 @@ def q_join_time_features(spark, sf_dir):
 
 @query("join_category_features")
 def q_join_category_features(spark, sf_dir):
-    monthly = facts(spark, sf_dir).monthly
-    wide = D.discount_features(discount_input(spark, sf_dir, monthly))
+    monthly = stored_monthly(spark, sf_dir)
+    wide = D.discount_features(discount_input(spark, sf_dir, monthly, stored=True))
     return _out(Fe.join_category_features(target(spark, sf_dir, monthly), [wide], [T.CATE3],
                                           ["tm_key"]))
 

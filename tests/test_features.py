@@ -75,3 +75,10 @@ def test_feature_columns_selection():
     assert Fe.feature_columns(cols, "tm_key", ["c"], "gmv") == ["a", "b", "z"]
     assert Fe.feature_columns(cols, ["tm_key"], ["c"], "gmv", feature_rm_columns=["b"]) == ["a", "z"]
     assert Fe.feature_columns(cols, ["tm_key"], ["c"], "gmv", feature_columns=["z"]) == ["z"]
+
+
+def test_matrix_computes_the_monthly_facts_once(spark):
+    from skuflow.plans import registry as R
+    m, feats = R.matrix(spark, "/root/testdata/sf0.001")
+    plan = m._jdf.queryExecution().optimizedPlan().toString()
+    assert len(feats) == 21 and "l_extendedprice" not in plan  # formerly six reads of the order lines

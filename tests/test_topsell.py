@@ -126,3 +126,12 @@ def test_a_repeated_sku_and_period_is_an_error_unless_summed_first(spark):
     once = T.one_row_per_period(df, "weekly")
     assert {(r.sequentialweek, r.total_net_sales, r.rows_summed) for r in once.collect()} == {(1, 10.0, 2), (2, 1.0, 1)}
     assert [r[T.TRAILING] for r in T.trailing_sales(once, "weekly").orderBy("sequentialweek").collect()] == [0, 10.0]
+
+
+def test_stored_trailing_sales_give_the_same_marks(spark):
+    rows = [(7, k, w, float((k * w) % 5), f"x{k}") for k in range(40) for w in range(1, 9)]
+    df = spark.createDataFrame(rows, f"{T.CATE3} int, {T.SKU} bigint, sequentialweek int, {T.SALES} double, other string")
+    for keep in (False, True):
+        one, two = (T.top_selling(df, "weekly", keep, stored=s) for s in (False, True))
+        assert one.columns == two.columns and one.count() == len(rows)
+        assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
