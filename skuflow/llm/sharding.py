@@ -79,6 +79,21 @@ def _feistel(x: Column, a: Column, seed: int, rounds: int) -> Column:
     return left * a + right
 
 
+def _onward(x: Column, total: Column, a: Column, steps: Column, seed: int, rounds: int) -> Column:
+    """Up to ``steps`` passes over the grid, until the cell is one of a row."""
+    return F.aggregate(F.sequence(F.lit(1).cast("long"), steps), x,
+                       lambda at, _: F.when(at < total, at).otherwise(_feistel(at, a, seed, rounds)))
+
+
+def _walk(once: Column, total: Column, a: Column, seed: int, rounds: int) -> Column:
+    return F.when(once < total, once).otherwise(_onward(once, total, a, F.lit(WALK_STEPS).cast("long"), seed, rounds))
+
+
+def _walk_out(walked: Column, total: Column, a: Column, seed: int, rounds: int) -> Column:
+    return F.when(walked < total, walked).otherwise(
+        _onward(walked, total, a, F.greatest(a * a - total, F.lit(1)).cast("long"), seed, rounds))
+
+
 def permuted(number: Column, total: Column, seed: int = SEED, rounds: int = ROUNDS) -> Column:
     """The position of row ``number`` under the permutation of 0..total-1.
 
@@ -87,28 +102,28 @@ def permuted(number: Column, total: Column, seed: int = SEED, rounds: int = ROUN
     so the walk ends after at most as many steps as there are such cells.
     """
     a = _root(total)
-
-    def onward(x: Column, steps: Column) -> Column:
-        return F.aggregate(F.sequence(F.lit(1).cast("long"), steps), x,
-                           lambda at, _: F.when(at < total, at).otherwise(_feistel(at, a, seed, rounds)))
-
-    once = _feistel(number, a, seed, rounds)
-    walked = onward(once, F.lit(WALK_STEPS).cast("long"))
-    return (F.when(once < total, once).when(walked < total, walked)
-            .otherwise(onward(walked, F.greatest(a * a - total, F.lit(1)).cast("long"))))
+    return _walk_out(_walk(_feistel(number, a, seed, rounds), total, a, seed, rounds), total, a, seed, rounds)
 
 
-def _places(number: Column, total: Column, shards: int, seed: int) -> list[Column]:
-    at = permuted(number, total, seed)
-    return [(at % shards).cast("int").alias("shard"), F.floor(at / shards).cast("long").alias("slot")]
+def _placed(numbered: DataFrame, shards: int, seed: int, rounds: int = ROUNDS) -> DataFrame:
+    """Rows with ``number`` and ``total``, and ``permuted`` cut into ``shard`` and
+    ``slot``.  Each step is a column of its own: an expression is a tree, with a
+    copy of all below it wherever it is used, and the whole walk as one makes a
+    plan that takes much of the driver's memory."""
+    a, at, total = F.col("_grid"), F.col("_at"), F.col("total")
+    return (numbered.withColumn("_grid", _root(total))
+            .withColumn("_at", _feistel(F.col("number"), a, seed, rounds))
+            .withColumn("_at", _walk(at, total, a, seed, rounds))
+            .withColumn("_at", _walk_out(at, total, a, seed, rounds))
+            .withColumn("shard", (at % shards).cast("int"))
+            .withColumn("slot", F.floor(at / shards).cast("long")))
 
 
 def assign_shards(df: DataFrame, keys: Sequence[str], shards: int, seed: int = SEED,
                   buckets: int = BUCKETS) -> DataFrame:
     """``df`` with ``shard`` (0..shards-1) and ``slot`` (gapless from 0)."""
     own = df.select([c for c in df.columns if c not in ("shard", "slot")])
-    return (_numbered(own, keys, buckets).select("row", *_places(F.col("number"), F.col("total"), shards, seed))
-            .select("row.*", "shard", "slot"))
+    return _placed(_numbered(own, keys, buckets), shards, seed).select("row.*", "shard", "slot")
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, seed: int = SEED) -> DataFrame:
@@ -127,6 +142,6 @@ def shard_documents(docs: DataFrame, shards: int = 24, seed: int = SEED) -> Data
     numbered = _numbered(counted, ["doc_id", "text_key", "size", "text_crc32"], BUCKETS, "copies")
     each = numbered.select("row.*", "total", F.explode(F.sequence(
         F.col("number"), F.col("number") + F.col("row.copies") - 1)).alias("number"))
-    return each.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"),
-                       *_places(F.col("number"), F.col("total"), shards, seed),
-                       F.lit(None).cast("int").alias("grown_shard"))
+    return _placed(each, shards, seed).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))

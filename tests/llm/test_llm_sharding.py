@@ -119,3 +119,10 @@ def test_one_document_in_many_copies_is_one_row_to_number(make_docs):
     assert len({(r["shard"], r["slot"]) for r in got}) == 401
     sizes = [sum(r["shard"] == s for r in got) for s in range(24)]
     assert max(sizes) - min(sizes) <= 1
+
+
+def test_the_plan_stays_small(make_docs):
+    docs = make_docs([(i, f"text {i}") for i in range(50)])
+    for out in (S.assign_shards(docs, ["doc_id", "text"], 24), S.shard_documents(docs)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("xxhash64") < 80  # one expression for the whole walk held 200
