@@ -1,4 +1,4 @@
-"""Logistic fits on bounded samples, shared by the two learned operators."""
+"""The logistic function, and logistic fits on bounded samples (op 8)."""
 
 from __future__ import annotations
 
